@@ -46,7 +46,18 @@ def inquiry_orders(
 ) -> DataFrame:
     """Inquiries of one institution's doctors after the period's start and up to its end."""
     own = keep_listed(doctors, institution_doctors(doctors, institution), "id")
-    rows = period.restrict(inquiries, "create_date", "(]").withColumn("ord_amount", amount(inquiries, "ord_amount"))
+    rows = period.restrict(inquiries, "create_date", "(]").select(
+        "inquiry_ord_id",
+        "doctor_id",
+        "user_id",
+        "doctor_name",
+        "buy_type",
+        amount(inquiries, "ord_amount").alias("ord_amount"),
+        "create_date",
+        "ord_state",
+        "pay_state",
+        "abnormal_state",
+    )
     joined = rows.join(
         own.select(F.col("id").alias("doctor_id"), F.col("phone").alias("doctor_phone"), "department"), "doctor_id"
     ).join(users.select("user_id", "user_name", "bill_id"), "user_id")
@@ -81,7 +92,19 @@ def online_orders(
 ) -> DataFrame:
     """Online orders strictly inside the period, without those of one institution's doctors."""
     others = drop_listed(doctors, institution_doctors(doctors, excluded_institution), "id")
-    rows = period.restrict(orders, "create_date", "()").withColumn("total_price", amount(orders, "total_price"))
+    rows = period.restrict(orders, "create_date", "()").select(
+        "inquiry_ord_id",
+        "medical_ord_id",
+        "doctor_id",
+        "user_id",
+        "user_name",
+        "doctor_name",
+        amount(orders, "total_price").alias("total_price"),
+        "create_date",
+        "ord_state",
+        "pay_state",
+        "pay_date",
+    )
     joined = rows.join(others.select(F.col("id").alias("doctor_id"), "department"), "doctor_id").join(
         users.select("user_id", "bill_id"), "user_id"
     )
