@@ -1 +1 @@
-"""Column expressions; all of them run inside the JVM."""
+"""Column expressions; all but the per-text character statistics run inside the JVM."""

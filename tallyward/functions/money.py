@@ -15,32 +15,37 @@ HUNDRED_THOUSANDTH = Decimal("0.00001")
 AMOUNT = T.DecimalType(28, 2)
 
 
-def amount(df: DataFrame, name: str) -> Column:
-    """The money column ready to be summed.
+_LOW_BITS = 20
+_WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
-    Whole numbers become decimals, since a 64-bit sum can overflow on a large
-    fact table; floating point is refused, since its sums depend on row order.
-    """
+
+def amount(df: DataFrame, name: str) -> Column:
+    """The money column as a decimal; floating point is refused, since its sums depend on row order."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.DecimalType):
         return F.col(name)
-    if isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+    if isinstance(kind, _WHOLE):
         return F.col(name).cast(T.DecimalType(20, 0))
     raise TypeError(f"money column {name!r} must be a whole number or a decimal, not {kind.simpleString()}")
 
 
 def total(df: DataFrame, name: str, where: Column | None = None) -> Column:
-    """Sum of a money column, over the rows of ``where`` if given.
+    """Exact sum of a money column, over the rows of ``where`` if given.
 
-    The type keeps 24 digits before the point and leaves room for the unit: Spark
-    would cut digits after the point of a product that needs more than 38 digits.
+    Whole numbers are summed in two halves, the low 20 bits and the rest. Both are plain
+    64-bit sums, several times faster than a decimal sum, and neither overflows before
+    some 10^12 rows per group. The result keeps 24 digits before the point and leaves
+    room for the unit: Spark cuts the fraction of a product of more than 38 digits.
     """
     kind = df.schema[name].dataType
+    pick = (lambda v: v) if where is None else (lambda v: F.when(where, v).otherwise(F.lit(0)))
+    if isinstance(kind, _WHOLE):
+        value = F.col(name).cast("bigint")
+        high = F.sum(pick(F.shiftright(value, _LOW_BITS)))
+        low = F.sum(pick(value.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
+        return (high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS) + low).cast("decimal(24,0)")
     scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-    value = amount(df, name)
-    if where is not None:
-        value = F.when(where, value).otherwise(F.lit(0))
-    return F.sum(value).cast(T.DecimalType(min(24 + scale, 32), scale))
+    return F.sum(pick(amount(df, name))).cast(T.DecimalType(min(24 + scale, 32), scale))
 
 
 def scaled(value: Column, unit: Decimal = TEN_THOUSANDTH) -> Column:

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,25 +28,35 @@ def matches(column: str, pattern: str) -> Column:
     return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
 
 
-def commonest_char(text: Column) -> Column:
-    """Struct ``(char, n)`` of the commonest character; the one seen first wins a tie.
+def commonest_char(text: str | Column) -> Column:
+    """Struct of the commonest character of a text, its count and its 0-based positions.
 
-    Stays within the row: no character is shuffled, and the counting runs as one
-    replace per distinct character, whatever the length of the text.
+    The character seen first wins a tie. Every text is handled within its row, so no
+    character is ever shuffled. Built-in functions would scan the text once per
+    distinct character; counting code points as an array is some ten times faster.
+    The functions are local so that they travel to the executors with the query.
     """
-    chars = F.filter(F.array_distinct(F.split(text, "")), lambda c: c != "")
 
-    def weigh(char, place):
-        rest = F.length(F.replace(text, char, F.lit("")))
-        return F.struct(
-            (rest - F.length(text)).alias("minus_n"), place.alias("place"), char.alias("char")
+    def find(value: str | None):
+        if not value:
+            return None, 0, np.empty(0, dtype="int32")
+        codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        counts = np.bincount(codes)
+        tied = np.flatnonzero(counts == counts.max())
+        code = codes[np.isin(codes, tied).argmax()] if len(tied) > 1 else tied[0]
+        return chr(code), int(counts[code]), np.flatnonzero(codes == code).astype("int32")
+
+    def per_batch(texts: pa.Array) -> pa.Array:
+        found = [find(value) for value in texts.to_pylist()]
+        ends = np.cumsum([0, *[len(places) for _, _, places in found]]).astype("int32")
+        flat = np.concatenate([np.empty(0, dtype="int32"), *[places for _, _, places in found]])
+        return pa.StructArray.from_arrays(
+            [
+                pa.array([char for char, _, _ in found], pa.string()),
+                pa.array([n for _, n, _ in found], pa.int32()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+            ],
+            names=["char", "n", "positions"],
         )
 
-    best = F.array_min(F.transform(chars, weigh))
-    return F.struct(best["char"].alias("char"), (-best["minus_n"]).alias("n"))
-
-
-def char_positions(text: Column, char: Column) -> Column:
-    """0-based positions of ``char``, ascending."""
-    marked = F.transform(F.split(text, ""), lambda c, i: F.when(c == char, i))
-    return F.filter(marked, lambda i: i.isNotNull())
+    return F.arrow_udf(per_batch, "struct<char:string,n:int,positions:array<int>>")(text)

@@ -19,18 +19,12 @@ LEVEL_COLUMNS = {
     "dept": {"hospital_name": "n_name", "depart_name": "c_mktsegment"},
     "doctor": {"hospital_name": "n_name", "doctor_name": "c_name"},
 }
-PAY_FACTORS = {
-    "original_amount": "1.25",
-    "receivable_amount": "1.1",
-    "pay_amount": None,
-    "deposit_amount": "0.1",
-    "medical_fund_payment": "0.3",
-}
 STAMP = "'1995-01-01' AS period_start, '2001-08-01' AS period_end"
 
 
-def _units(value: str) -> str:
-    return f"round({value} * CAST(0.0001 AS DECIMAL(5,4)), 2)"
+def _units(value: str, factor: str = "0.01") -> str:
+    """Dollars to the report's currency: the tables of the reports hold hundredths of a dollar as 1/10000 units."""
+    return f"round({value} * {factor}, 2)"
 
 
 def _keys(short: str, grain: str) -> tuple[list[str], str]:
@@ -46,13 +40,12 @@ def _pay_method(short: str, grain: str, exact: bool = False) -> str:
     keys = ", ".join(names)
     base = "CAST(o_totalprice AS DECIMAL(18,2))"
     amounts = ", ".join(
-        f"{base} AS {m}" if f is None else f"CAST({base} * {f} AS DECIMAL(18,2)) AS {m}"
-        for m, f in PAY_FACTORS.items()
+        f"{base} * {f} AS {m}" for m, f in t.PAY_FACTORS.items()
     )
     inner = (lambda v: v) if exact else _units
     outer = _units if exact else (lambda v: v)
-    stage = ", ".join(f"{inner(f'sum({m})')} AS {m}" for m in PAY_FACTORS)
-    totals = ", ".join(f"CAST({outer(f'sum({m})')} AS DOUBLE) AS {m}" for m in PAY_FACTORS)
+    stage = ", ".join(f"{inner(f'sum({m})')} AS {m}" for m in t.PAY_FACTORS)
+    totals = ", ".join(f"CAST({outer(f'sum({m})')} AS DOUBLE) AS {m}" for m in t.PAY_FACTORS)
     spread = ", ".join(
         f"CAST(coalesce({outer(f'''sum(pay_amount) FILTER (WHERE method = '{value}')''')}, 0) AS DOUBLE) AS {name}"
         for value, name in t.METHODS.items()
@@ -70,13 +63,13 @@ def _charge_category(short: str, grain: str) -> str:
     names, select = _keys(short, grain)
     keys = ", ".join(names)
     bases = {
-        "quantity": "CAST(l_quantity AS DECIMAL(18,2))",
-        "price": PRICE,
-        "discount": f"{PRICE} * CAST(l_discount AS DECIMAL(18,2))",
-        "tax": f"{PRICE} * CAST(l_tax AS DECIMAL(18,2))",
+        "quantity": ("CAST(l_quantity AS DECIMAL(18,2))", "0.0001"),
+        "price": (PRICE, "0.01"),
+        "discount": (f"{PRICE} * CAST(l_discount AS DECIMAL(18,2))", "1"),
+        "tax": (f"{PRICE} * CAST(l_tax AS DECIMAL(18,2))", "1"),
     }
     sums = ", ".join(
-        f"CAST({_units(f'(sum({bases[base]}) * {factor})')} AS DOUBLE) AS {name}"
+        f"CAST({_units(f'(sum({bases[base][0]}) * {factor})', bases[base][1])} AS DOUBLE) AS {name}"
         for name, (base, factor) in t.CHARGES.items()
     )
     grouped = ", ".join(str(i + 1) for i in range(len(names)))
@@ -128,7 +121,7 @@ def _rule_test(rule: dict, columns: dict) -> str:
 
 
 def _even(value: str) -> str:
-    return f"round_even({value} * CAST(0.00001 AS DECIMAL(6,5)), 2)"
+    return f"round_even({value} * 0.1, 2)"
 
 
 def _income(role: str, clinics=None, parity: bool = False, exact_type: bool = False) -> str:
@@ -173,7 +166,7 @@ def _two_sources(role: str) -> str:
 
 ORDER_STATE = "CASE l_returnflag WHEN 'A' THEN 'waiting' WHEN 'N' THEN 'answered' ELSE '###' END"
 PAY_STATE = "CASE l_linestatus WHEN 'F' THEN 'paid' ELSE '###' END"
-AMOUNT = f"round({PRICE} * CAST(0.0001 AS DECIMAL(5,4)), 2)"
+AMOUNT = f"round({PRICE} * 0.01, 2)"
 SHIPPED = f"strftime(l_shipdate, {TIME_FORMAT})"
 
 INQUIRY_ROWS = f"""

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from tallyward import Period
 from tallyward.functions import calendar as cal
 from tallyward.functions.labels import decode, two_way
-from tallyward.functions.text import char_positions, commonest_char
+from tallyward.functions.money import TEN_THOUSANDTH
+from tallyward.functions.text import commonest_char
 from tallyward.operators import frames, joins, windows
 from tallyward.operators.aggregates import rule_sums
 from tallyward.plans import activity, indicators, orders, payments, sheets, threshold
@@ -73,10 +74,9 @@ def charge_category(level: str, grain: str, spark: SparkSession, sf_dir: str) ->
 
 
 def pivot_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visit = t.clinic_visits(spark, sf_dir)
-    pay = t.payments(spark, sf_dir)
-    sheet = pay.join(visit, pay["order_id"] == visit["registered_ord_id"]).select(
-        "hospital_name", "pay_type", "pay_amount"
+    visit, placed = t.clinic_visits(spark, sf_dir), t.load(spark, sf_dir, "orders")
+    sheet = placed.join(visit, placed["o_custkey"] == visit["registered_ord_id"]).select(
+        "hospital_name", F.col("o_orderpriority").alias("pay_type"), t.money("o_totalprice").alias("pay_amount")
     )
     columns = {method: method for method in t.METHODS}
     wide = payments.sheet_by_method(sheet, columns, "hospital_name", "pay_type", "pay_amount")
@@ -244,7 +244,7 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A profit table per year, month and supplier nation, its columns not yet in report order."""
     lines, supplier, nation = (t.load(spark, sf_dir, n) for n in ("lineitem", "supplier", "nation"))
     places = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
-    price = t.money("l_extendedprice")
+    price = t.hundredths("l_extendedprice")
     rows = lines.join(places, lines["l_suppkey"] == places["s_suppkey"]).select(
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
@@ -252,10 +252,12 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
         "l_linenumber",
-        price.alias("income"),
-        (price * (F.lit(1) - t.money("l_discount"))).cast("decimal(18,4)").alias("cost"),
+        (price * 100).alias("income"),
+        (price * (F.lit(100) - t.hundredths("l_discount"))).alias("cost"),
     )
-    sums = rule_sums(rows, ["year", "month", "clinic"], PROFILE_RULES, {"income": "fee", "cost": "cost"})
+    units = rule_sums(rows, ["year", "month", "clinic"], PROFILE_RULES, {"income": "fee", "cost": "cost"})
+    values = [c for c in units.columns if c not in ("year", "month", "clinic")]
+    sums = frames.over_columns(units, values, lambda c: (c * F.lit(TEN_THOUSANDTH)).cast("decimal(28,4)"))
     profits = {f"{c}_profit": F.col(f"{c}_fee") - F.col(f"{c}_cost") for c in PROFILE_CATEGORIES}
     return sums.withColumns({**profits, "profit": F.col("income") - F.col("cost")})
 
@@ -271,15 +273,12 @@ def profile_row_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_mode_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = t.load(spark, sf_dir, "documents").select(
-        "doc_id", "text", commonest_char(F.col("text")).alias("best")
-    )
-    places = char_positions(F.col("text"), F.col("best.char"))
+    best = t.load(spark, sf_dir, "documents").select("doc_id", commonest_char("text").alias("best"))
     return best.select(
         "doc_id",
         F.col("best.char").alias("char"),
         F.col("best.n").alias("n"),
-        F.array_join(places.cast("array<string>"), ",").alias("positions"),
+        F.array_join(F.col("best.positions").cast("array<string>"), ",").alias("positions"),
     )
 
 

@@ -5,8 +5,6 @@ Only renames, casts to decimal and simple codes: the reports themselves do the w
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +20,9 @@ def money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)")
 
 
-def dec(text: str) -> Column:
-    return F.lit(Decimal(text))
+def hundredths(column: str) -> Column:
+    """The double as a whole number of hundredths, as the clinic tables keep money."""
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
 # --- payments -------------------------------------------------------------
@@ -37,6 +36,15 @@ METHODS = {
 }
 PAID_STATES = ("F", "O")
 
+# The five measures of a payment are the price times a whole factor.
+PAY_FACTORS = {
+    "original_amount": 5,
+    "receivable_amount": 4,
+    "pay_amount": 3,
+    "deposit_amount": 1,
+    "medical_fund_payment": 2,
+}
+
 # Each charge measure is one of four base amounts times a whole factor.
 BASES = ("quantity", "price", "discount", "tax")
 CHARGES = {name: (BASES[i % 4], i // 4 + 1) for i, name in enumerate(CHARGE_MEASURES)}
@@ -44,18 +52,14 @@ CHARGES = {name: (BASES[i % 4], i // 4 + 1) for i, name in enumerate(CHARGE_MEAS
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as payments; the customer stands for the visit."""
-    price = money("o_totalprice")
+    price = hundredths("o_totalprice")
     return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("pay_order_id"),
         F.col("o_custkey").alias("order_id"),
         F.lit(1).alias("buy_type"),
         F.col("o_orderstatus").alias("state"),
         F.col("o_orderpriority").alias("pay_type"),
-        (price * dec("1.25")).cast("decimal(18,2)").alias("original_amount"),
-        (price * dec("1.1")).cast("decimal(18,2)").alias("receivable_amount"),
-        price.alias("pay_amount"),
-        (price * dec("0.1")).cast("decimal(18,2)").alias("deposit_amount"),
-        (price * dec("0.3")).cast("decimal(18,2)").alias("medical_fund_payment"),
+        *[(price * factor).alias(name) for name, factor in PAY_FACTORS.items()],
         F.col("o_orderdate").alias("create_date"),
     )
 
@@ -73,16 +77,16 @@ def clinic_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as classified payments."""
-    price = money("l_extendedprice")
+    price = hundredths("l_extendedprice")
     bases = {
-        "quantity": money("l_quantity"),
+        "quantity": F.col("l_quantity").cast("bigint"),
         "price": price,
-        "discount": (price * money("l_discount")).cast("decimal(18,4)"),
-        "tax": (price * money("l_tax")).cast("decimal(18,4)"),
+        "discount": price * hundredths("l_discount"),
+        "tax": price * hundredths("l_tax"),
     }
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("pay_order_id"),
-        *[(bases[b] * F.lit(k)).cast("decimal(18,4)").alias(name) for name, (b, k) in CHARGES.items()],
+        *[(bases[base] * factor).alias(name) for name, (base, factor) in CHARGES.items()],
     )
 
 
@@ -129,7 +133,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as fee lines; the supplier's nation is the clinic of the line."""
     lines, supplier = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "supplier")
-    price = money("l_extendedprice")
+    price = hundredths("l_extendedprice")
     return lines.join(supplier, lines["l_suppkey"] == supplier["s_suppkey"]).select(
         F.col("l_orderkey").alias("pay_order_id"),
         F.col("s_nationkey").alias("hospital_id"),
@@ -137,8 +141,8 @@ def fee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("subject_id"),
         F.col("l_linenumber").alias("item_type"),
         F.lit(2).alias("pay_state"),
-        price.alias("total_price"),
-        (price * (F.lit(1) - money("l_discount"))).cast("decimal(18,4)").alias("total_cost_price"),
+        (price * 100).alias("total_price"),
+        (price * (F.lit(100) - hundredths("l_discount"))).alias("total_cost_price"),
     )
 
 
@@ -188,8 +192,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("doctor "), doctor).alias("doctor_name"),
         F.concat(F.lit("patient "), patient).alias("user_name"),
         F.col("l_linenumber").alias("buy_type"),
-        money("l_extendedprice").alias("ord_amount"),
-        money("l_extendedprice").alias("total_price"),
+        hundredths("l_extendedprice").alias("ord_amount"),
+        hundredths("l_extendedprice").alias("total_price"),
         F.col("l_returnflag").alias("ord_state"),
         F.col("l_linestatus").alias("pay_state"),
         (F.col("l_discount") > 0).cast("int").alias("abnormal_state"),
