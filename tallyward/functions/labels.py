@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyward.functions.sql import literal, name
+
 UNKNOWN = "###"
 
 # Payment method codes, engine column and display label.
@@ -237,17 +239,16 @@ DETAIL_NAMES = {
 }
 
 
-def decode(code: str | Column, labels: Mapping, default: str = UNKNOWN) -> Column:
+def decode(code: str, labels: Mapping, default: str = UNKNOWN) -> Column:
     """Label of a code; null counts as code 0, an unlisted code gets the default."""
-    c = F.col(code) if isinstance(code, str) else code
     zero = type(next(iter(labels)))(0)
-    pairs = [F.lit(part) for pair in labels.items() for part in pair]
-    label = F.try_element_at(F.create_map(*pairs), F.coalesce(c, F.lit(zero)))
-    return F.coalesce(label, F.lit(default))
+    pairs = ", ".join(literal(part) for pair in labels.items() for part in pair)
+    filled = f"coalesce({name(code)}, {literal(zero)})"
+    return F.expr(f"coalesce(try_element_at(map({pairs}), {filled}), {literal(default)})")
 
 
-def two_way(code: str | Column, rule: tuple) -> Column:
+def two_way(code: str, rule: tuple) -> Column:
     """First label where the code equals the rule's code, else the second; null counts as code 0."""
     value, first, second = rule
-    c = F.col(code) if isinstance(code, str) else code
-    return F.when(F.coalesce(c, F.lit(type(value)(0))) == value, first).otherwise(second)
+    filled = f"coalesce({name(code)}, {literal(type(value)(0))})"
+    return F.expr(f"CASE WHEN {filled} = {literal(value)} THEN {literal(first)} ELSE {literal(second)} END")

@@ -1,73 +1,121 @@
-"""Exact money: integers or decimals in, decimals out, two rounding rules."""
+"""Exact money: whole numbers or decimals in, decimals out, two rounding rules."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyward.functions.sql import literal, name
+
 # The units in which money is stored.
+ONE = Decimal(1)
 TEN_THOUSANDTH = Decimal("0.0001")
 HUNDRED_THOUSANDTH = Decimal("0.00001")
 
-AMOUNT = T.DecimalType(28, 2)
+# SQL ROUND goes half away from zero, Python's round on decimals half to even.
+HALF_UP = "round"
+HALF_EVEN = "bround"
 
+AMOUNT = T.DecimalType(28, 2)
 
 _LOW_BITS = 20
 _WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
 
-def amount(df: DataFrame, name: str) -> Column:
-    """The money column as a decimal; floating point is refused, since its sums depend on row order."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DecimalType):
-        return F.col(name)
-    if isinstance(kind, _WHOLE):
-        return F.col(name).cast(T.DecimalType(20, 0))
-    raise TypeError(f"money column {name!r} must be a whole number or a decimal, not {kind.simpleString()}")
-
-
-def total(df: DataFrame, name: str, where: Column | None = None) -> Column:
-    """Exact sum of a money column, over the rows of ``where`` if given.
+@dataclass(frozen=True)
+class Measure:
+    """A money column and the way it is summed.
 
     Whole numbers are summed in two halves, the low 20 bits and the rest. Both are plain
     64-bit sums, several times faster than a decimal sum, and neither overflows before
-    some 10^12 rows per group. The result keeps 24 digits before the point and leaves
-    room for the unit: Spark cuts the fraction of a product of more than 38 digits.
+    some 10^12 rows per group. Decimals are summed as they are. Either way the sums are
+    exact, can be summed again, and become one decimal only at the end.
     """
-    kind = df.schema[name].dataType
-    pick = (lambda v: v) if where is None else (lambda v: F.when(where, v).otherwise(F.lit(0)))
+
+    column: str
+    scale: int | None
+
+    @property
+    def parts(self) -> tuple[str, ...]:
+        if self.scale is None:
+            return f"{self.column}__high", f"{self.column}__low"
+        return (f"{self.column}__sum",)
+
+    def sums(self) -> list[Column]:
+        """Aggregates over the rows, one per part."""
+        c = name(self.column)
+        if self.scale is None:
+            values = [f"shiftright(CAST({c} AS BIGINT), {_LOW_BITS})", f"CAST({c} AS BIGINT) & {(1 << _LOW_BITS) - 1}"]
+        else:
+            values = [c]
+        return [F.expr(f"sum({v}) AS {name(p)}") for v, p in zip(values, self.parts)]
+
+    def sums_of_parts(self, where: str | None = None, label: str | None = None) -> list[Column]:
+        """Aggregates over partial sums, over the rows of ``where`` if given."""
+        renamed = Measure(label or self.column, self.scale)
+        pick = "{}" if where is None else f"CASE WHEN {where} THEN {{}} ELSE 0 END"
+        return [
+            F.expr(f"sum({pick.format(name(p))}) AS {name(q)}") for p, q in zip(self.parts, renamed.parts)
+        ]
+
+    def value(self, unit: Decimal = ONE) -> str:
+        """The exact total in currency, as SQL text over the parts.
+
+        The casts leave room for the unit: Spark cuts the fraction of a product of more than 38 digits.
+        """
+        if self.scale is None:
+            high, low = (f"CAST({name(p)} AS DECIMAL(20,0))" for p in self.parts)
+            return f"({high} * {literal(unit * (1 << _LOW_BITS))} + {low} * {literal(unit)})"
+        total = T.DecimalType(min(24 + self.scale, 32), self.scale).simpleString()
+        return f"(CAST({name(self.parts[0])} AS {total}) * {literal(unit)})"
+
+
+def measure(df: DataFrame, column: str) -> Measure:
+    """How to sum a column; floating point is refused, since its sums depend on row order."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return Measure(column, kind.scale)
     if isinstance(kind, _WHOLE):
-        value = F.col(name).cast("bigint")
-        high = F.sum(pick(F.shiftright(value, _LOW_BITS)))
-        low = F.sum(pick(value.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
-        return (high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS) + low).cast("decimal(24,0)")
-    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-    return F.sum(pick(amount(df, name))).cast(T.DecimalType(min(24 + scale, 32), scale))
+        return Measure(column, None)
+    raise TypeError(f"money column {column!r} must be a whole number or a decimal, not {kind.simpleString()}")
+
+
+def measures(df: DataFrame, columns: Iterable[str]) -> list[Measure]:
+    return [measure(df, c) for c in columns]
+
+
+def currency(value: str, rounding: str = HALF_UP) -> str:
+    """An amount as SQL text, rounded to two places; null becomes 0."""
+    return f"CAST(coalesce({rounding}({value}, 2), 0) AS DECIMAL(28,2))"
 
 
-def scaled(value: Column, unit: Decimal = TEN_THOUSANDTH) -> Column:
-    """Units to currency, two places, half away from zero as SQL ROUND does."""
-    return F.coalesce(F.round(value * F.lit(unit), 2), F.lit(0)).cast(AMOUNT)
+def cents(value: str, rounding: str = HALF_UP) -> str:
+    """As ``currency``, but as a whole number of hundredths, which is cheap to sum again."""
+    return f"CAST(coalesce({rounding}({value} * 100BD, 0), 0) AS BIGINT)"
 
 
-def scaled_even(value: Column, unit: Decimal = HUNDRED_THOUSANDTH) -> Column:
-    """Units to currency, two places, half to even as Python's round does on decimals."""
-    return F.coalesce(F.bround(value * F.lit(unit), 2), F.lit(0)).cast(AMOUNT)
+def scaled(df: DataFrame, column: str, unit: Decimal = TEN_THOUSANDTH, rounding: str = HALF_UP) -> Column:
+    """One row's units as currency."""
+    kind = "DECIMAL(20,0)" if measure(df, column).scale is None else None
+    c = name(column) if kind is None else f"CAST({name(column)} AS {kind})"
+    return F.expr(currency(f"{c} * {literal(unit)}", rounding))
 
 
-def ratio(part: Column, whole: Column, places: int = 4) -> Column:
+def ratio(part: str, whole: str, places: int = 4) -> Column:
     """Count / count, half away from zero; 0 where there is nothing to divide by."""
-    share = part.cast("decimal(19,0)") / F.nullif(whole, F.lit(0)).cast("decimal(19,0)")
-    return F.coalesce(F.round(share, places), F.lit(0)).cast(T.DecimalType(20, places))
+    share = f"CAST({part} AS DECIMAL(19,0)) / CAST(nullif({whole}, 0) AS DECIMAL(19,0))"
+    return F.expr(f"CAST(coalesce(round({share}, {places}), 0) AS DECIMAL(20,{places}))")
 
 
-def ratio_even(part: Column, whole: Column, places: int = 2) -> Column:
+def ratio_even(part: str, whole: str, places: int = 2) -> Column:
     """Money / count, half to even; 0 where there is nothing to divide by."""
-    share = part.cast("decimal(24,2)") / F.nullif(whole, F.lit(0)).cast("decimal(18,0)")
-    return F.coalesce(F.bround(share, places), F.lit(0)).cast(T.DecimalType(28, places))
+    share = f"CAST({part} AS DECIMAL(24,2)) / CAST(nullif({whole}, 0) AS DECIMAL(18,0))"
+    return F.expr(f"CAST(coalesce(bround({share}, {places}), 0) AS DECIMAL(28,{places}))")
 
 
 def percent_text(share: Column) -> Column:

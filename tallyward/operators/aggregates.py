@@ -1,30 +1,46 @@
-"""Grouped sums: rounded in two stages, spread into columns, or split by rules."""
+"""Grouped sums: rounded in two stages, spread into columns, or split by rules.
+
+All of them sum exactly and round late. Where an order is asked for, the rows are
+sorted before the sums are turned into decimals, so that the sampling pass of the
+sort does not pay for them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
 from itertools import combinations
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.money import AMOUNT, TEN_THOUSANDTH, scaled, total
+from tallyward.functions.money import HALF_UP, ONE, TEN_THOUSANDTH, Measure, cents, currency, measures
+from tallyward.functions.sql import all_equal, literal, name
 
+Order = Sequence[str | Column]
+
+
+def _sorted(df: DataFrame, order: Order) -> DataFrame:
+    return df.orderBy(*order) if order else df
 
-def scaled_sums(
-    df: DataFrame, keys: Sequence[str], measures: Iterable[str], unit: Decimal = TEN_THOUSANDTH
-) -> DataFrame:
-    """Sum each measure per group, then bring it to currency and round it."""
-    sums = [scaled(total(df, m), unit).alias(m) for m in measures]
-    return df.groupBy(*keys).agg(*sums)
 
+def _names(keys: Sequence[str]) -> list[str]:
+    return [name(k) for k in keys]
 
-def plain_sums(df: DataFrame, keys: Sequence[str], measures: Iterable[str]) -> DataFrame:
-    """Sum the named measures per group."""
-    return df.groupBy(*keys).agg(*[total(df, m).alias(m) for m in measures])
+
+def scaled_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Iterable[str],
+    unit: Decimal = TEN_THOUSANDTH,
+    rounding: str = HALF_UP,
+    order: Order = (),
+) -> DataFrame:
+    """Sum each column per group, then bring it to currency and round it."""
+    wanted = measures(df, columns)
+    sums = df.groupBy(*keys).agg(*[part for m in wanted for part in m.sums()])
+    values = [f"{currency(m.value(unit), rounding)} AS {name(m.column)}" for m in wanted]
+    return _sorted(sums, order).selectExpr(*_names(keys), *values)
 
 
 def spread(
@@ -33,16 +49,31 @@ def spread(
     code: str,
     columns: Mapping,
     paid: str,
-    measures: Sequence[str],
+    totals: Sequence[str],
+    unit: Decimal = ONE,
+    order: Order = (),
 ) -> DataFrame:
     """Totals per group, and ``paid`` spread into one column per listed code.
 
-    One pass gives totals and columns alike. A listed code that never occurs
-    still has its column, filled with 0; an unlisted code counts in the totals only.
+    A listed code that never occurs still has its column, filled with 0; an unlisted
+    code counts in the totals only. The rows shrink to one per group and code on the
+    map side, before the first shuffle, so a group holding much of the table costs
+    no more than a small one.
     """
-    totals = [total(df, m).alias(m) for m in measures]
-    per_code = [total(df, paid, F.col(code) == value).alias(name) for value, name in columns.items()]
-    return df.groupBy(*keys).agg(*totals, *per_code)
+    wanted = measures(df, totals)
+    main = next(m for m in wanted if m.column == paid)
+    small = df.groupBy(*keys, code).agg(*[part for m in wanted for part in m.sums()])
+    wide = small.groupBy(*keys).agg(
+        *[part for m in wanted for part in m.sums_of_parts()],
+        *[
+            part
+            for value, label in columns.items()
+            for part in main.sums_of_parts(f"{name(code)} = {literal(value)}", label)
+        ],
+    )
+    shown = [*wanted, *[Measure(label, main.scale) for label in columns.values()]]
+    values = [f"{currency(m.value(unit))} AS {name(m.column)}" for m in shown]
+    return _sorted(wide, order).selectExpr(*_names(keys), *values)
 
 
 def spread_rounded(
@@ -51,30 +82,33 @@ def spread_rounded(
     code: str,
     columns: Mapping,
     paid: str,
-    measures: Sequence[str],
+    totals: Sequence[str],
     unit: Decimal = TEN_THOUSANDTH,
-    exact: bool = False,
+    order: Order = (),
 ) -> DataFrame:
-    """``spread`` over sums that were rounded per group and code.
+    """``spread``, but of sums that are rounded per group and code before they are added up.
 
-    The totals are sums of rounded sums and can differ by cents from the rounded
-    sum; ``exact`` rounds once, at the end. Either way the rows shrink to one per
-    group and code on the map side, before the first shuffle, so a group holding
-    much of the table costs no more than a small one.
+    The totals are then sums of rounded sums, which can differ by cents from the rounded
+    sum. The rounded sums travel as whole cents.
     """
-    if exact:
-        per_code = plain_sums(df, [*keys, code], measures)
-    else:
-        per_code = scaled_sums(df, [*keys, code], measures, unit)
-    wide = spread(per_code, keys, code, columns, paid, measures)
-    values = [*measures, *columns.values()]
-    if exact:
-        return wide.withColumns({v: scaled(F.col(v), unit) for v in values})
-    return wide.withColumns({v: F.col(v).cast(AMOUNT) for v in values})
-
-
-def _test(rule: Mapping[str, object]) -> Column:
-    return reduce(and_, [F.col(c) == F.lit(v) for c, v in rule.items()])
+    wanted = measures(df, totals)
+    per_code = (
+        df.groupBy(*keys, code)
+        .agg(*[part for m in wanted for part in m.sums()])
+        .selectExpr(
+            *_names(keys), name(code), *[f"{cents(m.value(unit))} AS {name(m.column)}" for m in wanted]
+        )
+    )
+    wide = per_code.groupBy(*keys).agg(
+        *[F.expr(f"sum({name(m.column)}) AS {name(m.column)}") for m in wanted],
+        *[
+            F.expr(f"sum(CASE WHEN {name(code)} = {literal(value)} THEN {name(paid)} ELSE 0 END) AS {name(label)}")
+            for value, label in columns.items()
+        ],
+    )
+    shown = [*totals, *columns.values()]
+    values = [f"CAST(CAST({name(c)} AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(28,2)) AS {name(c)}" for c in shown]
+    return _sorted(wide, order).selectExpr(*_names(keys), *values)
 
 
 def disjoint(rules: Iterable[Mapping[str, object]]) -> bool:
@@ -88,23 +122,35 @@ def rule_sums(
     df: DataFrame,
     keys: Sequence[str],
     rules: Mapping[str, Mapping[str, object]],
-    measures: Mapping[str, str],
+    suffixes: Mapping[str, str],
+    unit: Decimal = ONE,
+    rounding: str = HALF_UP,
+    order: Order = (),
 ) -> DataFrame:
-    """Total of each measure, and its sum over the rows of each rule.
+    """Total of each measure, and its sum over the rows of each rule, rounded to currency.
 
-    ``rules`` maps a category to the code values its rows carry; ``measures`` maps a
-    money column to the suffix of its columns (``<category>_<suffix>``). Rows of no
+    ``rules`` maps a category to the code values its rows carry; ``suffixes`` maps a
+    money column to the ending of its columns (``<category>_<suffix>``). Rows of no
     rule count in the totals only. As no row can meet two rules, every row is given
-    its category first: two sums per row instead of two per rule, and the wide
-    conditional sums run over one row per group and category.
+    its category first: each row is added once per measure instead of once per rule,
+    and the wide conditional sums run over one row per group and category.
     """
     if not disjoint(rules.values()):
         raise ValueError("rules overlap: two of them can match one row")
-    category = F.coalesce(*[F.when(_test(rule), F.lit(name)) for name, rule in rules.items()])
-    small = plain_sums(df.withColumn("_category", category), [*keys, "_category"], measures)
-    wide = [
-        total(small, m, F.col("_category") == name).alias(f"{name}_{suffix}")
-        for name in rules
-        for m, suffix in measures.items()
-    ]
-    return small.groupBy(*keys).agg(*[total(small, m).alias(m) for m in measures], *wide)
+    wanted = measures(df, suffixes)
+    cases = " ".join(f"WHEN {all_equal(rule)} THEN {literal(label)}" for label, rule in rules.items())
+    small = (
+        df.withColumn("_category", F.expr(f"CASE {cases} END"))
+        .groupBy(*keys, "_category")
+        .agg(*[part for m in wanted for part in m.sums()])
+    )
+    columns = {
+        f"{label}_{suffixes[m.column]}": (m, f"_category = {literal(label)}") for label in rules for m in wanted
+    }
+    wide = small.groupBy(*keys).agg(
+        *[part for m in wanted for part in m.sums_of_parts()],
+        *[part for label, (m, test) in columns.items() for part in m.sums_of_parts(test, label)],
+    )
+    shown = [*[Measure(label, m.scale) for label, (m, _) in columns.items()], *wanted]
+    values = [f"{currency(m.value(unit), rounding)} AS {name(m.column)}" for m in shown]
+    return _sorted(wide, order).selectExpr(*_names(keys), *values)

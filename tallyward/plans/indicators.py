@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.calendar import month_start, month_text
-from tallyward.functions.money import HUNDRED_THOUSANDTH, percent_text, ratio, ratio_even, scaled_even
+from tallyward.functions.money import HALF_EVEN, HUNDRED_THOUSANDTH, percent_text, ratio, ratio_even
 from tallyward.operators.aggregates import rule_sums
-from tallyward.operators.frames import over_columns, union_all
+from tallyward.operators.frames import union_all
 from tallyward.operators.joins import merge
 from tallyward.period import Period
 
@@ -94,7 +94,7 @@ def visit_indicators(
         ),
         F.count_distinct("user_id").alias("patients"),
     )
-    rate = ratio(F.col("return_visits"), F.col("visits"))
+    rate = ratio("return_visits", "visits")
     if ordered:
         counted = counted.orderBy("hospital_name", F.desc("_month"), F.desc(rate))
     return counted.select(
@@ -105,7 +105,7 @@ def visit_indicators(
         "return_visits",
         percent_text(rate).alias("return_rate"),
         "patients",
-        ratio(F.col("visits"), F.col("patients"), 2).alias("visits_per_patient"),
+        ratio("visits", "patients", 2).alias("visits_per_patient"),
     )
 
 
@@ -149,29 +149,28 @@ def income_cost(
         keys,
         {name: rules[name] for name in shown},
         {"total_price": "fee", "total_cost_price": "cost"},
+        unit,
+        HALF_EVEN,
+        ["hospital_name", F.desc("_month")] if ordered else (),
     )
     if parity and "other" in shown:
         sums = sums.withColumn("other_cost", F.col("other_fee"))
     values = [f"{name}_{suffix}" for name in shown for suffix in ("fee", "cost")]
-    report = over_columns(sums, [*values, "total_price", "total_cost_price"], lambda c: scaled_even(c, unit))
-    report = report.withColumn("gross_profit", F.col("total_price") - F.col("total_cost_price"))
-    if ordered:
-        report = report.orderBy("hospital_name", F.desc("_month"))
-    return report.select(
+    return sums.select(
         "hospital_name",
         person,
         month_text(F.col("_month")).alias("month"),
         *values,
         "total_price",
         "total_cost_price",
-        "gross_profit",
+        F.expr("total_price - total_cost_price AS gross_profit"),
     )
 
 
 def merge_indicators(indicators: DataFrame, money: DataFrame, role: str = "doctor") -> DataFrame:
     """Both reports side by side where both have the group, with the average ticket."""
     joined = merge(indicators, money, ["hospital_name", _role(role), "month"])
-    ticket = ratio_even(F.col("total_price"), F.col("visits"))
+    ticket = ratio_even("total_price", "visits")
     return joined.withColumn("average_ticket", ticket).drop("total_cost_price")
 
 

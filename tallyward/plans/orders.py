@@ -17,7 +17,7 @@ from tallyward.functions.labels import (
     decode,
     two_way,
 )
-from tallyward.functions.money import AMOUNT, TEN_THOUSANDTH, amount, scaled
+from tallyward.functions.money import AMOUNT, TEN_THOUSANDTH, scaled
 from tallyward.operators.joins import drop_listed, keep_listed
 from tallyward.period import Period
 
@@ -52,7 +52,7 @@ def inquiry_orders(
         "user_id",
         "doctor_name",
         "buy_type",
-        amount(inquiries, "ord_amount").alias("ord_amount"),
+        scaled(inquiries, "ord_amount", unit).alias("amount"),
         "create_date",
         "ord_state",
         "pay_state",
@@ -69,7 +69,7 @@ def inquiry_orders(
         "doctor_name",
         "doctor_phone",
         "department",
-        scaled(F.col("ord_amount"), unit).alias("amount"),
+        "amount",
         "create_date",
         decode("ord_state", states).alias("ord_state"),
         decode("pay_state", pay_states).alias("pay_state"),
@@ -99,7 +99,7 @@ def online_orders(
         "user_id",
         "user_name",
         "doctor_name",
-        amount(orders, "total_price").alias("total_price"),
+        scaled(orders, "total_price", unit).alias("amount"),
         "create_date",
         "ord_state",
         "pay_state",
@@ -116,7 +116,7 @@ def online_orders(
         "department",
         "bill_id",
         "doctor_name",
-        scaled(F.col("total_price"), unit).alias("amount"),
+        "amount",
         decode("ord_state", states).alias("ord_state"),
         decode("pay_state", pay_states).alias("pay_state"),
         "pay_date",

@@ -8,11 +8,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.calendar import day
 from tallyward.functions.labels import PAY_METHOD_COLUMNS
 from tallyward.functions.money import TEN_THOUSANDTH
 from tallyward.operators.aggregates import scaled_sums, spread, spread_rounded
-from tallyward.operators.frames import fill_nulls
 from tallyward.period import GRAINS, Period
 from tallyward.sources.schemas import CHARGE_MEASURES
 
@@ -60,15 +58,11 @@ def paid_visits(
     chosen = period.restrict(pay, "create_date").filter(
         (F.col("buy_type") == buy_type) & F.col("state").isin(*states)
     )
-    left = chosen.select("order_id", day(F.col("create_date")).alias("pay_day"), *carry)
+    left = chosen.select("order_id", F.to_date("create_date").alias("pay_day"), *carry)
     right = visits.select("registered_ord_id", *keys)
     return left.join(right, left["order_id"] == right["registered_ord_id"])
 
 
-def _day_as_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("pay_day", F.col("pay_day").cast("string")) if "pay_day" in df.columns else df
-
-
 def payment_methods(
     pay: DataFrame,
     visits: DataFrame,
@@ -91,9 +85,11 @@ def payment_methods(
     names = _level_keys(level)
     keys = [*names, "pay_day"] if _by_day(grain) else names
     rows = paid_visits(pay, visits, period, names, states, buy_type, ["pay_type", *PAY_MEASURES])
-    wide = spread_rounded(rows, keys, "pay_type", methods, "pay_amount", PAY_MEASURES, unit, exact)
-    report = period.stamp(_day_as_text(wide))
-    return report.orderBy(*keys) if ordered else report
+    add_up = spread if exact else spread_rounded
+    report = add_up(
+        rows, keys, "pay_type", methods, "pay_amount", PAY_MEASURES, unit, order=keys if ordered else ()
+    )
+    return period.stamp(report)
 
 
 def charge_categories(
@@ -121,15 +117,12 @@ def charge_categories(
     paid = paid_visits(pay, visits, period, names, states, buy_type, ["pay_order_id"])
     fees = classify.select("pay_order_id", *measures)
     rows = fees.join(paid.select("pay_order_id", *keys), "pay_order_id")
-    report = period.stamp(_day_as_text(scaled_sums(rows, keys, measures, unit)))
-    if not ordered:
-        return report
-    return report.orderBy(*names, F.desc("pay_day")) if by_day else report.orderBy(*names)
+    order = [*names, F.desc("pay_day")] if by_day else names
+    return period.stamp(scaled_sums(rows, keys, measures, unit, order=order if ordered else ()))
 
 
 def sheet_by_method(
     sheet: DataFrame, columns: Mapping[str, str], clinic: str, method: str, paid: str
 ) -> DataFrame:
     """A sheet of payments pivoted to one row per clinic: the paid sum, and one column per method."""
-    wide = spread(fill_nulls(sheet), [clinic], method, columns, paid, [paid])
-    return fill_nulls(wide)
+    return spread(sheet, [clinic], method, columns, paid, [paid])

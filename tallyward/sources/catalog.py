@@ -82,16 +82,23 @@ class Database:
 
 
 class Sources:
-    """Registry of named sources, ``main`` being the default."""
+    """Registry of named sources, ``main`` being the default.
+
+    A registry opens each table once, so that a report reading one several times
+    lists its files and fetches its schema only once.
+    """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, Files | Database]):
         self.spark = spark
         self._sources = dict(sources)
+        self._opened: dict[tuple[str, str], DataFrame] = {}
 
     def table(self, name: str, source: str = "main") -> DataFrame:
         if source not in self._sources:
             raise KeyError(f"no source {source!r}; known: {sorted(self._sources)}")
-        return self._sources[source].read(self.spark, name)
+        if (source, name) not in self._opened:
+            self._opened[source, name] = self._sources[source].read(self.spark, name)
+        return self._opened[source, name]
 
     def tables(self, names: Iterable[str], source: str = "main") -> dict[str, DataFrame]:
         return {name: self.table(name, source) for name in names}

@@ -243,12 +243,12 @@ def _profile() -> str:
     parts = []
     for category in PROFILE_CATEGORIES:
         test = _rule_test(PROFILE_RULES[category], codes)
-        fee, cost = (f"sum(CASE WHEN {test} THEN {v} ELSE 0 END)" for v in (PRICE, COST))
+        fee, cost = (f"round(sum(CASE WHEN {test} THEN {v} ELSE 0 END), 2)" for v in (PRICE, COST))
         parts += [f"{fee} AS {category}_fee", f"{cost} AS {category}_cost", f"{fee} - {cost} AS {category}_profit"]
     return f"""
         SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
-               n_name AS clinic, {', '.join(parts)}, sum({PRICE}) AS income, sum({COST}) AS cost,
-               sum({PRICE}) - sum({COST}) AS profit
+               n_name AS clinic, {', '.join(parts)}, round(sum({PRICE}), 2) AS income,
+               round(sum({COST}), 2) AS cost, round(sum({PRICE}), 2) - round(sum({COST}), 2) AS profit
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
         GROUP BY 1, 2, 3"""
 
@@ -263,7 +263,7 @@ def _profile_reorder() -> str:
 
 def _profile_row() -> str:
     rows = " UNION ALL ".join(
-        f"SELECT '{c}' AS field, CAST({c if c in PROFILE_KEYS else f'CAST({c} AS DECIMAL(28,4))'} AS VARCHAR) AS value "
+        f"SELECT '{c}' AS field, CAST({c if c in PROFILE_KEYS else f'CAST({c} AS DECIMAL(28,2))'} AS VARCHAR) AS value "
         "FROM head"
         for c in PROFILE_ORDER
     )

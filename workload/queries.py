@@ -13,6 +13,7 @@ from tallyward import Period
 from tallyward.functions import calendar as cal
 from tallyward.functions.labels import decode, two_way
 from tallyward.functions.money import TEN_THOUSANDTH
+from tallyward.functions.sql import name
 from tallyward.functions.text import commonest_char
 from tallyward.operators import frames, joins, windows
 from tallyward.operators.aggregates import rule_sums
@@ -34,24 +35,24 @@ def present(df: DataFrame) -> DataFrame:
     """Plain output types: decimals as doubles, dates and times as text."""
     shown = []
     for field in df.schema.fields:
-        c = F.col(field.name)
+        c = name(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            c = c.cast("double")
+            c = f"CAST({c} AS DOUBLE)"
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        shown.append(c.alias(field.name))
-    return df.select(*shown)
+            c = f"CAST({c} AS STRING)"
+        shown.append(f"{c} AS {name(field.name)}")
+    return df.selectExpr(*shown)
 
 
 # --- payments -----------------------------------------------------------------
 
 
-def pay_method(level: str, grain: str, spark: SparkSession, sf_dir: str, exact: bool = False) -> DataFrame:
+def pay_method(level: str, grain: str, src: t.Sources, exact: bool = False) -> DataFrame:
     return payments.payment_methods(
-        t.payments(spark, sf_dir),
-        t.clinic_visits(spark, sf_dir),
+        t.payments(src),
+        t.clinic_visits(src),
         ORDER_DAYS,
         level,
         grain,
@@ -61,11 +62,11 @@ def pay_method(level: str, grain: str, spark: SparkSession, sf_dir: str, exact:
     )
 
 
-def charge_category(level: str, grain: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def charge_category(level: str, grain: str, src: t.Sources) -> DataFrame:
     return payments.charge_categories(
-        t.classified(spark, sf_dir),
-        t.payments(spark, sf_dir),
-        t.clinic_visits(spark, sf_dir),
+        t.classified(src),
+        t.payments(src),
+        t.clinic_visits(src),
         ORDER_DAYS,
         level,
         grain,
@@ -73,10 +74,10 @@ def charge_category(level: str, grain: str, spark: SparkSession, sf_dir: str) ->
     )
 
 
-def pivot_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visit, placed = t.clinic_visits(spark, sf_dir), t.load(spark, sf_dir, "orders")
+def pivot_from_file(src: t.Sources) -> DataFrame:
+    visit, placed = t.clinic_visits(src), src.table("orders")
     sheet = placed.join(visit, placed["o_custkey"] == visit["registered_ord_id"]).select(
-        "hospital_name", F.col("o_orderpriority").alias("pay_type"), t.money("o_totalprice").alias("pay_amount")
+        "hospital_name", F.col("o_orderpriority").alias("pay_type"), F.col("o_totalprice").cast("decimal(18,2)").alias("pay_amount")
     )
     columns = {method: method for method in t.METHODS}
     wide = payments.sheet_by_method(sheet, columns, "hospital_name", "pay_type", "pay_amount")
@@ -86,15 +87,15 @@ def pivot_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- visits, income and cost ----------------------------------------------------
 
 
-def visit_indicators(role: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indicators.visit_indicators(t.visits(spark, sf_dir), ORDER_DAYS, role)
+def visit_indicators(role: str, src: t.Sources) -> DataFrame:
+    return indicators.visit_indicators(t.visits(src), ORDER_DAYS, role)
 
 
-def income_cost(role: str, spark: SparkSession, sf_dir: str, parity: bool = False) -> DataFrame:
+def income_cost(role: str, src: t.Sources, parity: bool = False) -> DataFrame:
     return indicators.income_cost(
-        t.fee_lines(spark, sf_dir),
-        t.fee_payments(spark, sf_dir),
-        t.hospitals(spark, sf_dir),
+        t.fee_lines(src),
+        t.fee_payments(src),
+        t.hospitals(src),
         ORDER_DAYS,
         role,
         rules=t.RULES,
@@ -102,14 +103,14 @@ def income_cost(role: str, spark: SparkSession, sf_dir: str, parity: bool = Fals
     )
 
 
-def merged_summary(role: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def merged_summary(role: str, src: t.Sources) -> DataFrame:
     return indicators.merged_summary(
-        t.summary_tables(spark, sf_dir), ORDER_DAYS, role, money_options={"rules": t.RULES}
+        t.summary_tables(src), ORDER_DAYS, role, money_options={"rules": t.RULES}
     )
 
 
-def merged_two_sources(role: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = t.summary_tables(spark, sf_dir)
+def merged_two_sources(role: str, src: t.Sources) -> DataFrame:
+    source = t.summary_tables(src)
     return indicators.merged_sources(
         {name: source for name in t.CLINICS}, ORDER_DAYS, role, t.CLINICS, money_options={"rules": t.RULES}
     )
@@ -118,11 +119,11 @@ def merged_two_sources(role: str, spark: SparkSession, sf_dir: str) -> DataFrame
 # --- order lists ------------------------------------------------------------------
 
 
-def inquiry_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inquiry_orders(src: t.Sources) -> DataFrame:
     return orders.inquiry_orders(
-        t.order_lines(spark, sf_dir),
-        t.supplier_doctors(spark, sf_dir),
-        t.part_patients(spark, sf_dir),
+        t.order_lines(src),
+        t.supplier_doctors(src),
+        t.part_patients(src),
         SHIP_DAYS,
         "A",
         inquiry_type=INQUIRY_TYPE,
@@ -132,11 +133,11 @@ def inquiry_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def online_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def online_orders(src: t.Sources) -> DataFrame:
     return orders.online_orders(
-        t.order_lines(spark, sf_dir),
-        t.supplier_doctors(spark, sf_dir),
-        t.part_patients(spark, sf_dir),
+        t.order_lines(src),
+        t.supplier_doctors(src),
+        t.part_patients(src),
         SHIP_DAYS,
         "B",
         states=t.ORDER_STATES,
@@ -144,32 +145,32 @@ def online_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inquiry_orders_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders.order_sums(inquiry_orders(spark, sf_dir), orders.INQUIRY_GROUP)
+def inquiry_orders_sum(src: t.Sources) -> DataFrame:
+    return orders.order_sums(inquiry_orders(src), orders.INQUIRY_GROUP)
 
 
-def online_orders_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders.order_sums(online_orders(spark, sf_dir), orders.ONLINE_GROUP)
+def online_orders_sum(src: t.Sources) -> DataFrame:
+    return orders.order_sums(online_orders(src), orders.ONLINE_GROUP)
 
 
-def not_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+def not_in_list(src: t.Sources) -> DataFrame:
     """Customers not among those with a pending order."""
-    pending = t.load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
-    rest = joins.not_in(t.load(spark, sf_dir, "customer"), pending, "c_custkey", "o_custkey")
+    pending = src.table("orders").filter(F.col("o_orderstatus") == "P")
+    rest = joins.not_in(src.table("customer"), pending, "c_custkey", "o_custkey")
     return rest.select("c_custkey", "c_name")
 
 
 # --- doctors -----------------------------------------------------------------------
 
 
-def doctor_activity(spark: SparkSession, sf_dir: str, parity: bool = False) -> DataFrame:
+def doctor_activity(src: t.Sources, parity: bool = False) -> DataFrame:
     return activity.doctor_activity(
-        t.customer_doctors(spark, sf_dir),
-        t.followers(spark, sf_dir),
-        t.signups(spark, sf_dir),
-        t.clicks(spark, sf_dir),
-        t.purchases(spark, sf_dir),
-        t.referrers(spark, sf_dir),
+        t.customer_doctors(src),
+        t.followers(src),
+        t.signups(src),
+        t.clicks(src),
+        t.purchases(src),
+        t.referrers(src),
         EVENT_WEEK,
         "B",
         ("NATION",),
@@ -181,38 +182,38 @@ TWENTIETH = threshold.Threshold(20, EVENT_DAYS, 1)
 THIRD = threshold.Threshold(3, EVENT_DAYS, 1)
 
 
-def registration_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def registration_counts(src: t.Sources) -> DataFrame:
     return threshold.registration_counts(
-        t.registrations(spark, sf_dir), t.customer_doctors(spark, sf_dir), TWENTIETH
+        t.registrations(src), t.customer_doctors(src), TWENTIETH
     )
 
 
-def nth_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return threshold.nth_registration(t.registrations(spark, sf_dir), t.customer_doctors(spark, sf_dir), TWENTIETH)
+def nth_registration(src: t.Sources) -> DataFrame:
+    return threshold.nth_registration(t.registrations(src), t.customer_doctors(src), TWENTIETH)
 
 
-def registration_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, doctors = t.registrations(spark, sf_dir), t.customer_doctors(spark, sf_dir)
+def registration_detail(src: t.Sources) -> DataFrame:
+    rows, doctors = t.registrations(src), t.customer_doctors(src)
     reached = threshold.nth_registration(rows, doctors, TWENTIETH, ordered=False)
-    return threshold.registration_detail(rows, t.part_patients(spark, sf_dir), doctors, reached, TWENTIETH)
+    return threshold.registration_detail(rows, t.part_patients(src), doctors, reached, TWENTIETH)
 
 
-def dense_nth_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dense_nth_registration(src: t.Sources) -> DataFrame:
     return threshold.dense_nth_registration(
-        t.registrations(spark, sf_dir, by_day=True), t.customer_doctors(spark, sf_dir), THIRD
+        t.registrations(src, by_day=True), t.customer_doctors(src), THIRD
     )
 
 
-def nth_event_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nth_event_large(src: t.Sources) -> DataFrame:
     """The 1500th event of each type, found by counting."""
-    return windows.nth_event(t.load(spark, sf_dir, "events"), ["event_type"], "ts", 1500)
+    return windows.nth_event(src.table("events"), ["event_type"], "ts", 1500)
 
 
 # --- sheets and small operators ------------------------------------------------------
 
 
-def exclude_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = t.load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+def exclude_by_words(src: t.Sources) -> DataFrame:
+    part = src.table("part").select("p_partkey", "p_name", "p_type")
     return sheets.exclude_by_words(part, {"p_name": ("red", "bolt"), "p_type": ("ECONOMY", "SMALL")})
 
 
@@ -240,40 +241,37 @@ PROFILE_ORDER = (
 )
 
 
-def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profile(src: t.Sources) -> DataFrame:
     """A profit table per year, month and supplier nation, its columns not yet in report order."""
-    lines, supplier, nation = (t.load(spark, sf_dir, n) for n in ("lineitem", "supplier", "nation"))
+    lines, supplier, nation = (src.table(n) for n in ("lineitem", "supplier", "nation"))
     places = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
-    price = t.hundredths("l_extendedprice")
-    rows = lines.join(places, lines["l_suppkey"] == places["s_suppkey"]).select(
-        F.year("l_shipdate").alias("year"),
-        F.month("l_shipdate").alias("month"),
-        F.col("n_name").alias("clinic"),
+    rows = lines.join(places, lines["l_suppkey"] == places["s_suppkey"]).selectExpr(
+        "year(l_shipdate) AS year",
+        "month(l_shipdate) AS month",
+        "n_name AS clinic",
         "l_returnflag",
         "l_linestatus",
         "l_linenumber",
-        (price * 100).alias("income"),
-        (price * (F.lit(100) - t.hundredths("l_discount"))).alias("cost"),
+        f"{t.PRICE} * 100 AS income",
+        f"{t.COST} AS cost",
     )
-    units = rule_sums(rows, ["year", "month", "clinic"], PROFILE_RULES, {"income": "fee", "cost": "cost"})
-    values = [c for c in units.columns if c not in ("year", "month", "clinic")]
-    sums = frames.over_columns(units, values, lambda c: (c * F.lit(TEN_THOUSANDTH)).cast("decimal(28,4)"))
-    profits = {f"{c}_profit": F.col(f"{c}_fee") - F.col(f"{c}_cost") for c in PROFILE_CATEGORIES}
-    return sums.withColumns({**profits, "profit": F.col("income") - F.col("cost")})
+    sums = rule_sums(
+        rows, ["year", "month", "clinic"], PROFILE_RULES, {"income": "fee", "cost": "cost"}, TEN_THOUSANDTH
+    )
+    profits = [f"{c}_fee - {c}_cost AS {c}_profit" for c in PROFILE_CATEGORIES]
+    return sums.selectExpr("*", *profits, "income - cost AS profit")
 
 
-def profile_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.reorder_profile(profile(spark, sf_dir), PROFILE_ORDER)
+def profile_reorder(src: t.Sources) -> DataFrame:
+    return sheets.reorder_profile(profile(src), PROFILE_ORDER)
 
 
-def profile_row_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    money = [c for c in PROFILE_ORDER if c not in ("year", "month", "clinic")]
-    whole = frames.over_columns(profile(spark, sf_dir), money, lambda c: c.cast("decimal(28,4)"))
-    return sheets.profile_head(whole, ["year", "month", "clinic"], PROFILE_ORDER)
+def profile_row_unpivot(src: t.Sources) -> DataFrame:
+    return sheets.profile_head(profile(src), ["year", "month", "clinic"], PROFILE_ORDER)
 
 
-def char_mode_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = t.load(spark, sf_dir, "documents").select("doc_id", commonest_char("text").alias("best"))
+def char_mode_positions(src: t.Sources) -> DataFrame:
+    best = src.table("documents").select("doc_id", commonest_char("text").alias("best"))
     return best.select(
         "doc_id",
         F.col("best.char").alias("char"),
@@ -282,19 +280,19 @@ def char_mode_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def top_k_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = t.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+def top_k_priority(src: t.Sources) -> DataFrame:
+    placed = src.table("orders").select("o_orderkey", "o_totalprice")
     return windows.top_k(placed, "o_totalprice", "o_orderkey", 100)
 
 
-def top_k_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = t.load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+def top_k_per_group(src: t.Sources) -> DataFrame:
+    placed = src.table("orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return windows.top_k_per_group(placed, ["o_custkey"], "o_totalprice", "o_orderkey", 3)
 
 
-def calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar_bounds(src: t.Sources) -> DataFrame:
     d = F.col("o_orderdate")
-    return t.load(spark, sf_dir, "orders").select(
+    return src.table("orders").select(
         "o_orderkey",
         cal.day_text(d).alias("day"),
         cal.month_text(d).alias("month"),
@@ -311,8 +309,8 @@ def calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.load(spark, sf_dir, "orders").select(
+def label_decode(src: t.Sources) -> DataFrame:
+    return src.table("orders").select(
         "o_orderkey",
         decode("o_orderpriority", t.METHODS).alias("method"),
         decode("o_orderstatus", {"F": "finished", "O": "open"}).alias("state"),
@@ -320,10 +318,10 @@ def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bad_date_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bad_date_rows(src: t.Sources) -> DataFrame:
     """Dates written without leading zeros: some of the texts are well formed, some are not."""
     d = F.col("o_orderdate")
-    texts = t.load(spark, sf_dir, "orders").select(
+    texts = src.table("orders").select(
         "o_orderkey", F.concat_ws("-", F.year(d), F.month(d), F.dayofmonth(d)).alias("date_text")
     )
     good, bad = frames.split_by_date(texts, "date_text")
@@ -333,22 +331,24 @@ def bad_date_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.withColumn("date", F.coalesce(cal.day_text(F.col("date")), F.lit("-")))
 
 
-def missing_column_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = t.load(spark, sf_dir, "customer").select(
+def missing_column_union(src: t.Sources) -> DataFrame:
+    customers = src.table("customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
     )
-    suppliers = t.load(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), t.money("s_acctbal").alias("balance")
+    suppliers = src.table("supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.col("s_name").alias("name"),
+        F.col("s_acctbal").cast("decimal(18,2)").alias("balance"),
     )
     both = frames.union_all([customers, suppliers], missing=True)
     return frames.add_missing(frames.fill_nulls(both, text="0"), ["visits"])
 
 
-def null_fill_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+def null_fill_drop(src: t.Sources) -> DataFrame:
     """Customers with their suppliers of the same number: most have none."""
-    customers = t.load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    suppliers = t.load(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("c_custkey"), "s_name", t.money("s_acctbal").alias("balance"), "s_nationkey"
+    customers = src.table("customer").select("c_custkey", "c_mktsegment")
+    suppliers = src.table("supplier").selectExpr(
+        "s_suppkey AS c_custkey", "s_name", "CAST(s_acctbal AS DECIMAL(18,2)) AS balance", "s_nationkey"
     )
     wide = customers.join(suppliers, "c_custkey", "left")
     parts = {
@@ -403,5 +403,5 @@ def registry() -> dict[str, Query]:
     return {name: _presented(query) for name, query in found.items()}
 
 
-def _presented(query: Query) -> Query:
-    return lambda spark, sf_dir: present(query(spark, sf_dir))
+def _presented(query: Callable[[t.Sources], DataFrame]) -> Query:
+    return lambda spark, sf_dir: present(query(t.given(spark, sf_dir)))

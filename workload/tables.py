@@ -1,29 +1,29 @@
 """The given tables under the column names of the clinic tables.
 
-Only renames, casts to decimal and simple codes: the reports themselves do the work.
+Only renames, simple codes and amounts as whole numbers, the way the clinic tables
+keep money: the reports themselves do the work.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.sources.catalog import Files, Sources
 from tallyward.sources.schemas import CHARGE_MEASURES
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return Sources(spark, {"main": Files(sf_dir)}).table(name)
+def given(spark: SparkSession, sf_dir: str) -> Sources:
+    return Sources(spark, {"main": Files(sf_dir)})
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+def hundredths(column: str) -> str:
+    """The double as a whole number of hundredths."""
+    return f"CAST(rint({column} * 100) AS BIGINT)"
 
 
-def hundredths(column: str) -> Column:
-    """The double as a whole number of hundredths, as the clinic tables keep money."""
-    return F.rint(F.col(column) * 100).cast("bigint")
-
+PRICE = hundredths("l_extendedprice")
+# Units of 1/10000: the price less its discount.
+COST = f"{PRICE} * (100 - {hundredths('l_discount')})"
 
 # --- payments -------------------------------------------------------------
 
@@ -50,43 +50,42 @@ BASES = ("quantity", "price", "discount", "tax")
 CHARGES = {name: (BASES[i % 4], i // 4 + 1) for i, name in enumerate(CHARGE_MEASURES)}
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(src: Sources) -> DataFrame:
     """Orders as payments; the customer stands for the visit."""
     price = hundredths("o_totalprice")
-    return load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("pay_order_id"),
-        F.col("o_custkey").alias("order_id"),
-        F.lit(1).alias("buy_type"),
-        F.col("o_orderstatus").alias("state"),
-        F.col("o_orderpriority").alias("pay_type"),
-        *[(price * factor).alias(name) for name, factor in PAY_FACTORS.items()],
-        F.col("o_orderdate").alias("create_date"),
+    return src.table("orders").selectExpr(
+        "o_orderkey AS pay_order_id",
+        "o_custkey AS order_id",
+        "1 AS buy_type",
+        "o_orderstatus AS state",
+        "o_orderpriority AS pay_type",
+        *[f"{price} * {factor} AS {name}" for name, factor in PAY_FACTORS.items()],
+        "o_orderdate AS create_date",
     )
 
 
-def clinic_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clinic_visits(src: Sources) -> DataFrame:
     """Customers with their nation as clinic."""
-    customer, nation = load(spark, sf_dir, "customer"), load(spark, sf_dir, "nation")
-    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
-        F.col("c_custkey").alias("registered_ord_id"),
-        F.col("n_name").alias("hospital_name"),
-        F.col("c_mktsegment").alias("depart_name"),
-        F.col("c_name").alias("doctor_name"),
+    customer, nation = src.table("customer"), src.table("nation")
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "c_custkey AS registered_ord_id",
+        "n_name AS hospital_name",
+        "c_mktsegment AS depart_name",
+        "c_name AS doctor_name",
     )
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def classified(src: Sources) -> DataFrame:
     """Line items as classified payments."""
-    price = hundredths("l_extendedprice")
     bases = {
-        "quantity": F.col("l_quantity").cast("bigint"),
-        "price": price,
-        "discount": price * hundredths("l_discount"),
-        "tax": price * hundredths("l_tax"),
+        "quantity": "CAST(l_quantity AS BIGINT)",
+        "price": PRICE,
+        "discount": f"{PRICE} * {hundredths('l_discount')}",
+        "tax": f"{PRICE} * {hundredths('l_tax')}",
     }
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("pay_order_id"),
-        *[(bases[base] * factor).alias(name) for name, (base, factor) in CHARGES.items()],
+    return src.table("lineitem").selectExpr(
+        "l_orderkey AS pay_order_id",
+        *[f"{bases[base]} * {factor} AS {name}" for name, (base, factor) in CHARGES.items()],
     )
 
 
@@ -112,66 +111,62 @@ RULES = {
 }
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visits(src: Sources) -> DataFrame:
     """Orders as visits: open ones are return visits, pending ones neither first nor return."""
-    orders, customer, nation = (load(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    orders, customer, nation = src.table("orders"), src.table("customer"), src.table("nation")
     placed = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
-    status = F.col("o_orderstatus")
-    return orders.join(placed, orders["o_custkey"] == placed["c_custkey"]).select(
-        F.col("o_orderkey").alias("registered_ord_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("c_nationkey").alias("hospital_id"),
-        F.col("n_name").alias("hospital_name"),
-        F.col("c_mktsegment").alias("doctor_name"),
-        F.col("o_orderpriority").alias("consultants_name"),
-        F.when(status == "F", 1).when(status == "O", 2).otherwise(3).alias("registered_type"),
-        F.lit(5).alias("state"),
-        F.col("o_orderdate").alias("create_date"),
+    return orders.join(placed, orders["o_custkey"] == placed["c_custkey"]).selectExpr(
+        "o_orderkey AS registered_ord_id",
+        "o_custkey AS user_id",
+        "c_nationkey AS hospital_id",
+        "n_name AS hospital_name",
+        "c_mktsegment AS doctor_name",
+        "o_orderpriority AS consultants_name",
+        "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS registered_type",
+        "5 AS state",
+        "o_orderdate AS create_date",
     )
 
 
-def fee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fee_lines(src: Sources) -> DataFrame:
     """Line items as fee lines; the supplier's nation is the clinic of the line."""
-    lines, supplier = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "supplier")
-    price = hundredths("l_extendedprice")
-    return lines.join(supplier, lines["l_suppkey"] == supplier["s_suppkey"]).select(
-        F.col("l_orderkey").alias("pay_order_id"),
-        F.col("s_nationkey").alias("hospital_id"),
-        F.col("l_returnflag").alias("subject_type"),
-        F.col("l_linestatus").alias("subject_id"),
-        F.col("l_linenumber").alias("item_type"),
-        F.lit(2).alias("pay_state"),
-        (price * 100).alias("total_price"),
-        (price * (F.lit(100) - hundredths("l_discount"))).alias("total_cost_price"),
+    lines, supplier = src.table("lineitem"), src.table("supplier")
+    return lines.join(supplier, lines["l_suppkey"] == supplier["s_suppkey"]).selectExpr(
+        "l_orderkey AS pay_order_id",
+        "s_nationkey AS hospital_id",
+        "l_returnflag AS subject_type",
+        "l_linestatus AS subject_id",
+        "l_linenumber AS item_type",
+        "2 AS pay_state",
+        f"{PRICE} * 100 AS total_price",
+        f"{COST} AS total_cost_price",
     )
 
 
-def fee_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fee_payments(src: Sources) -> DataFrame:
     """Orders as the payments behind the fee lines; pending ones are not paid."""
-    orders, customer = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
-    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
-        F.col("o_orderkey").alias("pay_order_id"),
-        F.col("c_nationkey").alias("hospital_id"),
-        F.col("c_mktsegment").alias("doctor_name"),
-        F.col("o_orderpriority").alias("consultants_name"),
-        F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("state"),
-        F.lit(1).alias("buy_type"),
-        F.col("o_orderdate").alias("registered_create_date"),
+    orders, customer = src.table("orders"), src.table("customer")
+    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).selectExpr(
+        "o_orderkey AS pay_order_id",
+        "c_nationkey AS hospital_id",
+        "c_mktsegment AS doctor_name",
+        "o_orderpriority AS consultants_name",
+        "CASE o_orderstatus WHEN 'P' THEN 0 ELSE 1 END AS state",
+        "1 AS buy_type",
+        "o_orderdate AS registered_create_date",
     )
 
 
-def hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("hospital_id"), F.col("n_name").alias("hospital_name")
-    )
+def hospitals(src: Sources) -> DataFrame:
+    return src.table("nation").selectExpr("n_nationkey AS hospital_id", "n_name AS hospital_name")
 
 
-def summary_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def summary_tables(src: Sources) -> dict[str, DataFrame]:
     return {
-        "ord_registered": visits(spark, sf_dir),
-        "ord_fee_detail": fee_lines(spark, sf_dir),
-        "ord_pay": fee_payments(spark, sf_dir),
-        "sec_hospital": hospitals(spark, sf_dir),
+        "ord_registered": visits(src),
+        "ord_fee_detail": fee_lines(src),
+        "ord_pay": fee_payments(src),
+        "sec_hospital": hospitals(src),
     }
 
 
@@ -181,113 +176,98 @@ ORDER_STATES = {"A": "waiting", "N": "answered"}
 ORDER_PAY_STATES = {"F": "paid"}
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(src: Sources) -> DataFrame:
     """Line items as inquiries and online orders: the supplier is the doctor, the part the patient."""
-    doctor, patient = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("inquiry_ord_id"),
-        F.col("l_linenumber").alias("medical_ord_id"),
-        F.col("l_suppkey").alias("doctor_id"),
-        F.col("l_partkey").alias("user_id"),
-        F.concat(F.lit("doctor "), doctor).alias("doctor_name"),
-        F.concat(F.lit("patient "), patient).alias("user_name"),
-        F.col("l_linenumber").alias("buy_type"),
-        hundredths("l_extendedprice").alias("ord_amount"),
-        hundredths("l_extendedprice").alias("total_price"),
-        F.col("l_returnflag").alias("ord_state"),
-        F.col("l_linestatus").alias("pay_state"),
-        (F.col("l_discount") > 0).cast("int").alias("abnormal_state"),
-        F.col("l_shipdate").alias("create_date"),
-        F.col("l_shipdate").alias("pay_date"),
+    return src.table("lineitem").selectExpr(
+        "l_orderkey AS inquiry_ord_id",
+        "l_linenumber AS medical_ord_id",
+        "l_suppkey AS doctor_id",
+        "l_partkey AS user_id",
+        "concat('doctor ', l_suppkey) AS doctor_name",
+        "concat('patient ', l_partkey) AS user_name",
+        "l_linenumber AS buy_type",
+        f"{PRICE} AS ord_amount",
+        f"{PRICE} AS total_price",
+        "l_returnflag AS ord_state",
+        "l_linestatus AS pay_state",
+        "CAST(l_discount > 0 AS INT) AS abnormal_state",
+        "l_shipdate AS create_date",
+        "l_shipdate AS pay_date",
     )
 
 
-def supplier_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_name").alias("phone"),
-        F.col("s_nationkey").cast("string").alias("department"),
-        F.when(F.col("s_acctbal") < 0, "B").otherwise("A").alias("binding_mechanism"),
+def supplier_doctors(src: Sources) -> DataFrame:
+    return src.table("supplier").selectExpr(
+        "s_suppkey AS id",
+        "s_name AS phone",
+        "CAST(s_nationkey AS STRING) AS department",
+        "CASE WHEN s_acctbal < 0 THEN 'B' ELSE 'A' END AS binding_mechanism",
     )
 
 
-def part_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("user_id"),
-        F.col("p_name").alias("user_name"),
-        F.when(F.col("p_size") <= 25, 1).otherwise(2).alias("user_sex"),
-        F.col("p_brand").alias("bill_id"),
+def part_patients(src: Sources) -> DataFrame:
+    return src.table("part").selectExpr(
+        "p_partkey AS user_id",
+        "p_name AS user_name",
+        "CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS user_sex",
+        "p_brand AS bill_id",
     )
 
 
 # --- doctors and their events -----------------------------------------------
 
 
-def customer_doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("medical_institution"),
-        F.col("c_nationkey").cast("string").alias("department"),
-        F.col("c_nationkey").alias("recommend_id"),
-        F.when(F.col("c_acctbal") < 0, "B").otherwise("A").alias("binding_mechanism"),
+def customer_doctors(src: Sources) -> DataFrame:
+    return src.table("customer").selectExpr(
+        "c_custkey AS id",
+        "c_name AS name",
+        "c_mktsegment AS medical_institution",
+        "CAST(c_nationkey AS STRING) AS department",
+        "c_nationkey AS recommend_id",
+        "CASE WHEN c_acctbal < 0 THEN 'B' ELSE 'A' END AS binding_mechanism",
     )
 
 
-def referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("recommend_id"), F.col("n_name").alias("name")
-    )
+def referrers(src: Sources) -> DataFrame:
+    return src.table("nation").selectExpr("n_nationkey AS recommend_id", "n_name AS name")
 
 
-def _of_type(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    return (
-        load(spark, sf_dir, "events")
-        .filter(F.col("event_type") == event_type)
-        .withColumnsRenamed({"user_id": "doctor_id", "ts": "create_date"})
-    )
+def _of_type(src: Sources, event_type: str, *columns: str) -> DataFrame:
+    events = src.table("events").filter(f"event_type = '{event_type}'")
+    return events.selectExpr("user_id AS doctor_id", "ts AS create_date", *columns)
 
 
-def followers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views of value 100 and more, so that some doctors have none."""
-    return _of_type(spark, sf_dir, "view").select(
-        "doctor_id",
-        F.floor("value").alias("account_id"),
-        F.when(F.col("value") >= 100, 1).otherwise(0).alias("state"),
-        "create_date",
+def followers(src: Sources) -> DataFrame:
+    """Views; those of value 100 and more are valid, so that some doctors have none."""
+    return _of_type(
+        src, "view", "floor(value) AS account_id", "CASE WHEN value >= 100 THEN 1 ELSE 0 END AS state"
     )
 
 
-def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _of_type(spark, sf_dir, "signup").select(
-        "doctor_id",
-        F.floor("value").alias("user_id"),
-        F.when(F.col("value") >= 5, 1).otherwise(0).alias("state"),
-        "create_date",
-    )
+def signups(src: Sources) -> DataFrame:
+    return _of_type(src, "signup", "floor(value) AS user_id", "CASE WHEN value >= 5 THEN 1 ELSE 0 END AS state")
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _of_type(spark, sf_dir, "click").select("doctor_id", "create_date")
+def clicks(src: Sources) -> DataFrame:
+    return _of_type(src, "click")
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _of_type(spark, sf_dir, "purchase").select(
-        "doctor_id",
-        F.lit(1).alias("state"),
-        F.when(F.col("value") >= 10, 1).otherwise(0).alias("pay_state"),
-        F.when(F.col("value") < 60, 1).otherwise(2).alias("pay_type"),
-        "create_date",
+def purchases(src: Sources) -> DataFrame:
+    return _of_type(
+        src,
+        "purchase",
+        "1 AS state",
+        "CASE WHEN value >= 10 THEN 1 ELSE 0 END AS pay_state",
+        "CASE WHEN value < 60 THEN 1 ELSE 2 END AS pay_type",
     )
 
 
-def registrations(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+def registrations(src: Sources, by_day: bool = False) -> DataFrame:
     """Events as registrations; errors are void. By day, many of them share one time."""
-    ts = F.to_date("ts").cast("timestamp_ntz") if by_day else F.col("ts")
-    return load(spark, sf_dir, "events").select(
-        F.col("user_id").alias("doctor_id"),
-        F.floor("value").alias("user_id"),
-        F.lit(1).alias("brand_id"),
-        F.when(F.col("event_type") == "error", 0).otherwise(1).alias("state"),
-        ts.alias("create_date"),
+    return src.table("events").selectExpr(
+        "user_id AS doctor_id",
+        "floor(value) AS user_id",
+        "1 AS brand_id",
+        "CASE event_type WHEN 'error' THEN 0 ELSE 1 END AS state",
+        f"{'CAST(to_date(ts) AS TIMESTAMP_NTZ)' if by_day else 'ts'} AS create_date",
     )
