@@ -16,18 +16,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def key_list(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
+    """Distinct keys of a frame, ready for a semi- or anti-join.
+
+    A key much repeated in the list shrinks to one row per task before any shuffle. The
+    list is laid out by the key and its hash together, so that a join shuffles both of
+    its sides: only then does adaptive execution look at their sizes, broadcast a small
+    list and split a hot key of the other side.
+    """
+    keyed = df.select(F.col(key).alias(name or key), F.xxhash64(key).alias("_hash"))
+    return keyed.distinct().drop("_hash")
+
+
 def keep_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
-    """Rows whose key is among the listed ones (``IN (SELECT ...)``)."""
-    ids = listed.select(F.col(listed_key or key).alias("_listed"))
+    """Rows whose key is among the listed ones (``IN (SELECT ...)``); the list may repeat keys."""
+    ids = key_list(listed, listed_key or key, "_listed")
     return df.join(ids, df[key] == ids["_listed"], "left_semi")
 
 
 def drop_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
-    """Rows whose key is not among the listed ones, both keys being non-null.
-
-    For the keys of a dimension table. Where a null can occur use ``not_in``.
-    """
-    ids = listed.select(F.col(listed_key or key).alias("_listed"))
+    """Rows whose key is not among the listed ones, both keys being non-null; see ``not_in``."""
+    ids = key_list(listed, listed_key or key, "_listed")
     return df.join(ids, df[key] == ids["_listed"], "left_anti")
 
 
@@ -37,11 +46,11 @@ def not_in(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None =
     A null in the list rejects every row, a null key passes only an empty list. Both
     questions are answered by one-row subqueries; the rows go through an anti-join.
     """
-    ids = listed.select(F.col(listed_key or key).alias("_listed"))
-    found = ids.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nulls = ids.agg(F.count_if(F.col("_listed").isNull()).alias("n")).scalar()
-    rest = df.join(ids, df[key] == ids["_listed"], "left_anti")
-    return rest.filter((nulls == 0) & (F.col(key).isNotNull() | (found == 0)))
+    found = F.col(listed_key or key)
+    size = listed.agg(F.count(F.lit(1))).scalar()
+    nulls = listed.agg(F.count_if(found.isNull())).scalar()
+    rest = drop_listed(df, listed, key, listed_key)
+    return rest.filter((nulls == 0) & (F.col(key).isNotNull() | (size == 0)))
 
 
 def merge(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

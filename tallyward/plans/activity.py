@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.text import contains_any
 from tallyward.operators.frames import fill_nulls
-from tallyward.operators.joins import attach, drop_listed
+from tallyward.operators.joins import attach
 from tallyward.period import Period
-from tallyward.plans.orders import institution_doctors
+from tallyward.plans.orders import not_bound_to
 
 COUNTS = (
     "new_followers",
@@ -67,7 +67,7 @@ def doctor_activity(
             F.count_if((F.col("pay_state") == 1) & (F.col("pay_type") == 1)).alias("offline_paid"),
         ),
     ]
-    kept = drop_listed(doctors, institution_doctors(doctors, excluded_institution), "id").select(
+    kept = not_bound_to(doctors, excluded_institution).select(
         F.col("id").alias("doctor_id"),
         F.col("name").alias("doctor_name"),
         "medical_institution",

@@ -18,16 +18,26 @@ from tallyward.functions.labels import (
     two_way,
 )
 from tallyward.functions.money import AMOUNT, TEN_THOUSANDTH, scaled
-from tallyward.operators.joins import drop_listed, keep_listed
 from tallyward.period import Period
 
 INQUIRY_GROUP = ("doctor_name", "user_name", "inquiry_type", "pay_state")
 ONLINE_GROUP = ("doctor_name", "user_name", "pay_state")
+# Newest first; the further columns settle ties, and let a much repeated id be sorted by several tasks.
+LIST_ORDER = ("inquiry_ord_id", "create_date", "doctor_id", "user_id")
 
 
-def institution_doctors(doctors: DataFrame, institution: str) -> DataFrame:
-    """Ids of the doctors bound to an institution."""
-    return doctors.filter(F.col("binding_mechanism") == institution).select("id")
+def bound_to(doctors: DataFrame, institution: str) -> DataFrame:
+    """Doctors bound to the institution.
+
+    The id is the doctor table's key, so being among the ids of the institution's doctors
+    is the same as being one of them: a filter in place of a semi-join with the table itself.
+    """
+    return doctors.filter(F.col("binding_mechanism") == institution)
+
+
+def not_bound_to(doctors: DataFrame, institution: str) -> DataFrame:
+    """Doctors not bound to the institution, those without any included; see ``bound_to``."""
+    return doctors.filter(~F.col("binding_mechanism").eqNullSafe(institution))
 
 
 def inquiry_orders(
@@ -44,15 +54,18 @@ def inquiry_orders(
     abnormal: tuple = ABNORMAL,
     ordered: bool = True,
 ) -> DataFrame:
-    """Inquiries of one institution's doctors after the period's start and up to its end."""
-    own = keep_listed(doctors, institution_doctors(doctors, institution), "id")
+    """Inquiries of one institution's doctors after the period's start and up to its end.
+
+    Sorted before the codes are decoded: the sampling pass of the sort then skips that work.
+    """
+    own = bound_to(doctors, institution)
     rows = period.restrict(inquiries, "create_date", "(]").select(
         "inquiry_ord_id",
         "doctor_id",
         "user_id",
         "doctor_name",
         "buy_type",
-        scaled(inquiries, "ord_amount", unit).alias("amount"),
+        "ord_amount",
         "create_date",
         "ord_state",
         "pay_state",
@@ -61,7 +74,9 @@ def inquiry_orders(
     joined = rows.join(
         own.select(F.col("id").alias("doctor_id"), F.col("phone").alias("doctor_phone"), "department"), "doctor_id"
     ).join(users.select("user_id", "user_name", "bill_id"), "user_id")
-    listed = joined.select(
+    if ordered:
+        joined = joined.orderBy(*LIST_ORDER, ascending=[False, True, True, True])
+    return joined.select(
         "inquiry_ord_id",
         two_way("buy_type", inquiry_type).alias("inquiry_type"),
         "user_name",
@@ -69,13 +84,12 @@ def inquiry_orders(
         "doctor_name",
         "doctor_phone",
         "department",
-        "amount",
+        scaled(inquiries, "ord_amount", unit).alias("amount"),
         "create_date",
         decode("ord_state", states).alias("ord_state"),
         decode("pay_state", pay_states).alias("pay_state"),
         two_way("abnormal_state", abnormal).alias("abnormal_state"),
     )
-    return listed.orderBy(F.desc("inquiry_ord_id")) if ordered else listed
 
 
 def online_orders(
@@ -91,7 +105,7 @@ def online_orders(
     ordered: bool = True,
 ) -> DataFrame:
     """Online orders strictly inside the period, without those of one institution's doctors."""
-    others = drop_listed(doctors, institution_doctors(doctors, excluded_institution), "id")
+    others = not_bound_to(doctors, excluded_institution)
     rows = period.restrict(orders, "create_date", "()").select(
         "inquiry_ord_id",
         "medical_ord_id",
@@ -99,7 +113,7 @@ def online_orders(
         "user_id",
         "user_name",
         "doctor_name",
-        scaled(orders, "total_price", unit).alias("amount"),
+        "total_price",
         "create_date",
         "ord_state",
         "pay_state",
@@ -108,7 +122,9 @@ def online_orders(
     joined = rows.join(others.select(F.col("id").alias("doctor_id"), "department"), "doctor_id").join(
         users.select("user_id", "bill_id"), "user_id"
     )
-    listed = joined.select(
+    if ordered:
+        joined = joined.orderBy(*LIST_ORDER, ascending=[False, True, True, True])
+    return joined.select(
         "inquiry_ord_id",
         "create_date",
         "medical_ord_id",
@@ -116,12 +132,11 @@ def online_orders(
         "department",
         "bill_id",
         "doctor_name",
-        "amount",
+        scaled(orders, "total_price", unit).alias("amount"),
         decode("ord_state", states).alias("ord_state"),
         decode("pay_state", pay_states).alias("pay_state"),
         "pay_date",
     )
-    return listed.orderBy(F.desc("inquiry_ord_id")) if ordered else listed
 
 
 def order_sums(listed: DataFrame, group: tuple[str, ...], ordered: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -93,30 +93,39 @@ def registration_detail(
 ) -> DataFrame:
     """The patients registered with the doctors of ``reached``; no state is asked for here."""
     rows = wanted.period.restrict(registrations, "create_date").filter(F.col("brand_id") == F.lit(wanted.brand))
-    listed = (
+    found = (
         keep_listed(rows.select("doctor_id", "user_id", "create_date"), reached, "doctor_id")
         .join(users.select("user_id", "user_name", "user_sex", "bill_id"), "user_id")
         .join(_names(doctors), "doctor_id", "left")
-        .select(
-            "doctor_name",
-            "user_name",
-            two_way("user_sex", SEX).alias("sex"),
-            "bill_id",
-            F.col("create_date").alias("registered_at"),
-        )
     )
-    return listed.orderBy("doctor_name", F.desc("registered_at")) if ordered else listed
+    if ordered:
+        found = found.orderBy("doctor_name", F.desc("create_date"), "user_id")
+    return found.select(
+        "doctor_name",
+        "user_name",
+        two_way("user_sex", SEX).alias("sex"),
+        "bill_id",
+        F.col("create_date").alias("registered_at"),
+    )
 
 
 def threshold_sheets(
     tables: Mapping[str, DataFrame], wanted: Threshold, *, parity: bool = False
-) -> dict[str, DataFrame]:
-    """Summary and detail for ``write_report``: counts where n is 1, else the n-th times."""
+) -> dict[str, DataFrame | Callable]:
+    """Sheets for ``write_report``: counts where n is 1, else the n-th times, and the detail.
+
+    The sheet ``reached`` also holds the doctor ids. It is found once, and the other two
+    sheets start from it as written.
+    """
     registrations, doctors = tables["usr_doctor_user_rel"], tables["sec_app_doctor"]
     build = registration_counts if wanted.n == 1 else nth_registration
-    summary = build(registrations, doctors, wanted, parity=parity)
-    detail = registration_detail(registrations, tables["usr_user"], doctors, summary.select("doctor_id"), wanted)
-    return {"summary": summary.drop("doctor_id"), "detail": detail}
+    return {
+        "reached": build(registrations, doctors, wanted, parity=parity),
+        "summary": lambda written: written["reached"].drop("doctor_id"),
+        "detail": lambda written: registration_detail(
+            registrations, tables["usr_user"], doctors, written["reached"], wanted
+        ),
+    }
 
 
 def dense_nth_registration(

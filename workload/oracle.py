@@ -328,6 +328,10 @@ def oracles() -> dict[str, str]:
     found["inquiry_orders_sum"] = _order_sum(INQUIRY_ROWS, "doctor_name, user_name, inquiry_type, pay_state")
     found["online_orders"] = _order_list(ONLINE_ROWS)
     found["online_orders_sum"] = _order_sum(ONLINE_ROWS, "doctor_name, user_name, pay_state")
+    found["in_list"] = """
+        SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+        WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN (
+            SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'))"""
     found["not_in_list"] = """
         SELECT c_custkey, c_name FROM customer
         WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"""

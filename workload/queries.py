@@ -119,7 +119,7 @@ def merged_two_sources(role: str, src: t.Sources) -> DataFrame:
 # --- order lists ------------------------------------------------------------------
 
 
-def inquiry_orders(src: t.Sources) -> DataFrame:
+def inquiry_orders(src: t.Sources, ordered: bool = True) -> DataFrame:
     return orders.inquiry_orders(
         t.order_lines(src),
         t.supplier_doctors(src),
@@ -130,10 +130,11 @@ def inquiry_orders(src: t.Sources) -> DataFrame:
         states=t.ORDER_STATES,
         pay_states=t.ORDER_PAY_STATES,
         abnormal=ABNORMAL,
+        ordered=ordered,
     )
 
 
-def online_orders(src: t.Sources) -> DataFrame:
+def online_orders(src: t.Sources, ordered: bool = True) -> DataFrame:
     return orders.online_orders(
         t.order_lines(src),
         t.supplier_doctors(src),
@@ -142,15 +143,25 @@ def online_orders(src: t.Sources) -> DataFrame:
         "B",
         states=t.ORDER_STATES,
         pay_states=t.ORDER_PAY_STATES,
+        ordered=ordered,
     )
 
 
 def inquiry_orders_sum(src: t.Sources) -> DataFrame:
-    return orders.order_sums(inquiry_orders(src), orders.INQUIRY_GROUP)
+    return orders.order_sums(inquiry_orders(src, ordered=False), orders.INQUIRY_GROUP)
 
 
 def online_orders_sum(src: t.Sources) -> DataFrame:
-    return orders.order_sums(online_orders(src), orders.ONLINE_GROUP)
+    return orders.order_sums(online_orders(src, ordered=False), orders.ONLINE_GROUP)
+
+
+def in_list(src: t.Sources) -> DataFrame:
+    """Line items of the customers with a pending order, found through their orders."""
+    orders_, lines = src.table("orders"), src.table("lineitem")
+    pending = orders_.filter(F.col("o_orderstatus") == "P")
+    placed = joins.keep_listed(orders_.select("o_orderkey", "o_custkey"), pending, "o_custkey")
+    kept = joins.keep_listed(lines, placed, "l_orderkey", "o_orderkey")
+    return kept.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 def not_in_list(src: t.Sources) -> DataFrame:
@@ -380,6 +391,7 @@ def registry() -> dict[str, Query]:
         inquiry_orders_sum,
         online_orders,
         online_orders_sum,
+        in_list,
         not_in_list,
         registration_counts,
         nth_registration,
