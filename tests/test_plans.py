@@ -1,0 +1,169 @@
+"""What the plans must look like: filters in the scan, no row-wise Python, no unbounded groups."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from tallyward import Period
+from tallyward.operators import joins, windows
+from tallyward.plans import orders, payments, threshold
+from tests import clinic
+
+SF_DIR = "/root/testdata/sf0.001"
+given = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="the given tables are not here")
+
+
+def plan(df, mode="formatted"):
+    query = df._jdf.queryExecution()
+    return query.explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+
+
+@given
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_no_row_wise_python_and_no_cross_join(spark, name):
+    text = plan(queries()[name](spark, SF_DIR))
+    assert "BatchEvalPython" not in text and "MapInPandas" not in text and "FlatMapGroups" not in text
+    assert "ArrowEvalPython" not in text or name == "char_mode_positions"
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@given
+@pytest.mark.parametrize("name", ["pay_method_clinic_day", "charge_category_doctor_period", "visit_indicators_doctor"])
+def test_period_reaches_the_scan(spark, name):
+    text = plan(queries()[name](spark, SF_DIR))
+    assert "GreaterThanOrEqual(o_orderdate,1995-01-01T00:00)" in text
+    assert "LessThanOrEqual(o_orderdate,2001-08-01T00:00)" in text
+
+
+@given
+def test_only_needed_columns_are_read(spark):
+    text = plan(queries()["pay_method_clinic_day"](spark, SF_DIR))
+    schema = next(line for line in text.splitlines() if "ReadSchema" in line and "o_custkey" in line)
+    assert "o_orderkey" not in schema
+
+
+@given
+@pytest.mark.parametrize("name", ["nth_registration", "dense_nth_registration", "top_k_per_group"])
+def test_groups_are_cut_before_the_shuffle(spark, name):
+    assert "WindowGroupLimit" in plan(queries()[name](spark, SF_DIR))
+
+
+@given
+def test_top_k_never_sorts_everything(spark):
+    assert "TakeOrderedAndProject" in plan(queries()["top_k_priority"](spark, SF_DIR))
+
+
+def test_month_folders_are_pruned(spark, tmp_path):
+    pay = clinic.frame(spark, "ord_pay", [clinic.payment(1, 1, 5, day="2021-02-03"), clinic.payment(2, 1, 5)])
+    pay.withColumn("create_date_month", F.date_format("create_date", "yyyy-MM")).write.partitionBy(
+        "create_date_month"
+    ).parquet(str(tmp_path / "pay"))
+    visits = clinic.frame(spark, "ord_registered", [clinic.visit(1)])
+    stored = spark.read.parquet(str(tmp_path / "pay"))
+    report = payments.payment_methods(stored, visits, Period.of("2021-03-01", "2021-03-31"))
+    text = plan(report)
+    line = next(row for row in text.splitlines() if "PartitionFilters" in row)
+    assert "create_date_month" in line and "2021-03" in line
+    assert report.count() == 1
+
+
+@pytest.fixture
+def large(spark):
+    """Thresholds scaled down, so that small tables are treated as large ones."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def hot(spark, columns, rows=60_000):
+    """Rows of which a third carry key 0 and the others one of 500 keys."""
+    key = "CASE WHEN id % 3 = 0 THEN 0 ELSE 1 + id % 500 END"
+    return spark.range(0, rows, 1, 8).selectExpr(*[c.format(key=key) for c in columns])
+
+
+def executed(df):
+    """Run the frame; its rows and the plan it was run with."""
+    rows = df.collect()
+    return rows, plan(df, "simple")
+
+
+def test_hot_doctor_is_split_in_the_detail(spark, large):
+    registered = hot(
+        spark,
+        [
+            "CAST({key} AS STRING) AS doctor_id",
+            "id AS user_id",
+            "CAST(7 AS BIGINT) AS brand_id",
+            "1 AS state",
+            "CAST('2021-03-01' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, id) AS create_date",
+        ],
+    )
+    doctors = spark.range(501).selectExpr("CAST(id AS STRING) AS id", "concat('doctor ', id) AS name")
+    users = spark.range(60_000).selectExpr("id AS user_id", "'p' AS user_name", "1 AS user_sex", "'b' AS bill_id")
+    wanted = threshold.Threshold(50, Period.of("2021-03-01", "2021-03-31"), 7)
+    reached = threshold.nth_registration(registered, doctors, wanted, ordered=False)
+    detail = threshold.registration_detail(registered, users, doctors, reached, wanted, ordered=False)
+    rows, text = executed(detail)
+    assert len(rows) == 60_000
+    assert "skew=true" in text
+
+
+def test_hot_doctor_is_split_in_the_order_list(spark, large):
+    inquiries = hot(
+        spark,
+        [
+            "id AS inquiry_ord_id",
+            "CAST({key} AS STRING) AS doctor_id",
+            "id % 100 AS user_id",
+            "'d' AS doctor_name",
+            "10 AS buy_type",
+            "id AS ord_amount",
+            "10 AS ord_state",
+            "1 AS pay_state",
+            "0 AS abnormal_state",
+            "CAST('2021-03-02' AS TIMESTAMP_NTZ) AS create_date",
+        ],
+    )
+    doctors = spark.range(501).selectExpr(
+        "CAST(id AS STRING) AS id", "'n' AS name", "'f' AS phone", "'d' AS department", "'100' AS binding_mechanism"
+    )
+    users = spark.range(100).selectExpr("id AS user_id", "'p' AS user_name", "'b' AS bill_id")
+    listed = orders.inquiry_orders(
+        inquiries, doctors, users, Period.of("2021-03-01", "2021-04-01"), "100", ordered=False
+    )
+    rows, text = executed(listed)
+    assert len(rows) == 60_000
+    assert "skew=true" in text
+
+
+def test_repeated_list_keys_shrink_before_the_join(spark, large):
+    left = spark.range(1000).selectExpr("id AS k")
+    rows, text = executed(joins.drop_listed(left, hot(spark, ["{key} AS k"]), "k"))
+    assert sorted(r.k for r in rows) == list(range(501, 1000))
+    assert "LeftAnti" in text
+
+
+def test_hot_group_nth_event_by_counting(spark, large):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        events = hot(
+            spark,
+            ["{key} AS k", "CAST('2021-03-01' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, id) AS t", "id"],
+        )
+        found = {r.k: r.t for r in windows.nth_event(events, ["k"], "t", 5000).collect()}
+        assert found.keys() == {0}
+        assert (found[0] - events.filter("id = 14997").first().t).total_seconds() == 0
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
