@@ -16,27 +16,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def key_list(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """Distinct keys of a frame, ready for a semi- or anti-join.
-
-    A key much repeated in the list shrinks to one row per task before any shuffle. The
-    list is laid out by the key and its hash together, so that a join shuffles both of
-    its sides: only then does adaptive execution look at their sizes, broadcast a small
-    list and split a hot key of the other side.
+def relaid(df: DataFrame) -> DataFrame:
+    """Distinct rows of a small list, laid out independently of its columns.
+
+    A row much repeated in the list shrinks to one per task before any shuffle. As the
+    result is laid out by its rows wrapped into a struct, a join with a large table has
+    to shuffle both sides, whatever layout the list had: only then does adaptive
+    execution look at their sizes, broadcast a small list and split a hot key of the
+    large table.
     """
-    keyed = df.select(F.col(key).alias(name or key), F.xxhash64(key).alias("_hash"))
-    return keyed.distinct().drop("_hash")
+    return df.select(F.struct("*").alias("_row")).distinct().select("_row.*")
 
 
 def keep_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
     """Rows whose key is among the listed ones (``IN (SELECT ...)``); the list may repeat keys."""
-    ids = key_list(listed, listed_key or key, "_listed")
+    ids = relaid(listed.select(F.col(listed_key or key).alias("_listed")))
     return df.join(ids, df[key] == ids["_listed"], "left_semi")
 
 
 def drop_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
     """Rows whose key is not among the listed ones, both keys being non-null; see ``not_in``."""
-    ids = key_list(listed, listed_key or key, "_listed")
+    ids = relaid(listed.select(F.col(listed_key or key).alias("_listed")))
     return df.join(ids, df[key] == ids["_listed"], "left_anti")
 
 

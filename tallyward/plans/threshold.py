@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.labels import SEX, two_way
-from tallyward.operators.joins import keep_listed
+from tallyward.operators.joins import keep_listed, relaid
 from tallyward.operators.windows import dense_nth, first_times, nth_event, repeat_rows, time_counts
 from tallyward.period import Period
 
@@ -91,12 +91,17 @@ def registration_detail(
     *,
     ordered: bool = True,
 ) -> DataFrame:
-    """The patients registered with the doctors of ``reached``; no state is asked for here."""
+    """The patients registered with the doctors of ``reached``; no state is asked for here.
+
+    The doctors get their names before they meet the registrations, which are then
+    filtered and named by one join.
+    """
+    listed = relaid(reached.select("doctor_id").join(_names(doctors), "doctor_id", "left"))
     rows = wanted.period.restrict(registrations, "create_date").filter(F.col("brand_id") == F.lit(wanted.brand))
     found = (
-        keep_listed(rows.select("doctor_id", "user_id", "create_date"), reached, "doctor_id")
+        rows.select("doctor_id", "user_id", "create_date")
+        .join(listed, "doctor_id")
         .join(users.select("user_id", "user_name", "user_sex", "bill_id"), "user_id")
-        .join(_names(doctors), "doctor_id", "left")
     )
     if ordered:
         found = found.orderBy("doctor_name", F.desc("create_date"), "user_id")

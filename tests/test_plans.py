@@ -117,7 +117,7 @@ def test_hot_doctor_is_split_in_the_detail(spark, large):
     detail = threshold.registration_detail(registered, users, doctors, reached, wanted, ordered=False)
     rows, text = executed(detail)
     assert len(rows) == 60_000
-    assert "skew=true" in text
+    assert "(skew=true) [doctor_id" in text
 
 
 def test_hot_doctor_is_split_in_the_order_list(spark, large):
