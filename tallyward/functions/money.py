@@ -94,9 +94,9 @@ def currency(value: str, rounding: str = HALF_UP) -> str:
     return f"CAST(coalesce({rounding}({value}, 2), 0) AS DECIMAL(28,2))"
 
 
-def cents(value: str, rounding: str = HALF_UP) -> str:
-    """As ``currency``, but as a whole number of hundredths, which is cheap to sum again."""
-    return f"CAST(coalesce({rounding}({value} * 100BD, 0), 0) AS BIGINT)"
+def whole(value: str, rounding: str = HALF_UP) -> str:
+    """An amount as SQL text, rounded to a whole number; null becomes 0. Cheap to sum again."""
+    return f"CAST(coalesce({rounding}({value}, 0), 0) AS BIGINT)"
 
 
 def scaled(df: DataFrame, column: str, unit: Decimal = TEN_THOUSANDTH, rounding: str = HALF_UP) -> Column:

@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.money import HALF_UP, ONE, TEN_THOUSANDTH, Measure, cents, currency, measures
+from tallyward.functions.money import HALF_UP, ONE, TEN_THOUSANDTH, Measure, currency, measures, whole
 from tallyward.functions.sql import all_equal, literal, name
 
 Order = Sequence[str | Column]
@@ -96,7 +96,7 @@ def spread_rounded(
         df.groupBy(*keys, code)
         .agg(*[part for m in wanted for part in m.sums()])
         .selectExpr(
-            *_names(keys), name(code), *[f"{cents(m.value(unit))} AS {name(m.column)}" for m in wanted]
+            *_names(keys), name(code), *[f"{whole(m.value(unit * 100))} AS {name(m.column)}" for m in wanted]
         )
     )
     wide = per_code.groupBy(*keys).agg(
