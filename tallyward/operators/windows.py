@@ -114,6 +114,6 @@ def top_k(df: DataFrame, priority: str, seq: str, k: int) -> DataFrame:
 def top_k_per_group(
     df: DataFrame, keys: Sequence[str | Column], priority: str, seq: str, k: int, rank_name: str = "rank"
 ) -> DataFrame:
-    """The k rows of highest priority per group, cut to k per group before the shuffle."""
+    """The k rows of highest priority per group; up to the rank limit cut to k per group and task before the shuffle."""
     order = Window.partitionBy(*keys).orderBy(F.desc(priority), F.asc(seq))
     return df.withColumn(rank_name, F.row_number().over(order)).filter(F.col(rank_name) <= k)
