@@ -286,7 +286,7 @@ def char_mode_positions(src: t.Sources) -> DataFrame:
     return best.select(
         "doc_id",
         F.col("best.char").alias("char"),
-        F.col("best.n").alias("n"),
+        F.col("best.n").cast("bigint").alias("n"),
         F.array_join(F.col("best.positions").cast("array<string>"), ",").alias("positions"),
     )
 
