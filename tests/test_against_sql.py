@@ -9,10 +9,12 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload.oracle import oracles
+from workload.queries import registry
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES = registry()
+SQL = oracles()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="the given tables are not here")
 
@@ -41,6 +43,8 @@ def _sorted_rows(columns, rows):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= queries().keys()
+    assert SQL.keys() <= oracle_sql().keys() <= queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
