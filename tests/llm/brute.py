@@ -1,0 +1,42 @@
+"""Plain restatements of the operators for small inputs."""
+
+from __future__ import annotations
+
+import re
+
+_UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text: str | None) -> list[str]:
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(_UPPER)) if w]
+
+
+def shingle_set(text: str | None, width: int = 5) -> set[tuple[str, ...]]:
+    w = words(text)
+    if not w:
+        return set()
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))}
+
+
+def near_components(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
+    """Id to (number of shingles, component)."""
+    sets = {i: shingle_set(t) for i, t in rows}
+    parent = {i: i for i, _ in rows}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    holders: dict[tuple[str, ...], list[int]] = {}
+    for i, s in sets.items():
+        common: dict[int, int] = {}
+        for g in s:
+            for j in holders.get(g, ()):
+                common[j] = common.get(j, 0) + 1
+            holders.setdefault(g, []).append(i)
+        for j, n in common.items():
+            if 100 * n >= 75 * (len(s) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {i: (len(s), find(i)) for i, s in sets.items()}
