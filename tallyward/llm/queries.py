@@ -7,18 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.neardup import near_duplicates
+from tallyward.llm.quality import select_by_importance
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
+
+
 def op10_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_minhash_inverted_join,)}
+    return {f.__name__: f for f in (op8_importance_resampling, op10_minhash_inverted_join)}
 
 
 def llm_oracles() -> dict[str, str]:
