@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.neardup import near_duplicates
 from tallyward.llm.quality import select_by_importance
 
@@ -14,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
 
@@ -23,7 +28,7 @@ def op10_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_importance_resampling, op10_minhash_inverted_join)}
+    return {f.__name__: f for f in (op2_template_decontamination, op8_importance_resampling, op10_minhash_inverted_join)}
 
 
 def llm_oracles() -> dict[str, str]:
