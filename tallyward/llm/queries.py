@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.neardup import near_duplicates
 from tallyward.llm.quality import select_by_importance
+from tallyward.llm.secrets import digest, find_secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(_table(spark, sf_dir, "documents"))[0])
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
 
@@ -28,7 +33,7 @@ def op10_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_template_decontamination, op8_importance_resampling, op10_minhash_inverted_join)}
+    return {f.__name__: f for f in (op2_template_decontamination, op3_blob_ledger_secrets, op8_importance_resampling, op10_minhash_inverted_join)}
 
 
 def llm_oracles() -> dict[str, str]:
