@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.neardup import near_duplicates
+from tallyward.llm import packing
 from tallyward.llm.quality import select_by_importance
 from tallyward.llm.secrets import digest, find_secrets
 
@@ -16,6 +18,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Small sources come earlier than in proportion.
+TEMPERATURE = 0.7
+
+
+def op1_deficit_round_robin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.digest(packing.pack(docs, WORD_TOKENIZER, temperature=TEMPERATURE, wordwise=True))
+
+
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -33,7 +45,13 @@ def op10_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_template_decontamination, op3_blob_ledger_secrets, op8_importance_resampling, op10_minhash_inverted_join)}
+    return {f.__name__: f for f in (
+            op1_deficit_round_robin_packing,
+            op2_template_decontamination,
+            op3_blob_ledger_secrets,
+            op8_importance_resampling,
+            op10_minhash_inverted_join,
+        )}
 
 
 def llm_oracles() -> dict[str, str]:
