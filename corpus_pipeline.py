@@ -1,4 +1,4 @@
-"""The corpus pipeline: each stage takes documents and hands on documents, the last one packed sequences."""
+"""The corpus pipeline: each stage takes documents and hands on documents, the last one packed windows."""
 
 from __future__ import annotations
 
@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm.stages import drop_near_duplicates
+from tallyward.llm import stages
 from tallyward.llm.store import Scratch
 
 STAGES = [
-    ("near_dedup", drop_near_duplicates),
+    ("quality", stages.keep_quality),
+    ("near_dedup", stages.drop_near_duplicates),
+    ("decontamination", stages.drop_contaminated),
+    ("secrets", stages.mask_secrets),
+    ("packing", stages.pack_windows),
 ]
 
+#: Tokenising, component search and sampling are not expressible in SQL; tests/llm compares with plain code.
 ORACLE_SQL = None
 
 
@@ -22,10 +27,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = store.keep(stage(spark, docs, sf_dir), name)
-    return stage_result(spark, docs, sf_dir)
-
-
-def stage_result(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -1,14 +1,65 @@
-"""Pipeline stages: functions from documents to documents, each applying one operator's decisions."""
+"""Pipeline stages: functions of documents, each applying one operator's decisions.
+
+All but the last return the columns they were given, whatever these are.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.neardup import near_duplicates
+from tallyward.llm.packing import pack
+from tallyward.llm.quality import select_by_importance
+from tallyward.llm.secrets import find_secrets, masked
+
+TOKENIZER = "word_bpe_49k.json"
+TEMPERATURE = 0.7
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling draws. The key is worked out once more, which spares a join of texts."""
+    _, model, least = select_by_importance(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+    @F.arrow_udf("double")
+    def key(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.array(model.key(ids, texts)[1])
+
+    drawn = key(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
+    return docs.filter(drawn >= F.lit(least))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays; rows without id stay too."""
     gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item; rows without id stay."""
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked in their texts; ``n_chars`` of a changed text is counted anew."""
+    _, ledger = find_secrets(docs)
+    spans = F.flatten(F.transform("scanned", lambda s: s["spans"]))
+    found = ledger.select(F.col("blob").alias("_blob"), F.sort_array(spans).alias("_spans")).filter(F.size("_spans") > 0)
+    blob = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
+    met = docs.join(found, blob == found["_blob"], "left")
+    text = F.when(found["_spans"].isNull(), docs["text"]).otherwise(masked(docs["text"], found["_spans"]))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        length = F.char_length(masked(docs["text"], found["_spans"]))
+        changed["n_chars"] = F.when(found["_spans"].isNull(), docs["n_chars"]).otherwise(length)
+    return met.select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in training windows."""
+    return pack(docs, public_tokenizers.path(TOKENIZER), temperature=TEMPERATURE, wordwise=True)
