@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.decontaminate import contaminated
+from tallyward.llm.imatch import edited_fingerprints
 from tallyward.llm.neardup import near_duplicates
 from tallyward.llm import packing
 from tallyward.llm.quality import select_by_importance
 from tallyward.llm.secrets import digest, find_secrets
+from tallyward.llm.sharding import balanced_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,14 @@ def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(_table(spark, sf_dir, "documents"))[0])
 
 
+def op4_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(_table(spark, sf_dir, "documents"))
+
+
+def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
 
@@ -49,6 +59,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_deficit_round_robin_packing,
             op2_template_decontamination,
             op3_blob_ledger_secrets,
+            op4_byte_prefix_shards,
+            op6_imatch_fingerprints,
             op8_importance_resampling,
             op10_minhash_inverted_join,
         )}
