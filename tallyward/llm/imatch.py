@@ -30,8 +30,8 @@ BUCKETS = 1 << 20
 LEAST = 2
 MOST = 0.1
 #: Random subsets hold one in 2^PARTS of the lexicon; each size is drawn EACH times.
-PARTS = (1, 3, 5, 7)
-EACH = 8
+PARTS = (2, 5, 8, 11)
+EACH = 12
 
 _RESULT = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
@@ -70,7 +70,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", buckets: int = BUCKETS, lea
     n_docs = totals.filter("bucket = -1").agg(F.sum("n")).first()[0] or 0
     band = totals.filter((F.col("bucket") >= 0) & (F.col("n") >= least) & (F.col("n") <= max(least, most * n_docs)))
     words = band.groupBy(F.floor(F.col("bucket") / 32).alias("word")).agg(
-        F.sum(F.shiftleft(F.lit(1).cast("bigint"), (F.col("bucket") % 32).cast("int"))).alias("bits")
+        F.sum(F.expr("shiftleft(1L, cast(bucket % 32 AS int))")).alias("bits")
     )
     held = np.zeros(buckets // 32, dtype=np.uint32)
     for word, bits in words.collect():  # at most buckets / 32 numbers
@@ -100,9 +100,11 @@ class Fingerprints:
         every, text = every[inside], text[inside]
         out = np.zeros((len(terms), len(self.parts) * self.each), dtype=np.uint64)
         for group, bits in enumerate(self.parts):
-            draw = mix(every + np.uint64(group + 1))
             for turn in range(self.each):
-                drawn = (draw >> np.uint64(turn * bits)) & np.uint64((1 << bits) - 1) == 0
+                word, place = divmod(turn, 64 // bits)
+                if place == 0:
+                    draw = mix(every + np.uint64(64 * group + word + 1))
+                drawn = (draw >> np.uint64(place * bits)) & np.uint64((1 << bits) - 1) == 0
                 some, of = every[drawn], text[drawn]
                 size = np.bincount(of, minlength=len(terms))
                 begins = np.concatenate([[0], np.cumsum(size)])
