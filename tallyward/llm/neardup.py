@@ -10,10 +10,11 @@ rarest ``coordinates - least + 1`` of each must share a pair, so only those are
 and a document that shares fewer than ``least`` of its pairs with anybody is posted
 nowhere. Skip merging: the rest of the count is looked up in the signatures.
 
-Long posting lists are never joined with themselves. Their members are compared with a
-few of them, drawn alike in all lists; what proves linked to one of them, directly or
-through others, needs no further comparison, and the number drawn doubles each round
-until every list is used up. Short lists (up to ``short`` documents) are compared whole.
+Long posting lists are never joined with themselves. Every member meets its list's
+smallest one, and of all it meets so the few it meets most often are compared with it.
+Lists whose members that leaves in several components are finished in blocks of bounded
+size, inside tasks, which give back links only. Short lists (up to ``short`` documents)
+are compared whole.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.components import components
@@ -36,6 +37,10 @@ LEAST = 34
 WIDTH = 5
 SIMILARITY = 0.75
 SHORT = 16
+#: Documents, bytes of text and shingles that a block comparison holds at a time.
+_BLOCK_ROWS = 1024
+_BLOCK_BYTES = 16 << 20
+_BLOCK_COLUMNS = 8192
 
 _SIGNED = "id bigint, first bigint, second bigint, n_shingles bigint, signature array<int>, sketch binary"
 
@@ -203,35 +208,118 @@ def _linked(store, lists, sketches, texts, similarity, width, coordinates, least
     whole = brief.filter(F.size("m") > 1).select(F.explode(each).alias("p")).select("p.a", "p.b")
     open_lists = lists.filter(F.col("sharing") > short).select(*_LIST, "node")
     stars = open_lists.groupBy(*_LIST).agg(F.min("node").alias("_star"))
-    graph.try_pairs(_rays(open_lists, stars).union(whole))
-
-    drawn = 64
-    while True:
-        labelled = store.keep(graph.labelled(open_lists), f"open-{graph.turn}")
-        sizes = labelled.groupBy(*_LIST, "component").agg(F.count(F.lit(1)).alias("_size"))
-        largest = sizes.groupBy(*_LIST).agg(
-            F.max(F.struct("_size", "component")).alias("_largest"), F.count(F.lit(1)).alias("_components")
-        )
-        largest = largest.filter("_components > 1").select(*_LIST, F.col("_largest.component").alias("_main"))
-        still = store.keep(labelled.join(largest, _LIST), f"still-{graph.turn}")
-        if still.isEmpty():
-            return graph.labels
-        salt = F.pmod(F.xxhash64("node", F.lit(graph.turn)), F.lit(drawn))
-        outside = still.filter(F.col("component") != F.col("_main"))
-        stars = outside.groupBy(*_LIST, salt.alias("_salt")).agg(F.min("node").alias("_star")).drop("_salt")
-        stars = store.keep(stars, f"stars-{graph.turn}")
-        rays = _rays(still.select(*_LIST, "node", "component"), graph.labelled(stars, "_star", "_star_component"))
-        used = stars.withColumnRenamed("_star", "node")
-        open_lists = store.keep(still.select(*_LIST, "node").join(used, [*_LIST, "node"], "left_anti"), f"left-{graph.turn}")
-        graph.try_pairs(rays)
-        drawn *= 4
+    graph.try_pairs(_foremost(_rays(open_lists, stars)).union(whole))
+
+    unsettled = _unsettled(store, graph, open_lists)
+    if not unsettled.isEmpty():
+        graph.add(_by_blocks(store, unsettled, texts, width, similarity), "blocks")
+    return graph.labels
+
+
+def _by_blocks(store, unsettled: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links among the members of unsettled lists that no star has connected.
+
+    Lists that share members make a crowd. Whoever is outside the largest component of
+    one of its lists is compared with its whole crowd, block by block: a task gets two
+    blocks and gives back no more links than it takes to connect their components.
+    """
+    lowest = unsettled.groupBy(*_LIST).agg(F.min("node").alias("a"))
+    crowds = components(unsettled.join(lowest, _LIST).select("a", F.col("node").alias("b")), store, "crowds")
+    members = unsettled.groupBy("node").agg(
+        F.first("component").alias("component"), F.max(F.col("component") != F.col("_main")).alias("outside")
+    )
+    members = members.join(crowds.withColumnRenamed("component", "crowd"), "node")
+    members = members.join(texts.withColumnRenamed("id", "node"), "node").withColumn("_size", F.octet_length("text"))
+    members = store.keep(members, "members")
+
+    def parts(rows: str) -> Column:
+        by_rows = F.count_if(F.expr(rows)) / F.lit(_BLOCK_ROWS)
+        by_bytes = F.sum(F.when(F.expr(rows), F.col("_size")).otherwise(0)) / F.lit(_BLOCK_BYTES)
+        return F.greatest(F.ceil(by_rows), F.ceil(by_bytes)).cast("int")
+
+    sizes = members.groupBy("crowd").agg(parts("true").alias("_all"), parts("outside").alias("_few"))
+    dealt = members.join(sizes, "crowd")
+    one, other = F.pmod(F.xxhash64("node"), F.col("_few")), F.pmod(F.xxhash64("node"), F.col("_all"))
+    columns = ["crowd", "node", "component", "text"]
+    few = dealt.filter("outside").select(
+        *columns, F.lit(True).alias("few"), one.alias("one"), F.explode(F.expr("sequence(0L, _all - 1)")).alias("other")
+    )
+    every = dealt.select(
+        *columns, F.lit(False).alias("few"), F.explode(F.expr("sequence(0L, _few - 1)")).alias("one"), other.alias("other")
+    )
+    met = few.unionByName(every)
+    return met.groupBy("crowd", "one", "other").applyInArrow(
+        lambda table: block_links(table, width, similarity), "a bigint, b bigint"
+    )
+
+
+def block_links(table: pa.Table, width: int, similarity: float) -> pa.Table:
+    """Links that connect the components of two blocks, from the exact sizes of all their intersections."""
+    percent, classes = round(100 * similarity), blank_separated()
+    table = table.combine_chunks()
+    few = table.column("few").to_numpy().astype(bool)
+    nodes, parts = table.column("node").to_numpy(), table.column("component").to_numpy()
+    sets: list[np.ndarray] = []
+    texts = pa.concat_arrays(table.column("text").chunks)
+    for first, last in blocks(texts):
+        shingles, begins = Runs(texts.slice(first, last - first), classes).shingles(width)
+        sets += [np.unique(shingles[i:j]) for i, j in zip(begins[:-1], begins[1:], strict=True)]
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    left, right = np.flatnonzero(few), np.flatnonzero(~few)
+    value, times = np.unique(np.concatenate(sets), return_counts=True)
+    value = value[times > 1]
+    columns = [np.searchsorted(value, x[np.isin(x, value, assume_unique=True)]) for x in sets]
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, len(value), _BLOCK_COLUMNS):
+        wide = min(_BLOCK_COLUMNS, len(value) - start)
+        held = np.zeros((len(sets), wide), dtype=np.float32)
+        for row, places in enumerate(columns):
+            held[row, places[(places >= start) & (places < start + wide)] - start] = 1
+        common += held[left] @ held[right].T
+    common = common.astype(np.int64)
+    either = sizes[left][:, None] + sizes[right][None, :] - common
+    linked = (100 * common >= percent * either) & (parts[left][:, None] != parts[right][None, :])
+    rows, cols = np.nonzero(linked)
+    a, b = left[rows], right[cols]
+    _, some = np.unique(np.stack([parts[a], parts[b]]), axis=1, return_index=True)
+    parent: dict[int, int] = {}
+
+    def root(part: int) -> int:
+        while parent.get(part, part) != part:
+            part = parent[part]
+        return part
+
+    out: list[tuple[int, int]] = []
+    for k in some:
+        one, two = sorted((root(int(parts[a[k]])), root(int(parts[b[k]]))))
+        if one != two:
+            parent[two] = one
+            out.append((int(nodes[a[k]]), int(nodes[b[k]])))
+    ends = np.array(out, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": ends.min(axis=1), "b": ends.max(axis=1)})
+
+
+def _unsettled(store, graph, open_lists: DataFrame) -> DataFrame:
+    """The lists whose members are not all connected yet, with each member's component and the largest one's."""
+    labelled = store.keep(graph.labelled(open_lists.select(*_LIST, "node")), "open")
+    sizes = labelled.groupBy(*_LIST, "component").agg(F.count(F.lit(1)).alias("_size"))
+    largest = sizes.groupBy(*_LIST).agg(
+        F.max(F.struct("_size", "component")).alias("_largest"), F.count(F.lit(1)).alias("_components")
+    )
+    largest = largest.filter("_components > 1").select(*_LIST, F.col("_largest.component").alias("_main"))
+    return store.keep(labelled.join(largest, _LIST), "still")
+
+
+def _foremost(rays: DataFrame, few: int = 2) -> DataFrame:
+    """Of each node's pairs the few that meet in the most lists. A node has no more pairs than prefix entries."""
+    met = rays.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_lists"))
+    order = Window.partitionBy("b").orderBy(F.desc("_lists"), "a")
+    return met.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= few).select("a", "b")
 
 
 def _rays(members: DataFrame, stars: DataFrame) -> DataFrame:
-    """Each list's stars with its members, but for members known to be connected with them."""
+    """Each list's star with its other members."""
     met = members.join(stars, _LIST).filter("node <> _star")
-    if "_star_component" in met.columns:
-        met = met.filter("component <> _star_component")
     return met.select(F.least("node", "_star").alias("a"), F.greatest("node", "_star").alias("b"))
 
 
@@ -241,8 +329,6 @@ class _Graph:
     def __init__(self, store, sketches, texts, similarity, width, coordinates, least):
         self.store, self.sketches, self.texts = store, sketches, texts
         self.similarity, self.width, self.coordinates, self.least = similarity, width, coordinates, least
-        self.turn = 0
-        self.edges: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def labelled(self, rows: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
@@ -254,26 +340,29 @@ class _Graph:
 
         A node's most alike partner is confirmed first; pairs that this connects are not looked at again.
         """
-        turn, self.turn = self.turn, self.turn + 1
         coordinates, least = self.coordinates, self.least
         two = self.sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_b"))
         one = self.sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_a"))
         met = pairs.distinct().join(two, "b").join(one, "a").select("a", "b", "_a", "_b")
         close = met.mapInArrow(lambda it: agreeing_batches(it, coordinates, least), "a bigint, b bigint, agree int")
-        close = self.store.keep(close, f"close-{turn}")
+        close = self.store.keep(close, "close")
         best = close.groupBy("b").agg(F.max(F.struct("agree", F.negative("a").alias("_a"))).alias("m"))
-        self._confirm(best.select(F.negative("m._a").alias("a"), "b"), f"{turn}-best")
+        self.add(self._confirmed(best.select(F.negative("m._a").alias("a"), "b")), "best")
         rest = self.labelled(self.labelled(close.select("a", "b"), "a", "_ca"), "b", "_cb")
-        rest = self.store.keep(rest.filter("_ca <> _cb").select("a", "b"), f"rest-{turn}")
-        if not rest.isEmpty():
-            self._confirm(rest, f"{turn}-rest")
+        self.add(self._confirmed(rest.filter("_ca <> _cb").select("a", "b")), "rest")
+
+    def add(self, links: DataFrame, name: str) -> None:
+        """Take in links and draw the components anew, from those there are."""
+        links = self.store.keep(links, f"links-{name}")
+        if self.labels is None:
+            self.labels = components(links, self.store, f"graph-{name}")
+        elif not links.isEmpty():
+            known = self.labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            self.labels = components(known.union(links), self.store, f"graph-{name}")
 
-    def _confirm(self, pairs: DataFrame, name: str) -> None:
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
         width, similarity = self.width, self.similarity
         two = self.texts.select(F.col("id").alias("b"), F.col("text").alias("_b"))
         one = self.texts.select(F.col("id").alias("a"), F.col("text").alias("_a"))
         read = pairs.join(two, "b").join(one, "a").select("a", "b", "_a", "_b")
-        links = read.mapInArrow(lambda it: confirmed_batches(it, width, similarity), "a bigint, b bigint")
-        links = self.store.keep(links, f"links-{name}")
-        self.edges = links if self.edges is None else self.edges.union(links)
-        self.labels = components(self.edges, self.store, f"graph-{name}")
+        return read.mapInArrow(lambda it: confirmed_batches(it, width, similarity), "a bigint, b bigint")
