@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.imatch import edited_fingerprints
 from tallyward.llm.neardup import near_duplicates
-from tallyward.llm import packing
+from tallyward.llm import licences, packing
 from tallyward.llm.quality import select_by_importance
 from tallyward.llm.secrets import digest, find_secrets
 from tallyward.llm.sharding import balanced_shards
@@ -50,6 +50,10 @@ def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
 
 
+def op9_positional_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan_licences(_table(spark, sf_dir, "documents")))
+
+
 def op10_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_byte_prefix_shards,
             op6_imatch_fingerprints,
             op8_importance_resampling,
+            op9_positional_licence_index,
             op10_minhash_inverted_join,
         )}
 
