@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.imatch import edited_fingerprints
 from tallyward.llm.neardup import near_duplicates
-from tallyward.llm import licences, packing
+from tallyward.llm import fixity, licences, packing
 from tallyward.llm.quality import select_by_importance
 from tallyward.llm.secrets import digest, find_secrets
 from tallyward.llm.sharding import balanced_shards
@@ -46,6 +46,11 @@ def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return fixity.audit(pages, fixity.decayed(pages))
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
 
@@ -65,11 +70,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_blob_ledger_secrets,
             op4_byte_prefix_shards,
             op6_imatch_fingerprints,
+            op7_merkle_fixity_audit,
             op8_importance_resampling,
             op9_positional_licence_index,
             op10_minhash_inverted_join,
         )}
 
-
-def llm_oracles() -> dict[str, str]:
-    return {}
