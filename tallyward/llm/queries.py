@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.decontaminate import contaminated
+from tallyward.llm.extraction import extract_pages
 from tallyward.llm.imatch import edited_fingerprints
 from tallyward.llm.neardup import near_duplicates
 from tallyward.llm import fixity, licences, packing
@@ -42,6 +43,10 @@ def op4_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(_table(spark, sf_dir, "documents"))
 
 
+def op5_equivalence_class_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_template_decontamination,
             op3_blob_ledger_secrets,
             op4_byte_prefix_shards,
+            op5_equivalence_class_extraction,
             op6_imatch_fingerprints,
             op7_merkle_fixity_audit,
             op8_importance_resampling,
