@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.hashing import Runs, blocks, mix
@@ -26,12 +26,14 @@ from tallyward.llm.store import Scratch
 
 #: Hash buckets of the models; what the driver gathers is bounded by it.
 BUCKETS = 1 << 16
-#: Weight, in n-grams, of the raw model in the target model.
-PRIOR = 1 << 14
+#: N-grams added to each bucket's count, seen and expected: a bucket seen less often says little.
+PRIOR = 100
 #: Labelled rows used for fitting, at most.
 FIT_ROWS = 50_000
-#: Part of the documents labelled good whose weight the k-th document's must not exceed.
-KEEP_GOOD = 0.995
+#: One in so many labelled documents is not fitted on: these tell how the weights of good documents lie.
+HELD_OUT = 5
+#: Part of the good documents held out whose weight the k-th document's must not exceed.
+KEEP_GOOD = 0.998
 _UNIT = 1 << 16
 _BINS = 1024
 _GATHER = 4096
@@ -108,16 +110,17 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     buckets: int = BUCKETS,
-    prior: int = PRIOR,
+    prior: float = PRIOR,
     fit_rows: int = FIT_ROWS,
     seed: int = 1,
 ) -> Resampler:
     """Both models in one pass over all documents.
 
-    The target are texts labelled ``quality = 1`` and not toxic: all of them, or the
-    ``fit_rows`` whose ids come first in hash order. Without labels the ratios are 0.
+    The target are texts labelled ``quality = 1`` and not toxic, but for those held out:
+    all of them, or the ``fit_rows`` whose ids come first in hash order. Without labels
+    the ratios are 0.
     """
-    target = _marks(labels).filter("quality = 1 AND toxic = 0").select(F.col("doc_id").cast("bigint").alias("_id"))
+    target = _good(labels).filter(~_held_out())
     target = target.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
     rows = docs.select(F.col(id_col).cast("bigint").alias("_doc"), F.col(text_col).cast("string").alias("text"))
     # at most fit_rows ids of 8 bytes
@@ -131,17 +134,22 @@ def fit(
     ratios = np.zeros(buckets, dtype=np.int64)
     if chosen.sum():
         seen = raw > 0
-        p = raw[seen] / raw.sum()
-        ratios[seen] = np.rint(_UNIT * np.log((chosen[seen] + prior * p) / ((chosen.sum() + prior) * p))).astype(np.int64)
+        expected = raw[seen] * (chosen.sum() / raw.sum())
+        ratios[seen] = np.rint(_UNIT * np.log((chosen[seen] + prior) / (expected + prior))).astype(np.int64)
     return Resampler(ratios, seed)
 
 
-def _marks(labels: DataFrame) -> DataFrame:
-    """One row per labelled document; contradicting labels count as bad."""
+def _good(labels: DataFrame) -> DataFrame:
+    """Ids labelled good and not toxic; contradicting labels count as bad."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
-    return known.groupBy("doc_id").agg(
+    marks = known.groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")
     )
+    return marks.filter("quality = 1 AND toxic = 0").select("_id")
+
+
+def _held_out() -> Column:
+    return F.pmod(F.xxhash64("_id"), F.lit(HELD_OUT)) == 0
 
 
 def kth_largest(values: DataFrame, col: str, k: int) -> float:
@@ -184,7 +192,7 @@ def select_by_importance(
     """Per row ``doc_id, log_weight, gumbel_key, kept``, the model, and the smallest key that is kept.
 
     ``kept`` marks the k rows of the largest keys. k is the number of rows at least as
-    heavy as all but ``1 - KEEP_GOOD`` of those labelled good; without labels all rows.
+    heavy as all but ``1 - KEEP_GOOD`` of the good ones held out; without these all rows.
 
     Defined cases: an empty or null text has weight 1 (log 0). Rows without id share one
     noise value. Rows whose keys tie with the k-th all stay. An empty table gives an empty
@@ -193,8 +201,8 @@ def select_by_importance(
     store = Scratch(docs.sparkSession, "quality")
     model = fit(docs, labels, id_col, text_col, seed=seed)
     scores = store.keep(scored(docs, model, id_col, text_col), "scores")
-    good = _marks(labels).filter("quality = 1").select(F.col("doc_id").cast("bigint").alias("_good"))
-    labelled = scores.join(good, F.col("doc_id") == F.col("_good"), "left_semi")
+    good = _good(labels).filter(_held_out())
+    labelled = scores.join(good, F.col("doc_id") == F.col("_id"), "left_semi")
     cut = labelled.agg(F.percentile_approx("log_weight", 1 - KEEP_GOOD, 100_000)).first()[0]
     k = scores.filter(F.lit(True) if cut is None else F.col("log_weight") >= cut).count()
     least = kth_largest(scores, "gumbel_key", k) if k else math.inf
