@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.labels import SEX, two_way
 from tallyward.operators.joins import keep_listed, relaid
-from tallyward.operators.windows import dense_nth, first_times, nth_event, repeat_rows, time_counts
+from tallyward.operators.windows import dense_nth, nth_event, repeat_rows, time_counts
 from tallyward.period import Period
 
 
@@ -61,15 +61,13 @@ def nth_registration(
 ) -> DataFrame:
     """Doctors with at least n registrations, their count and the time of the n-th.
 
-    Count and n-th time are both found per doctor id, and their join needs no
-    further shuffle; the doctor table only meets one row per doctor.
+    The counts by which the n-th time is found give the total as well; the doctor table
+    only meets one row per doctor.
     """
     valid = _valid(registrations, wanted)
-    counted = valid.groupBy("doctor_id").agg(F.count(F.lit(1)).alias("registrations"))
-    reached = nth_event(valid, ["doctor_id"], "create_date", wanted.n)
+    reached = nth_event(valid, ["doctor_id"], "create_date", wanted.n, total="registrations")
     report = (
-        counted.join(reached, "doctor_id")
-        .join(_names(doctors), "doctor_id")
+        reached.join(_names(doctors), "doctor_id")
         .select(
             "doctor_name",
             "doctor_id",
@@ -126,7 +124,7 @@ def threshold_sheets(
     build = registration_counts if wanted.n == 1 else nth_registration
     return {
         "reached": build(registrations, doctors, wanted, parity=parity),
-        "summary": lambda written: written["reached"].drop("doctor_id"),
+        "summary": lambda written: written["reached"].orderBy("doctor_name", "doctor_id").drop("doctor_id"),
         "detail": lambda written: registration_detail(
             registrations, tables["usr_user"], doctors, written["reached"], wanted
         ),
@@ -139,15 +137,13 @@ def dense_nth_registration(
     """The n-th distinct registration time per doctor name, tied rows kept.
 
     Doctors qualify by n valid registrations, but all registrations of the period
-    are ranked, and by name. The n earliest distinct times of a name are among
-    the n earliest of its doctors, so only those reach the join; the tied rows are
-    counted on the way and written out at the end.
+    are ranked, and by name. Rows are counted per doctor and time before they meet the
+    names; the tied rows travel as counts and are written out at the end.
     """
     valid = _valid(registrations, wanted)
     enough = valid.groupBy("doctor_id").agg(F.count("user_id").alias("n")).filter(F.col("n") >= wanted.n)
     rows = wanted.period.restrict(registrations, "create_date").select("doctor_id", "create_date")
-    early = first_times(time_counts(rows, ["doctor_id"], "create_date"), ["doctor_id"], "create_date", wanted.n)
-    named = keep_listed(early, enough, "doctor_id").join(_names(doctors), "doctor_id")
+    named = keep_listed(time_counts(rows, ["doctor_id"], "create_date"), enough, "doctor_id").join(_names(doctors), "doctor_id")
     per_name = named.groupBy("doctor_name", "create_date").agg(F.sum("ties").alias("ties"))
     hits = dense_nth(per_name, ["doctor_name"], "create_date", wanted.n)
     report = repeat_rows(hits, "ties").select(

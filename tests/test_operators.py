@@ -39,14 +39,15 @@ def expected_nth(rows, n):
 
 
 @pytest.mark.parametrize("n", [1, 2, 20, 41, 500])
-@pytest.mark.parametrize("limit", ["1000", "0"])
-def test_nth_event(spark, events, n, limit):
-    """Both ways, by rank and by counting, find the same times."""
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
-    try:
-        assert set(tuples(windows.nth_event(events[1], ["who"], "t", n))) == expected_nth(events[0], n)
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+def test_nth_event(events, n):
+    assert set(tuples(windows.nth_event(events[1], ["who"], "t", n))) == expected_nth(events[0], n)
+
+
+def test_nth_event_with_total(events):
+    counts = Counter(who for who, t in events[0] if t is not None)
+    found = windows.nth_event(events[1], ["who"], "t", 20, total="all").collect()
+    assert {(r.who, r.t) for r in found} == expected_nth(events[0], 20)
+    assert all(r["all"] == counts[r.who] for r in found)
 
 
 def test_nth_event_equals_the_shift_form(events):
@@ -60,8 +61,7 @@ def test_nth_event_equals_the_shift_form(events):
 
 
 @pytest.mark.parametrize("n", [1, 3, 30])
-@pytest.mark.parametrize("limit", ["1000", "0"])
-def test_dense_nth_keeps_ties(spark, events, n, limit):
+def test_dense_nth_keeps_ties(events, n):
     rows = [r for r in events[0] if r[1] is not None]
     counts = Counter(rows)
     distinct = {}
@@ -72,14 +72,9 @@ def test_dense_nth_keeps_ties(spark, events, n, limit):
         if len(ts) >= n:
             hit = (who, sorted(ts)[n - 1])
             expected[hit] = counts[hit]
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
-    try:
-        counted = windows.time_counts(events[1].dropna(subset=["t"]), ["who"], "t")
-        early = windows.first_times(counted, ["who"], "t", n)
-        hits = windows.dense_nth(early, ["who"], "t", n)
-        assert Counter(tuples(windows.repeat_rows(hits, "ties"))) == expected
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    counted = windows.time_counts(events[1].dropna(subset=["t"]), ["who"], "t")
+    hits = windows.dense_nth(counted, ["who"], "t", n)
+    assert Counter(tuples(windows.repeat_rows(hits, "ties"))) == expected
 
 
 def test_n_must_be_positive(events):
@@ -101,6 +96,19 @@ def test_top_k(spark):
     assert sorted((r.g, r["rank"], r.seq) for r in ranked) == [("x", 1, 3), ("x", 2, 1), ("y", 1, 4)]
 
 
+@pytest.mark.parametrize("k", [3, 1500])
+def test_top_k_of_a_hot_group(spark, k):
+    df = spark.range(0, 9000, 1, 8).selectExpr("CASE WHEN id % 3 < 2 THEN 0 ELSE id % 50 END AS g", "id * 7919 % 1000 AS p", "id AS seq")
+    by_group = {}
+    for r in df.collect():
+        by_group.setdefault(r.g, []).append((-r.p, r.seq))
+    got = {}
+    for r in windows.top_k_per_group(df, ["g"], "p", "seq", k).collect():
+        got.setdefault(r.g, {})[r["rank"]] = r.seq
+    for g, rows in by_group.items():
+        assert got[g] == {n: seq for n, (_, seq) in enumerate(sorted(rows)[:k], start=1)}
+
+
 # --- sums --------------------------------------------------------------------------
 
 

@@ -5,11 +5,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tallyward import Period
 from tallyward.operators import joins, windows
 from tallyward.plans import orders, payments, threshold
 from tests import clinic
+from workload.queries import registry as queries
 
 SF_DIR = "/root/testdata/sf0.001"
 given = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="the given tables are not here")
@@ -45,9 +45,36 @@ def test_only_needed_columns_are_read(spark):
 
 
 @given
-@pytest.mark.parametrize("name", ["nth_registration", "dense_nth_registration", "top_k_per_group"])
-def test_groups_are_cut_before_the_shuffle(spark, name):
-    assert "WindowGroupLimit" in plan(queries()[name](spark, SF_DIR))
+@pytest.mark.parametrize("name", ["nth_registration", "nth_event_large", "dense_nth_registration"])
+def test_nth_has_one_path_that_sorts_no_group(spark, name):
+    """The walks go over counts: below every window stands a sum that was shuffled as partial sums."""
+    text = plan(queries()[name](spark, SF_DIR), "simple")
+    assert "WindowGroupLimit" not in text and "partial_count(1)" in text
+
+
+@given
+def test_the_plan_does_not_depend_on_n(spark):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+
+    def shape(n):
+        return [line.split("[")[0].split("(")[0] for line in plan(windows.nth_event(events, ["event_type"], "ts", n), "simple").splitlines()]
+
+    assert shape(3) == shape(1_000_000)
+
+
+def test_hot_group_is_sorted_in_parts(spark):
+    """A third of the rows in one group, k beyond Spark's rank limit: no task of the first sort gets a third."""
+    rows = hot(spark, ["{key} AS g", "id * 7919 % 10007 AS p", "id"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cut = windows.top_k_per_group(rows, ["g"], "p", "id", 2000)
+        part = F.pmod(F.xxhash64("id"), F.lit(256))
+        sizes = rows.repartition(8, "g", part).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 60_000 / 4
+        assert plan(cut, "simple").count("Window [row_number") == 2
+        assert cut.filter("g = 0").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 @given
@@ -156,14 +183,10 @@ def test_repeated_list_keys_shrink_before_the_join(spark, large):
 
 
 def test_hot_group_nth_event_by_counting(spark, large):
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
-    try:
-        events = hot(
-            spark,
-            ["{key} AS k", "CAST('2021-03-01' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, id) AS t", "id"],
-        )
-        found = {r.k: r.t for r in windows.nth_event(events, ["k"], "t", 5000).collect()}
-        assert found.keys() == {0}
-        assert (found[0] - events.filter("id = 14997").first().t).total_seconds() == 0
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    events = hot(
+        spark,
+        ["{key} AS k", "CAST('2021-03-01' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, id) AS t", "id"],
+    )
+    found = {r.k: r.t for r in windows.nth_event(events, ["k"], "t", 5000).collect()}
+    assert found.keys() == {0}
+    assert (found[0] - events.filter("id = 14997").first().t).total_seconds() == 0

@@ -93,7 +93,8 @@ def _clinic_test(column: str, clinics) -> str:
     return "TRUE" if clinics is None else f"{column} IN ({', '.join(map(str, clinics))})"
 
 
-def _visits(role: str, clinics=None) -> str:
+def _visits(role: str, clinics=None, source: str = "main") -> str:
+    urgent = "" if source == "main" else "AND o_orderpriority <> '1-URGENT'"
     name, source = ROLE_COLUMNS[role]
     rate = _half_up("r", "v", 10000)
     return f"""
@@ -105,7 +106,7 @@ def _visits(role: str, clinics=None) -> str:
                      count(DISTINCT o_custkey) AS p
               FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
               WHERE o_orderdate BETWEEN {ORDER_SPAN} AND o_orderstatus IN ('F', 'O')
-                AND {_clinic_test("c_nationkey", clinics)}
+                AND {_clinic_test("c_nationkey", clinics)} {urgent}
               GROUP BY 1, 2, 3)"""
 
 
@@ -124,20 +125,21 @@ def _even(value: str) -> str:
     return f"round_even({value} * 0.1, 2)"
 
 
-def _income(role: str, clinics=None, parity: bool = False, exact_type: bool = False) -> str:
-    name, source = ROLE_COLUMNS[role]
+def _income(role: str, clinics=None, parity: bool = False, exact_type: bool = False, source: str = "main") -> str:
+    name, person = ROLE_COLUMNS[role]
+    charged = PRICE if source == "main" else f"(3 * {PRICE})"
     final = (lambda v, n: f"{v} AS {n}") if exact_type else (lambda v, n: f"CAST({v} AS DOUBLE) AS {n}")
     parts = []
     for category in SHOWN:
         test = _rule_test(t.RULES[category], CODE_COLUMNS)
-        for suffix, value in (("fee", PRICE), ("cost", COST)):
+        for suffix, value in (("fee", charged), ("cost", COST)):
             if parity and category == "other":
-                value = PRICE
+                value = charged
             total = _even(f"sum(CASE WHEN {test} THEN {value} ELSE 0 END)")
             parts.append(final(total, f"{category}_{suffix}"))
-    price, cost = _even(f"sum({PRICE})"), _even(f"sum({COST})")
+    price, cost = _even(f"sum({charged})"), _even(f"sum({COST})")
     return f"""
-        SELECT n_name AS hospital_name, {source} AS {name}, strftime(o_orderdate, '%Y-%m') AS month,
+        SELECT n_name AS hospital_name, {person} AS {name}, strftime(o_orderdate, '%Y-%m') AS month,
                {', '.join(parts)}, {final(price, "total_price")}, {final(cost, "total_cost_price")},
                {final(f"({price} - {cost})", "gross_profit")}
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -147,21 +149,24 @@ def _income(role: str, clinics=None, parity: bool = False, exact_type: bool = Fa
         GROUP BY 1, 2, 3"""
 
 
-def _merged(role: str, clinics=None) -> str:
+def _merged(role: str, clinics=None, source: str = "main", parity: bool = False) -> str:
     name, _ = ROLE_COLUMNS[role]
     values = [f"{c}_{s}" for c in SHOWN for s in ("fee", "cost")] + ["total_price", "gross_profit"]
     shown = ", ".join(f"CAST(m.{v} AS DOUBLE) AS {v}" for v in values)
     cents = "CAST(m.total_price * 100 AS HUGEINT)"
     whole, rest = f"({cents} // v.visits)", f"({cents} % v.visits)"
     up = f"CASE WHEN 2 * {rest} > v.visits OR (2 * {rest} = v.visits AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+    ticket = f"CAST({whole} + {up} AS DOUBLE) / 100"
+    if parity:  # the text of a float is rounded from its exact value
+        ticket = "CAST(format('{:.2f}', CAST(m.total_price AS DOUBLE) / v.visits) AS DOUBLE)"
     return f"""
-        SELECT v.*, {shown}, CAST({whole} + {up} AS DOUBLE) / 100 AS average_ticket
-        FROM ({_visits(role, clinics)}) v JOIN ({_income(role, clinics, exact_type=True)}) m
+        SELECT v.*, {shown}, {ticket} AS average_ticket
+        FROM ({_visits(role, clinics, source)}) v JOIN ({_income(role, clinics, exact_type=True, source=source)}) m
           ON v.hospital_name = m.hospital_name AND v.{name} = m.{name} AND v.month = m.month"""
 
 
 def _two_sources(role: str) -> str:
-    return " UNION ALL ".join(f"({_merged(role, clinics)})" for clinics in t.CLINICS.values())
+    return " UNION ALL ".join(f"({_merged(role, clinics, source)})" for source, clinics in t.CLINICS.items())
 
 
 ORDER_STATE = "CASE l_returnflag WHEN 'A' THEN 'waiting' WHEN 'N' THEN 'answered' ELSE '###' END"
@@ -232,10 +237,10 @@ def _activity(parity: bool) -> str:
 VALID_EVENTS = f"SELECT * FROM events WHERE event_type <> 'error' AND ts BETWEEN {EVENT_SPAN}"
 NTH = f"""
     SELECT c_name AS doctor_name, c_custkey AS doctor_id, n AS registrations,
-           strftime(ts, {TIME_FORMAT}) AS reached_at, 20 AS threshold, '{INTERVAL}' AS interval
+           strftime(ts, {TIME_FORMAT}) AS reached_at, 55 AS threshold, '{INTERVAL}' AS interval
     FROM (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS k,
                  count(*) OVER (PARTITION BY user_id) AS n FROM ({VALID_EVENTS}))
-    JOIN customer ON user_id = c_custkey WHERE k = 20"""
+    JOIN customer ON user_id = c_custkey WHERE k = 55"""
 
 
 def _profile() -> str:
@@ -322,6 +327,7 @@ def oracles() -> dict[str, str]:
         found[f"merged_summary{suffix}"] = _merged(role)
         found[f"merged_two_sources{suffix}"] = _two_sources(role)
     found["income_cost_parity"] = _income("doctor", parity=True)
+    found["merged_summary_parity"] = _merged("doctor", parity=True)
     found["doctor_activity"] = _activity(parity=False)
     found["doctor_activity_parity"] = _activity(parity=True)
     found["inquiry_orders"] = _order_list(INQUIRY_ROWS)
@@ -331,10 +337,11 @@ def oracles() -> dict[str, str]:
     found["in_list"] = """
         SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
         WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN (
-            SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'))"""
+            SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'))"""
     found["not_in_list"] = """
         SELECT c_custkey, c_name FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"""
+        WHERE c_custkey NOT IN (
+            SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')"""
     found["registration_counts"] = f"""
         SELECT c_name AS doctor_name, c_custkey AS doctor_id, count(*) AS registrations, '{INTERVAL}' AS interval
         FROM ({VALID_EVENTS}) JOIN customer ON user_id = c_custkey GROUP BY 1, 2"""
@@ -349,15 +356,19 @@ def oracles() -> dict[str, str]:
         LEFT JOIN customer ON user_id = c_custkey
         WHERE ts BETWEEN {EVENT_SPAN} AND user_id IN (SELECT doctor_id FROM ({NTH}))"""
     found["dense_nth_registration"] = f"""
-        SELECT doctor_name, 3 AS threshold, strftime(d, {TIME_FORMAT}) AS reached_at,
+        SELECT doctor_name, 25 AS threshold, strftime(d, {TIME_FORMAT}) AS reached_at,
                '2024-01-01→2024-01-31' AS interval
         FROM (SELECT c_name AS doctor_name, date_trunc('day', ts) AS d,
                      dense_rank() OVER (PARTITION BY c_name ORDER BY date_trunc('day', ts)) AS k
               FROM events JOIN customer ON user_id = c_custkey
               WHERE date_trunc('day', ts) BETWEEN {EVENT_SPAN} AND user_id IN (
-                  SELECT user_id FROM events WHERE event_type <> 'error'
-                    AND date_trunc('day', ts) BETWEEN {EVENT_SPAN} GROUP BY user_id HAVING count(*) >= 3))
-        WHERE k = 3"""
+                  SELECT user_id FROM events WHERE event_type IN ('click', 'signup')
+                    AND date_trunc('day', ts) BETWEEN {EVENT_SPAN} GROUP BY user_id HAVING count(*) >= 25))
+        WHERE k = 25"""
+    found["dense_nth_large"] = f"""
+        SELECT event_type, strftime(minute, {TIME_FORMAT}) AS ts, ties FROM (
+            SELECT event_type, date_trunc('minute', ts) AS minute, count(*) AS ties FROM events GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY minute) = 1200"""
     found["exclude_by_words"] = """
         SELECT p_partkey, p_name, p_type FROM part
         WHERE NOT (regexp_matches(p_name, 'red|bolt') OR regexp_matches(p_type, 'ECONOMY|SMALL'))"""
@@ -372,6 +383,11 @@ def oracles() -> dict[str, str]:
             SELECT o_custkey, o_orderkey, o_totalprice, CAST(row_number() OVER (
                 PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders)
         WHERE rank <= 3"""
+    found["top_k_per_group_large"] = """
+        SELECT * FROM (
+            SELECT o_orderstatus, o_orderkey, o_totalprice, CAST(row_number() OVER (
+                PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders)
+        WHERE rank <= 1500"""
     monday = "CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) - 1 AS INTEGER)"
     found["calendar_bounds"] = f"""
         SELECT o_orderkey, {_day("o_orderdate")} AS day, strftime(o_orderdate, '%Y-%m') AS month,

@@ -103,17 +103,15 @@ def income_cost(role: str, src: t.Sources, parity: bool = False) -> DataFrame:
     )
 
 
-def merged_summary(role: str, src: t.Sources) -> DataFrame:
+def merged_summary(role: str, src: t.Sources, parity: bool = False) -> DataFrame:
     return indicators.merged_summary(
-        t.summary_tables(src), ORDER_DAYS, role, money_options={"rules": t.RULES}
+        t.summary_tables(src), ORDER_DAYS, role, money_options={"rules": t.RULES}, parity=parity
     )
 
 
 def merged_two_sources(role: str, src: t.Sources) -> DataFrame:
-    source = t.summary_tables(src)
-    return indicators.merged_sources(
-        {name: source for name in t.CLINICS}, ORDER_DAYS, role, t.CLINICS, money_options={"rules": t.RULES}
-    )
+    sources = {name: t.summary_tables(src, name) for name in t.CLINICS}
+    return indicators.merged_sources(sources, ORDER_DAYS, role, t.CLINICS, money_options={"rules": t.RULES})
 
 
 # --- order lists ------------------------------------------------------------------
@@ -156,17 +154,17 @@ def online_orders_sum(src: t.Sources) -> DataFrame:
 
 
 def in_list(src: t.Sources) -> DataFrame:
-    """Line items of the customers with a pending order, found through their orders."""
+    """Line items of the customers with an urgent pending order, found through their orders: about half."""
     orders_, lines = src.table("orders"), src.table("lineitem")
-    pending = orders_.filter(F.col("o_orderstatus") == "P")
+    pending = orders_.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
     placed = joins.keep_listed(orders_.select("o_orderkey", "o_custkey"), pending, "o_custkey")
     kept = joins.keep_listed(lines, placed, "l_orderkey", "o_orderkey")
     return kept.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 def not_in_list(src: t.Sources) -> DataFrame:
-    """Customers not among those with a pending order."""
-    pending = src.table("orders").filter(F.col("o_orderstatus") == "P")
+    """Customers not among those with an urgent pending order."""
+    pending = src.table("orders").filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
     rest = joins.not_in(src.table("customer"), pending, "c_custkey", "o_custkey")
     return rest.select("c_custkey", "c_name")
 
@@ -189,37 +187,45 @@ def doctor_activity(src: t.Sources, parity: bool = False) -> DataFrame:
     )
 
 
-TWENTIETH = threshold.Threshold(20, EVENT_DAYS, 1)
-THIRD = threshold.Threshold(3, EVENT_DAYS, 1)
+# Near the median, so that about half of the doctors reach them.
+MANY = threshold.Threshold(55, EVENT_DAYS, 1)
+DAYS = threshold.Threshold(25, EVENT_DAYS, 1)
 
 
 def registration_counts(src: t.Sources) -> DataFrame:
     return threshold.registration_counts(
-        t.registrations(src), t.customer_doctors(src), TWENTIETH
+        t.registrations(src), t.customer_doctors(src), MANY
     )
 
 
 def nth_registration(src: t.Sources) -> DataFrame:
-    return threshold.nth_registration(t.registrations(src), t.customer_doctors(src), TWENTIETH)
+    return threshold.nth_registration(t.registrations(src), t.customer_doctors(src), MANY)
 
 
 def registration_detail(src: t.Sources) -> DataFrame:
     rows, doctors = t.registrations(src), t.customer_doctors(src)
-    reached = threshold.nth_registration(rows, doctors, TWENTIETH, ordered=False)
-    return threshold.registration_detail(rows, t.part_patients(src), doctors, reached, TWENTIETH)
+    reached = threshold.nth_registration(rows, doctors, MANY, ordered=False)
+    return threshold.registration_detail(rows, t.part_patients(src), doctors, reached, MANY)
 
 
 def dense_nth_registration(src: t.Sources) -> DataFrame:
     return threshold.dense_nth_registration(
-        t.registrations(src, by_day=True), t.customer_doctors(src), THIRD
+        t.registrations(src, by_day=True), t.customer_doctors(src), DAYS
     )
 
 
 def nth_event_large(src: t.Sources) -> DataFrame:
-    """The 1500th event of each type, found by counting."""
+    """The 1500th event of each type."""
     return windows.nth_event(src.table("events"), ["event_type"], "ts", 1500)
 
 
+def dense_nth_large(src: t.Sources) -> DataFrame:
+    """The 1200th distinct minute of each event type, and its events."""
+    minute = F.expr("CAST(date_format(ts, 'yyyy-MM-dd HH:mm:00') AS TIMESTAMP_NTZ)")
+    counted = windows.time_counts(src.table("events").withColumn("ts", minute), ["event_type"], "ts")
+    return windows.dense_nth(counted, ["event_type"], "ts", 1200)
+
+
 # --- sheets and small operators ------------------------------------------------------
 
 
@@ -301,6 +307,11 @@ def top_k_per_group(src: t.Sources) -> DataFrame:
     return windows.top_k_per_group(placed, ["o_custkey"], "o_totalprice", "o_orderkey", 3)
 
 
+def top_k_per_group_large(src: t.Sources) -> DataFrame:
+    placed = src.table("orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    return windows.top_k_per_group(placed, ["o_orderstatus"], "o_totalprice", "o_orderkey", 1500)
+
+
 def calendar_bounds(src: t.Sources) -> DataFrame:
     d = F.col("o_orderdate")
     return src.table("orders").select(
@@ -384,6 +395,7 @@ def registry() -> dict[str, Query]:
         found[f"merged_summary{suffix}"] = partial(merged_summary, role)
         found[f"merged_two_sources{suffix}"] = partial(merged_two_sources, role)
     found["income_cost_parity"] = partial(income_cost, "doctor", parity=True)
+    found["merged_summary_parity"] = partial(merged_summary, "doctor", parity=True)
     found["doctor_activity"] = doctor_activity
     found["doctor_activity_parity"] = partial(doctor_activity, parity=True)
     for query in (
@@ -396,6 +408,7 @@ def registry() -> dict[str, Query]:
         registration_counts,
         nth_registration,
         nth_event_large,
+        dense_nth_large,
         registration_detail,
         dense_nth_registration,
         exclude_by_words,
@@ -405,6 +418,7 @@ def registry() -> dict[str, Query]:
         char_mode_positions,
         top_k_priority,
         top_k_per_group,
+        top_k_per_group_large,
         calendar_bounds,
         label_decode,
         bad_date_rows,

@@ -161,10 +161,15 @@ def hospitals(src: Sources) -> DataFrame:
     return src.table("nation").selectExpr("n_nationkey AS hospital_id", "n_name AS hospital_name")
 
 
-def summary_tables(src: Sources) -> dict[str, DataFrame]:
+def summary_tables(src: Sources, source: str = "main") -> dict[str, DataFrame]:
+    """The tables of one source. The second has other rows: no visits of urgent orders, and prices three times as high."""
+    visited, lines = visits(src), fee_lines(src)
+    if source == "second":
+        visited = visited.filter("consultants_name <> '1-URGENT'")
+        lines = lines.withColumn("total_price", lines["total_price"] * 3)
     return {
-        "ord_registered": visits(src),
-        "ord_fee_detail": fee_lines(src),
+        "ord_registered": visited,
+        "ord_fee_detail": lines,
         "ord_pay": fee_payments(src),
         "sec_hospital": hospitals(src),
     }
@@ -263,11 +268,12 @@ def purchases(src: Sources) -> DataFrame:
 
 
 def registrations(src: Sources, by_day: bool = False) -> DataFrame:
-    """Events as registrations; errors are void. By day, many of them share one time."""
+    """Events as registrations; errors are void. By day, many share one time, and only clicks and signups are valid."""
+    void = "event_type NOT IN ('click', 'signup')" if by_day else "event_type = 'error'"
     return src.table("events").selectExpr(
         "user_id AS doctor_id",
         "floor(value) AS user_id",
         "1 AS brand_id",
-        "CASE event_type WHEN 'error' THEN 0 ELSE 1 END AS state",
+        f"CASE WHEN {void} THEN 0 ELSE 1 END AS state",
         f"{'CAST(to_date(ts) AS TIMESTAMP_NTZ)' if by_day else 'ts'} AS create_date",
     )
