@@ -32,9 +32,10 @@ class Measure:
     """A money column and the way it is summed.
 
     Whole numbers are summed in two halves, the low 20 bits and the rest. Both are plain
-    64-bit sums, several times faster than a decimal sum, and neither overflows before
-    some 10^12 rows per group. Decimals are summed as they are. Either way the sums are
-    exact, can be summed again, and become one decimal only at the end.
+    64-bit sums, several times faster than a decimal sum. Amounts below 2^43 in size can be
+    summed over some 10^12 rows per group; larger ones over fewer, and what does not fit
+    fails loudly. Decimals are summed as they are. Either way the sums are exact, can be
+    summed again, and become one decimal only at the end.
     """
 
     column: str
@@ -118,6 +119,22 @@ def ratio_even(part: str, whole: str, places: int = 2) -> Column:
     return F.expr(f"CAST(coalesce(bround({share}, {places}), 0) AS DECIMAL(28,{places}))")
 
 
+def ratio_float(part: str, whole: str) -> Column:
+    """Money / count as floating point, rounded as Python rounds floats: to the cent nearest to the binary value.
+
+    Twice a hundred times the quotient is taken in two parts that are exact together, the
+    rounded product and what rounding lost, so that a value a hair off a half cent goes the
+    way of the hair. Real halves go to even. 0 where there is nothing to divide by.
+    """
+    q = f"(CAST({part} AS DOUBLE) / nullif({whole}, 0))"
+    top = f"({q} * 134217729D - ({q} * 134217729D - {q}))"
+    lost = f"(({top} * 200D - {q} * 200D) + ({q} - {top}) * 200D)"
+    cents = f"floor({q} * 200D / 2D)"
+    over = f"(({q} * 200D - (2D * {cents} + 1D)) + {lost})"
+    up = f"CASE WHEN {over} > 0 OR ({over} = 0 AND {cents} % 2 <> 0) THEN 1 ELSE 0 END"
+    return F.expr(f"CAST(coalesce(CAST({cents} + {up} AS DECIMAL(28,0)) / 100, 0) AS DECIMAL(28,2))")
+
+
 def percent_text(share: Column) -> Column:
     """0.4286 as ``42.86%``."""
     return F.concat((F.round(share, 4) * 100).cast("decimal(20,2)").cast("string"), F.lit("%"))

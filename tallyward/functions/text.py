@@ -34,21 +34,28 @@ def commonest_char(text: str | Column) -> Column:
     The character seen first wins a tie. Every text is handled within its row, so no
     character is ever shuffled. Built-in functions would scan the text once per
     distinct character; counting code points as an array is some ten times faster.
-    The functions are local so that they travel to the executors with the query.
+    Memory follows the length of the text, whatever its characters. A batch is bounded by
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB); one whose positions would not
+    fit 32-bit offsets is refused. The functions are local so that they travel to the
+    executors with the query.
     """
 
     def find(value: str | None):
         if not value:
             return None, 0, np.empty(0, dtype="int32")
         codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        counts = np.bincount(codes)
-        tied = np.flatnonzero(counts == counts.max())
+        chars, counts = np.unique(codes, return_counts=True)
+        most = counts.max()
+        tied = chars[counts == most]
         code = codes[np.isin(codes, tied).argmax()] if len(tied) > 1 else tied[0]
-        return chr(code), int(counts[code]), np.flatnonzero(codes == code).astype("int32")
+        return chr(code), int(most), np.flatnonzero(codes == code).astype("int32")
 
     def per_batch(texts: pa.Array) -> pa.Array:
         found = [find(value) for value in texts.to_pylist()]
-        ends = np.cumsum([0, *[len(places) for _, _, places in found]]).astype("int32")
+        ends = np.cumsum([0, *[len(places) for _, _, places in found]], dtype="int64")
+        if ends[-1] >= 1 << 31:
+            raise OverflowError("a batch of texts has too many positions; lower spark.sql.execution.arrow.maxBytesPerBatch")
+        ends = ends.astype("int32")
         flat = np.concatenate([np.empty(0, dtype="int32"), *[places for _, _, places in found]])
         return pa.StructArray.from_arrays(
             [

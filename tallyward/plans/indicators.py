@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.calendar import month_start, month_text
-from tallyward.functions.money import HALF_EVEN, HUNDRED_THOUSANDTH, percent_text, ratio, ratio_even
+from tallyward.functions.money import HALF_EVEN, HUNDRED_THOUSANDTH, percent_text, ratio, ratio_even, ratio_float
 from tallyward.operators.aggregates import rule_sums
 from tallyward.operators.frames import union_all
 from tallyward.operators.joins import merge
@@ -167,10 +167,16 @@ def income_cost(
     )
 
 
-def merge_indicators(indicators: DataFrame, money: DataFrame, role: str = "doctor") -> DataFrame:
-    """Both reports side by side where both have the group, with the average ticket."""
+def merge_indicators(
+    indicators: DataFrame, money: DataFrame, role: str = "doctor", *, parity: bool = False
+) -> DataFrame:
+    """Both reports side by side where both have the group, with the average ticket.
+
+    The ticket is rounded exactly, half cents to even. With ``parity`` it is the rounded
+    quotient of floats, which sends some half cents the other way (5.35 / 2 to 2.67).
+    """
     joined = merge(indicators, money, ["hospital_name", _role(role), "month"])
-    ticket = ratio_even("total_price", "visits")
+    ticket = (ratio_float if parity else ratio_even)("total_price", "visits")
     return joined.withColumn("average_ticket", ticket).drop("total_cost_price")
 
 
@@ -181,6 +187,8 @@ def merged_summary(
     clinics: Collection | None = None,
     visit_options: Mapping | None = None,
     money_options: Mapping | None = None,
+    *,
+    parity: bool = False,
 ) -> DataFrame:
     """``merge_indicators`` built from the tables of one source."""
     visits = visit_indicators(
@@ -196,7 +204,7 @@ def merged_summary(
         ordered=False,
         **(money_options or {}),
     )
-    return merge_indicators(visits, money, role)
+    return merge_indicators(visits, money, role, parity=parity)
 
 
 def merged_sources(

@@ -106,7 +106,7 @@ def charge_categories(
     unit: Decimal = TEN_THOUSANDTH,
     ordered: bool = True,
 ) -> DataFrame:
-    """Twenty fee measures per group.
+    """Twenty fee measures per group; by day, each clinic's latest days come first.
 
     Payments meet their visits first, while the rows are narrow, so that the wide
     classified rows are shuffled once, by payment.
@@ -117,7 +117,7 @@ def charge_categories(
     paid = paid_visits(pay, visits, period, names, states, buy_type, ["pay_order_id"])
     fees = classify.select("pay_order_id", *measures)
     rows = fees.join(paid.select("pay_order_id", *keys), "pay_order_id")
-    order = [*names, F.desc("pay_day")] if by_day else names
+    order = [names[0], F.desc("pay_day"), *names[1:]] if by_day else names
     return period.stamp(scaled_sums(rows, keys, measures, unit, order=order if ordered else ()))
 
 
