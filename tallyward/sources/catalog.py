@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,19 +53,23 @@ class Files:
 class Database:
     """A JDBC database; the caller supplies url, user, password and driver as options.
 
-    ``schemas`` maps a table to its database schema; ``splits`` names the tables that are
-    read in parallel. A large table without a split would be read by a single task.
+    ``schemas`` maps a table to its database schema; ``splits`` says how tables are read in
+    parallel. A table that has no split is read by a single task, and only if it is named
+    in ``small``.
     """
 
     options: Mapping[str, str]
     schemas: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, Split] = field(default_factory=dict)
+    small: Collection[str] = ()
     fetch_size: int = 10_000
 
     def reader_options(self, table: str, query: str | None = None, split: Split | None = None) -> dict[str, str]:
         prefix = self.schemas.get(table)
         target = f"({query}) {table}" if query else f"{prefix}.{table}" if prefix else table
         chosen = split or self.splits.get(table)
+        if chosen is None and table not in self.small:
+            raise ValueError(f"{table!r} has no split, so one task would read it all; give one, or name it among the small ones")
         return {
             **self.options,
             "dbtable": target,
