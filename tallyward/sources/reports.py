@@ -113,7 +113,7 @@ def _escaped(frame: DataFrame) -> DataFrame:
     def change(text: Column) -> Column:
         for plain, shown in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
             text = F.replace(text, F.lit(plain), F.lit(shown))
-        return text
+        return F.when(text == "", F.lit("\\e")).otherwise(text)
 
     return _texts(frame, change)
 
@@ -126,7 +126,7 @@ def read_export(spark: SparkSession, path: str, schema: str | T.StructType) -> D
         kept = F.replace(text, F.lit("\\\\"), F.lit("\u0000"))
         for plain, shown in (("\n", "\\n"), ("\r", "\\r"), ("\\", "\u0000")):
             kept = F.replace(kept, F.lit(shown), F.lit(plain))
-        return kept
+        return F.when(text == "\\e", F.lit("")).otherwise(kept)
 
     return _texts(spark.read.schema(schema).options(**_CSV).csv(path), change)
 

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -48,6 +49,10 @@ def test_database_options():
     assert options["dbtable"] == "ord.ord_pay"
     assert (options["partitionColumn"], options["numPartitions"]) == ("pay_order_id", "64")
     assert (options["lowerBound"], options["upperBound"]) == ("1", "1000000")
+    for unsplit in (lambda: database.reader_options("ord_fee"), lambda: database.reader_options("q", "SELECT 1")):
+        with pytest.raises(ValueError, match="no split"):
+            unsplit()
+    database = replace(database, small=["recent"])
     query = database.reader_options("recent", "SELECT * FROM usr_account LIMIT 10")
     assert query["dbtable"] == "(SELECT * FROM usr_account LIMIT 10) recent"
     assert "query" not in query and "partitionColumn" not in query
