@@ -60,12 +60,12 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about BLOCK bytes each."""
+def blocks(texts: pa.Array, size_limit: int = BLOCK) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size_limit`` bytes each."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     first, held = 0, 0
     for row, size in enumerate(sizes):
-        if held and held + size > BLOCK:
+        if held and held + size > size_limit:
             yield first, row
             first, held = row, 0
         held += int(size)

@@ -32,6 +32,8 @@ END = 1
 #: Queues at most; more sources than that share queues by hash.
 QUEUES = 1024
 _BATCH_TOKENS = 1 << 21
+#: Bytes of text encoded at a time; a word that recurs in them is encoded once.
+_TEXT_BYTES = 1 << 22
 
 _TOKENS = "part int, queue int, doc_id bigint, n_tokens bigint, begin bigint, ids binary"
 _PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, queue int, ids binary"
@@ -93,7 +95,7 @@ def tokenised_batches(
     part = task.partitionId() if task else 0
     reached: dict[int, int] = {}
     for batch in batches:
-        for first, last in blocks(batch.column(2)):
+        for first, last in blocks(batch.column(2), _TEXT_BYTES):
             some = batch.slice(first, last - first)
             ids, counts = encode.encode(some.column(2))
             edges = np.concatenate([[0], np.cumsum(counts + 1)])
