@@ -35,5 +35,83 @@ FROM hashed
 """
 
 
+def _any_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_NAMES = "|".join(_any_case(w).replace("_", "_?") for w in ("password", "passwd", "secret", "token", "api_key"))
+# rank, kind, pattern, group whose length counts, least length
+_KINDS = (
+    (0, "assign", rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    (1, "access", "AKIA[A-Z0-9]+", 0, 20),
+    (2, "hex", "[0-9a-f]+", 0, 24),
+    (3, "github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    (4, "jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 20),
+    (5, "pem", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 20),
+)
+
+
+def _spans(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Matches of one kind: gaps and matches alternate, so their lengths give the places."""
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+        SELECT doc_id, {rank} AS rank, '{kind}' AS kind, first, first + length(m[i]) AS stop FROM (
+            SELECT doc_id, i, m, v, list_sum(list_transform(g[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS first
+            FROM (
+                SELECT doc_id, g, m, v, unnest(range(1, len(m) + 1)) AS i FROM (
+                    SELECT doc_id, string_split_regex(text, {quoted}) AS g, regexp_extract_all(text, {quoted}, 0) AS m,
+                        regexp_extract_all(text, {quoted}, {group}) AS v
+                    FROM documents WHERE regexp_matches(text, {quoted}))))
+        WHERE length(v[i]) >= {least}"""
+
+
+OP3 = f"""
+WITH found AS ({" UNION ALL ".join(_spans(*k) for k in _KINDS)}),
+told AS (
+    SELECT doc_id, rank, kind, first, kind || ':' || CAST(first AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM found
+), per_doc AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY first, rank) AS spans,
+        string_agg(span, ',' ORDER BY first, rank) FILTER (rank < 3) AS base
+    FROM told GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
+
+OP10 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+        FROM words)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * pairs.n >= 75 * (x.n + y.n - pairs.n)
+), both_ways AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+    SELECT a, b FROM both_ways UNION SELECT reach.a, e.b FROM reach JOIN both_ways e ON reach.b = e.a
+), lowest AS (
+    SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+    doc_id <= coalesce(low, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op7_merkle_fixity_audit": OP7}
+    return {"op3_blob_ledger_secrets": OP3, "op7_merkle_fixity_audit": OP7, "op10_minhash_inverted_join": OP10}
