@@ -84,7 +84,7 @@ def _places(padded: Column, phrase: str) -> Column:
     return F.when(F.contains(padded, F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<bigint>"))
 
 
-def _indexed(templates: Sequence[Template]) -> dict[str, list[tuple[int, int]]]:
+def indexed(templates: Sequence[Template]) -> dict[str, list[tuple[int, int]]]:
     """Postings: word to template number and position."""
     postings: dict[str, list[tuple[int, int]]] = {}
     for number, template in enumerate(templates):
@@ -126,7 +126,7 @@ def scan_licences(
     repeated rows are rows like any other. An empty table gives an empty result. Other
     columns are not read.
     """
-    postings = _indexed(templates)
+    postings = indexed(templates)
     weights = rarity(docs, text_col, sorted(postings))
     rows = docs.select(F.col(id_col).alias("doc_id"), _padded(F.col(text_col)).alias("_t"))
     rows = rows.withColumn("n_words", F.when(F.col("_t") == "  ", F.lit(0)).otherwise(_blanks(F.col("_t")) - 1).cast("bigint"))
@@ -194,7 +194,7 @@ def _matched(rows: DataFrame, postings, weights, templates, looked_up: int, agre
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """Counts, first and last places, labels and the best score, one row per document."""
+    """Counts, first and last places, labels and the best score (six places; a base phrase alone: 0.5), one row per document."""
     own = F.transform("matches", lambda m: m["label"])
     every = F.array_sort(F.array_distinct(F.concat("base_labels", own)))
     best = F.array_max(F.concat(F.transform("matches", lambda m: m["score"]), F.array(F.lit(0.0))))
@@ -206,5 +206,5 @@ def digest(scanned: DataFrame) -> DataFrame:
         F.array_max("places").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct("base_labels")), ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
-        F.least(F.lit(1.0), F.when(F.size("places") > 0, F.greatest(best, F.lit(0.5))).otherwise(best)).alias("score"),
+        F.round(F.least(F.lit(1.0), F.when(F.size("places") > 0, F.greatest(best, F.lit(0.5))).otherwise(best)), 6).alias("score"),
     )

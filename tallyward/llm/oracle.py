@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyward.llm.licences import AGREEING, BASE_PHRASES, LOOKED_UP, TEMPLATES, indexed
+
 _NEW = "chr(13) || chr(10)"
 
 
@@ -113,5 +115,56 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
 
 
+_POSTINGS = ", ".join(f"('{w}', {t}, {p})" for w, held in indexed(TEMPLATES).items() for t, p in held)
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', ' {t.mandatory} ')" for k, t in enumerate(TEMPLATES))
+_PHRASES = " UNION ALL ".join(
+    f"SELECT doc_id, '{label}' AS label, i FROM tokens WHERE "
+    + " AND ".join(f"{'w' if not k else f'w{k}'} = '{w}'" for k, w in enumerate(phrase.split()))
+    for phrase, label in BASE_PHRASES.items()
+)
+
+OP9 = rf"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), tokens AS (
+    SELECT doc_id, i - 1 AS i, ws[i] AS w, ws[i + 1] AS w1, ws[i + 2] AS w2 FROM (
+        SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM split)
+), postings(w, template, place) AS (VALUES {_POSTINGS}), templates(template, label, needed) AS (VALUES {_TEMPLATES}),
+sizes AS (SELECT template, count(*) AS size FROM postings GROUP BY template),
+placed AS (SELECT doc_id, i, w FROM tokens WHERE w IN (SELECT w FROM postings)),
+rarity AS (
+    SELECT w, ln((SELECT count(*) + 1 FROM documents) / (count(DISTINCT doc_id) + 1)) AS r FROM placed GROUP BY w
+), chosen AS (
+    SELECT doc_id, w, r FROM (SELECT DISTINCT doc_id, w FROM placed) JOIN rarity USING (w)
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY r DESC, w) <= {LOOKED_UP}
+), every AS (SELECT doc_id, sum(r) AS total FROM chosen GROUP BY doc_id),
+votes AS (
+    SELECT DISTINCT doc_id, template, i - place AS start, w, r
+    FROM placed JOIN chosen USING (doc_id, w) JOIN postings USING (w)
+), agreed AS (
+    SELECT doc_id, template, start, count(*) AS n, sum(r) AS r FROM votes GROUP BY 1, 2, 3
+), matched AS (
+    SELECT doc_id, label, CASE WHEN total > 0 THEN agreed.r / total ELSE 1 END AS score
+    FROM agreed JOIN every USING (doc_id) JOIN sizes USING (template) JOIN templates USING (template) JOIN split USING (doc_id)
+    WHERE n >= least({LOOKED_UP}, size) * {AGREEING} AND contains(' ' || array_to_string(ws, ' ') || ' ', needed)
+), base AS ({_PHRASES}),
+based AS (
+    SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM base GROUP BY doc_id
+), named AS (
+    SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM (SELECT doc_id, label FROM base UNION ALL SELECT doc_id, label FROM matched) GROUP BY doc_id
+), best AS (SELECT doc_id, max(score) AS score FROM matched GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+    round(least(1.0, CASE WHEN n_base > 0 THEN greatest(coalesce(score, 0), 0.5) ELSE coalesce(score, 0) END), 6) AS score
+FROM split LEFT JOIN based USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op3_blob_ledger_secrets": OP3, "op7_merkle_fixity_audit": OP7, "op10_minhash_inverted_join": OP10}
+    return {"op3_blob_ledger_secrets": OP3, "op7_merkle_fixity_audit": OP7, "op9_positional_licence_index": OP9, "op10_minhash_inverted_join": OP10}
