@@ -17,7 +17,7 @@ from tallyward.llm.store import Scratch
 
 WINDOW = 8
 #: Part of an item's windows that must be found in a document.
-COVERAGE = 0.5
+COVERAGE = 0.3
 #: Literal words that a window must hold; one of placeholders mostly says nothing.
 LITERAL = 4
 #: Rows up to which the benchmark's windows are sent to all tasks (32 bytes each).
