@@ -15,9 +15,13 @@ from tallyward.llm.neardup import near_duplicates
 from tallyward.llm.packing import pack
 from tallyward.llm.quality import select_by_importance
 from tallyward.llm.secrets import find_secrets, masked
+from tallyward.llm.store import Scratch, sent_if_small
 
 TOKENIZER = "word_bpe_49k.json"
 TEMPERATURE = 0.7
+#: Ids to drop (8 bytes each), and texts with secrets (some 200 bytes of hash and places), that are sent to all tasks.
+SENT_IDS = 1_000_000
+SENT_FINDINGS = 100_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +38,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays; rows without id stay too."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return _without(docs, near_duplicates(docs).filter(~F.col("kept")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; rows without id stay."""
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
+    return _without(docs, found)
+
+
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    gone = Scratch(docs.sparkSession, "gone").keep(found.select(F.col("doc_id").alias("_gone")).distinct(), "ids")
+    gone = sent_if_small(gone, SENT_IDS)
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
@@ -50,6 +58,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     _, ledger = find_secrets(docs)
     spans = F.flatten(F.transform("scanned", lambda s: s["spans"]))
     found = ledger.select(F.col("blob").alias("_blob"), F.sort_array(spans).alias("_spans")).filter(F.size("_spans") > 0)
+    found = sent_if_small(Scratch(spark, "masking").keep(found, "found"), SENT_FINDINGS)
     blob = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
     met = docs.join(found, blob == found["_blob"], "left")
     text = F.when(found["_spans"].isNull(), docs["text"]).otherwise(masked(docs["text"], found["_spans"]))

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -39,8 +40,16 @@ class Scratch:
         df.write.mode("overwrite").parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 
-    def drop(self, name: str) -> None:
-        """Delete a table that no later step reads."""
+    def keep_only(self, *names: str) -> None:
+        """Delete the run's other tables, which no later step reads."""
         jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(folder):
+            if status.getPath().getName() not in names:
+                files.delete(status.getPath(), True)
+
+
+def sent_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, marked to be sent to all tasks if it has no more rows than that; joined by shuffles otherwise."""
+    return F.broadcast(df) if df.count() <= rows else df
