@@ -361,6 +361,7 @@ def extract_pages(
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), host_of(F.col("url")).alias("host"))
     templates = store.keep(_templates(rows, store, support, least, size, content), "templates")
+    store.keep_only("templates")
     met = _with_host(rows, templates, "template").select("page_id", "url", "html", "template")
     kinds = dict(pages.dtypes)
 

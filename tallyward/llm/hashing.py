@@ -7,6 +7,7 @@ modulo 2^64, alike on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +22,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, so that idle workers hold little; the C library may have no such call."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_classes(**members: str) -> np.ndarray:
     """A table from byte to class number; bytes not named separate runs. ``high`` stands for all bytes from 0x80."""
     table = np.zeros(256, dtype=np.uint8)

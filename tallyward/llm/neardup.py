@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.components import components
-from tallyward.llm.hashing import Runs, blank_separated, blocks
+from tallyward.llm.hashing import Runs, blank_separated, blocks, give_back
 from tallyward.llm.store import Scratch
 
 COORDINATES = 64
@@ -87,6 +87,7 @@ def signed_batches(batches: Iterator[pa.RecordBatch], width: int, coordinates: i
                     "sketch": pa.array([s.astype(np.uint8).tobytes() for s in signatures], pa.binary()),
                 }
             )
+        give_back()
 
 
 def agreeing_batches(batches: Iterator[pa.RecordBatch], coordinates: int, least: int) -> Iterator[pa.RecordBatch]:
@@ -120,6 +121,7 @@ def confirmed_batches(batches: Iterator[pa.RecordBatch], width: int, similarity:
             common = len(np.intersect1d(left, right, assume_unique=True))
             held[row] = 100 * common >= percent * (len(left) + len(right) - common)
         yield pa.record_batch({"a": batch.column(0).filter(pa.array(held)), "b": batch.column(1).filter(pa.array(held))})
+        give_back()
 
 
 def _distinct(text: str, width: int, classes: np.ndarray) -> np.ndarray:
@@ -167,6 +169,8 @@ def near_duplicates(
     texts = store.keep(texts, "texts")
     links = _linked(store, lists, ours.select("node", "sketch"), texts, similarity, width, coordinates, least, short)
 
+    links = store.keep(links, "links")
+    store.keep_only("signed", "nodes", "links")
     labelled = nodes.join(links, "node", "left").select(
         "first", "second", F.coalesce("component", "node").alias("component_id")
     )

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.hashing import blocks
+from tallyward.llm.hashing import blocks, give_back
 from tallyward.llm.store import Scratch
 from tallyward.llm.tokens import encoder
 
@@ -118,6 +118,7 @@ def tokenised_batches(
                     "ids": pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                 }
             )
+        give_back()
 
 
 def piece_batches(batches: Iterator[pa.RecordBatch], plan: Allotment) -> Iterator[pa.RecordBatch]:
@@ -128,6 +129,7 @@ def piece_batches(batches: Iterator[pa.RecordBatch], plan: Allotment) -> Iterato
         edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
         for first, last in zip(edges[:-1], edges[1:], strict=True):
             yield _pieces(batch.slice(first, last - first), plan)
+        give_back()
 
 
 def _pieces(batch: pa.RecordBatch, plan: Allotment) -> pa.RecordBatch:

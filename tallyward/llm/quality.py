@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.hashing import Runs, blocks, mix
+from tallyward.llm.hashing import Runs, blocks, give_back, mix
 from tallyward.llm.store import Scratch
 
 #: Hash buckets of the models; what the driver gathers is bounded by it.
@@ -70,6 +70,7 @@ def counted_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator
             for grams, good in ((single, chosen), (pairs[pairs >= 0], chosen[pairs >= 0])):
                 totals[0] += np.bincount(grams, minlength=buckets)
                 totals[1] += np.bincount(grams[good], minlength=buckets)
+    give_back()
     seen = np.flatnonzero(totals[0])
     yield pa.record_batch({"bucket": pa.array(seen), "raw": pa.array(totals[0][seen]), "target": pa.array(totals[1][seen])})
 
@@ -83,6 +84,7 @@ def log_weights(texts: pa.Array, ratios: np.ndarray) -> np.ndarray:
         value = ratios[single] + np.where(pairs >= 0, ratios[pairs], 0)
         sums = np.concatenate([[0], np.cumsum(value)])
         out[start:stop] = sums[runs.first[1:]] - sums[runs.first[:-1]]
+    give_back()
     return out
 
 

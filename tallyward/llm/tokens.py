@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 #: Words whose ids a worker remembers, and words encoded in one call.
 _REMEMBERED = 300_000
-_AT_ONCE = 30_000
+_AT_ONCE = 10_000
 
 
 class Encoder:
