@@ -41,9 +41,14 @@ def first_row_as_pairs(df: DataFrame, order: Sequence[str | Column], columns: Se
     return row.unpivot([], names, "field", "value")
 
 
+def with_date(df: DataFrame, column: str, parsed: str = "date") -> DataFrame:
+    """The date of a text, null for a text that is not a ``YYYY-MM-DD`` date; one pass where both kinds stay together."""
+    return df.withColumn(parsed, strict_date(F.col(column)))
+
+
 def split_by_date(df: DataFrame, column: str, parsed: str = "date") -> tuple[DataFrame, DataFrame]:
     """Rows whose text is a ``YYYY-MM-DD`` date (with the date added), and all other rows."""
-    checked = df.withColumn(parsed, strict_date(F.col(column)))
+    checked = with_date(df, column, parsed)
     good = checked.filter(F.col(parsed).isNotNull())
     bad = checked.filter(F.col(parsed).isNull()).drop(parsed)
     return good, bad

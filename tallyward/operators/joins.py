@@ -28,9 +28,17 @@ def relaid(df: DataFrame) -> DataFrame:
     return df.select(F.struct("*").alias("_row")).distinct().select("_row.*")
 
 
-def keep_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
-    """Rows whose key is among the listed ones (``IN (SELECT ...)``); the list may repeat keys."""
-    ids = relaid(listed.select(F.col(listed_key or key).alias("_listed")))
+def keep_listed(
+    df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None, small: bool = True
+) -> DataFrame:
+    """Rows whose key is among the listed ones (``IN (SELECT ...)``); the list may repeat keys.
+
+    A small list is laid out afresh (``relaid``), so that a hot key of ``df`` can be split.
+    A list about as large as ``df`` is shuffled once, by key, which is all its join needs;
+    each of its keys should then be rare in ``df``.
+    """
+    ids = listed.select(F.col(listed_key or key).alias("_listed"))
+    ids = relaid(ids) if small else ids.distinct()
     return df.join(ids, df[key] == ids["_listed"], "left_semi")
 
 

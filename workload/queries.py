@@ -158,7 +158,7 @@ def in_list(src: t.Sources) -> DataFrame:
     orders_, lines = src.table("orders"), src.table("lineitem")
     pending = orders_.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
     placed = joins.keep_listed(orders_.select("o_orderkey", "o_custkey"), pending, "o_custkey")
-    kept = joins.keep_listed(lines, placed, "l_orderkey", "o_orderkey")
+    kept = joins.keep_listed(lines, placed, "l_orderkey", "o_orderkey", small=False)
     return kept.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
@@ -346,10 +346,8 @@ def bad_date_rows(src: t.Sources) -> DataFrame:
     texts = src.table("orders").select(
         "o_orderkey", F.concat_ws("-", F.year(d), F.month(d), F.dayofmonth(d)).alias("date_text")
     )
-    good, bad = frames.split_by_date(texts, "date_text")
-    marked = frames.union_all(
-        [good.withColumn("verdict", F.lit("good")), bad.withColumn("verdict", F.lit("bad"))], missing=True
-    )
+    dated = frames.with_date(texts, "date_text")
+    marked = dated.withColumn("verdict", F.when(F.col("date").isNotNull(), "good").otherwise("bad"))
     return marked.withColumn("date", F.coalesce(cal.day_text(F.col("date")), F.lit("-")))
 
 
