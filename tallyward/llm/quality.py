@@ -5,6 +5,10 @@ one of the raw table (every row), give each document the log ratio of its probab
 Documents are sampled without replacement in proportion to that ratio: Gumbel noise is
 added and the k largest sums stay.
 
+A handful of insults weighs nothing in a sum over a whole text. So a second ratio of the
+same kind, of toxic against all labelled texts, is taken per token, and a text is judged
+by its few strongest tokens; texts that it rejects do not stay.
+
 N-grams are single tokens and neighbouring pairs; tokens are runs of letters and digits,
 and runs of signs. Log ratios are whole 1/65536ths, so sums do not depend on the order
 in which texts arrive.
@@ -34,6 +38,12 @@ FIT_ROWS = 50_000
 HELD_OUT = 5
 #: Part of the good documents held out whose weight the k-th document's must not exceed.
 KEEP_GOOD = 0.998
+#: Hash buckets of the toxicity model, which is of single tokens and must tell rare ones apart.
+TOXIC_BUCKETS = 1 << 20
+#: Labelled texts added to each bucket's count there, toxic and expected.
+TOXIC_PRIOR = 2
+#: A text's strongest tokens, by which its toxicity is judged.
+STRONGEST = 3
 _UNIT = 1 << 16
 _BINS = 1024
 _GATHER = 4096
@@ -88,6 +98,51 @@ def log_weights(texts: pa.Array, ratios: np.ndarray) -> np.ndarray:
     return out
 
 
+def holder_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Texts per bucket of a task's rows, all and toxic ones; bucket -1 counts the texts themselves."""
+    totals, texts, classes = np.zeros((2, buckets + 1), dtype=np.int64), np.zeros(2, dtype=np.int64), _token_classes()
+    for batch in batches:
+        toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        texts += [len(toxic), toxic.sum()]
+        for start, stop in blocks(batch.column(0)):
+            runs = Runs(batch.column(0).slice(start, stop - start), classes)
+            of, tokens = _distinct(runs, buckets)
+            totals[0] += np.bincount(tokens, minlength=buckets + 1)
+            totals[1] += np.bincount(tokens[toxic[start:stop][of]], minlength=buckets + 1)
+    totals[:, buckets] = texts
+    give_back()
+    seen = np.flatnonzero(totals[0])
+    yield pa.record_batch(
+        {"bucket": pa.array(np.where(seen == buckets, -1, seen)), "every": pa.array(totals[0][seen]), "toxic": pa.array(totals[1][seen])}
+    )
+
+
+def _distinct(runs: Runs, buckets: int, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and their distinct buckets, in order of the texts; only the ``chosen`` buckets if given."""
+    single = (runs.hashes % np.uint64(buckets)).astype(np.int64)
+    of = runs.text_of_words()
+    if chosen is not None:
+        inside = chosen[single]
+        single, of = single[inside], of[inside]
+    pairs = np.unique(of * buckets + single)
+    return pairs // buckets, pairs % buckets
+
+
+def toxic_weights(texts: pa.Array, ratios: np.ndarray, strongest: int = STRONGEST) -> np.ndarray:
+    """The sum of the largest log ratios above 0 among each text's distinct tokens, in units of 1/65536."""
+    out, classes, above = np.zeros(len(texts), dtype=np.int64), _token_classes(), ratios > 0
+    for start, stop in blocks(texts):
+        of, tokens = _distinct(Runs(texts.slice(start, stop - start), classes), len(ratios), above)
+        value = ratios[tokens].astype(np.int64)
+        order = np.lexsort((-value, of))
+        of, value = of[order], value[order]
+        begins = np.searchsorted(of, np.arange(stop - start))
+        first = np.arange(len(of)) - begins[of] < strongest
+        np.add.at(out, start + of[first], value[first])
+    give_back()
+    return out
+
+
 def gumbel_keys(ids: pa.Array, weights: np.ndarray, seed: int) -> np.ndarray:
     """Weight plus noise; the noise depends on the id alone."""
     known = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -96,15 +151,28 @@ def gumbel_keys(ids: pa.Array, weights: np.ndarray, seed: int) -> np.ndarray:
 
 
 class Resampler:
-    """The fitted pair of models: ``ratios`` holds each bucket's log ratio."""
+    """The fitted models: ``ratios`` holds each bucket's log ratio, ``toxic`` that of the toxicity model.
 
-    def __init__(self, ratios: np.ndarray, seed: int = 1):
+    Texts of a toxic weight above ``toxic_cut`` are rejected, none while it is not set.
+    """
+
+    def __init__(self, ratios: np.ndarray, seed: int = 1, toxic: np.ndarray | None = None):
         self.ratios, self.seed = ratios, seed
+        self.toxic = np.zeros(1, dtype=np.int32) if toxic is None else toxic
+        self.toxic_cut: float | None = None
 
     def key(self, ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         weights = log_weights(texts, self.ratios)
         return weights, gumbel_keys(ids, weights, self.seed)
 
+    def toxicity(self, texts: pa.Array) -> np.ndarray:
+        return toxic_weights(texts, self.toxic) / _UNIT
+
+    def drawn(self, ids: pa.Array, texts: pa.Array, least: float) -> np.ndarray:
+        """Which rows stay, given the smallest key that does."""
+        stays = self.key(ids, texts)[1] >= least
+        return stays if self.toxic_cut is None else stays & (self.toxicity(texts) <= self.toxic_cut)
+
 
 def fit(
     docs: DataFrame,
@@ -115,8 +183,9 @@ def fit(
     prior: float = PRIOR,
     fit_rows: int = FIT_ROWS,
     seed: int = 1,
+    reject_toxic: bool = False,
 ) -> Resampler:
-    """Both models in one pass over all documents.
+    """Target and raw model in one pass over all documents, the toxicity model, if asked for, in one over the labelled ones.
 
     The target are texts labelled ``quality = 1`` and not toxic, but for those held out:
     all of them, or the ``fit_rows`` whose ids come first in hash order. Without labels
@@ -138,7 +207,26 @@ def fit(
         seen = raw > 0
         expected = raw[seen] * (chosen.sum() / raw.sum())
         ratios[seen] = np.rint(_UNIT * np.log((chosen[seen] + prior) / (expected + prior))).astype(np.int64)
-    return Resampler(ratios, seed)
+    return Resampler(ratios, seed, _toxic_ratios(rows, labels, fit_rows) if reject_toxic else None)
+
+
+def _toxic_ratios(rows: DataFrame, labels: DataFrame, fit_rows: int, buckets: int = TOXIC_BUCKETS, prior: float = TOXIC_PRIOR) -> np.ndarray:
+    """Each bucket's log ratio of toxic texts that hold it to those expected, among the labelled texts not held out."""
+    marks = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("_id"))
+    marks = marks.agg((F.max("toxic") > 0).alias("toxic")).filter(~_held_out())
+    marks = marks.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
+    marked = rows.join(F.broadcast(marks), F.col("_doc") == F.col("_id")).select("text", "toxic")
+    counts = marked.mapInArrow(lambda it: holder_batches(it, buckets), "bucket bigint, every bigint, toxic bigint")
+    totals = counts.groupBy("bucket").agg(F.sum("every").alias("every"), F.sum("toxic").alias("toxic"))
+    # only what toxic texts hold can have a ratio above 0
+    totals = totals.filter("toxic > 0").toPandas()
+    ratios = np.zeros(buckets, dtype=np.int32)
+    whole = totals[totals["bucket"] == -1]
+    if len(whole):
+        seen = totals[totals["bucket"] >= 0]
+        expected = seen["every"] * (whole["toxic"].iloc[0] / whole["every"].iloc[0])
+        ratios[seen["bucket"]] = np.rint(_UNIT * np.log((seen["toxic"] + prior) / (expected + prior)))
+    return ratios
 
 
 def _good(labels: DataFrame) -> DataFrame:
@@ -175,37 +263,54 @@ def kth_largest(values: DataFrame, col: str, k: int) -> float:
 
 
 def scored(docs: DataFrame, model: Resampler, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, log_weight, gumbel_key`` per row."""
+    """``doc_id, log_weight, gumbel_key, toxicity`` per row."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             weights, keys = model.key(batch.column(0), batch.column(1))
             yield pa.record_batch(
-                {"doc_id": batch.column(0), "log_weight": pa.array(weights / _UNIT), "gumbel_key": pa.array(keys)}
+                {
+                    "doc_id": batch.column(0),
+                    "log_weight": pa.array(weights / _UNIT),
+                    "gumbel_key": pa.array(keys),
+                    "toxicity": pa.array(model.toxicity(batch.column(1))),
+                }
             )
 
-    return rows.mapInArrow(score, "doc_id bigint, log_weight double, gumbel_key double")
+    return rows.mapInArrow(score, "doc_id bigint, log_weight double, gumbel_key double, toxicity double")
 
 
 def select_by_importance(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1, reject_toxic: bool = False
 ) -> tuple[DataFrame, Resampler, float]:
     """Per row ``doc_id, log_weight, gumbel_key, kept``, the model, and the smallest key that is kept.
 
-    ``kept`` marks the k rows of the largest keys. k is the number of rows at least as
-    heavy as all but ``1 - KEEP_GOOD`` of the good ones held out; without these all rows.
+    With ``reject_toxic`` rows more toxic than all but ``1 - KEEP_GOOD`` of the good ones held
+    out, and of all good ones where that is more (few held out tell little), are rejected.
+    Of the others ``kept`` marks the k rows of the largest keys. k is the number of those
+    at least as heavy as all but ``1 - KEEP_GOOD`` of the good ones held out. Without good
+    ones held out all rows stay.
 
     Defined cases: an empty or null text has weight 1 (log 0). Rows without id share one
     noise value. Rows whose keys tie with the k-th all stay. An empty table gives an empty
     result. Other columns are not read.
     """
     store = Scratch(docs.sparkSession, "quality")
-    model = fit(docs, labels, id_col, text_col, seed=seed)
+    model = fit(docs, labels, id_col, text_col, seed=seed, reject_toxic=reject_toxic)
     scores = store.keep(scored(docs, model, id_col, text_col), "scores")
-    good = _good(labels).filter(_held_out())
-    labelled = scores.join(good, F.col("doc_id") == F.col("_id"), "left_semi")
-    cut = labelled.agg(F.percentile_approx("log_weight", 1 - KEEP_GOOD, 100_000)).first()[0]
-    k = scores.filter(F.lit(True) if cut is None else F.col("log_weight") >= cut).count()
-    least = kth_largest(scores, "gumbel_key", k) if k else math.inf
-    return scores.withColumn("kept", F.col("gumbel_key") >= F.lit(least)), model, least
+    good = _good(labels).withColumn("_held", _held_out())
+    labelled = scores.join(good, F.col("doc_id") == F.col("_id"))
+    held = labelled.groupBy("_held").agg(
+        F.percentile_approx("log_weight", 1 - KEEP_GOOD, 100_000).alias("cut"), F.percentile_approx("toxicity", KEEP_GOOD, 100_000).alias("toxic")
+    )
+    bounds = {r["_held"]: r for r in held.collect()}
+    cut = bounds[True]["cut"] if True in bounds else None
+    if reject_toxic and cut is not None:
+        model.toxic_cut = max(r["toxic"] for r in bounds.values())
+    mild = F.lit(True) if model.toxic_cut is None else F.col("toxicity") <= F.lit(model.toxic_cut)
+    able = scores.filter(mild)
+    k = able.filter(F.lit(True) if cut is None else F.col("log_weight") >= cut).count()
+    least = kth_largest(able, "gumbel_key", k) if k else math.inf
+    kept = mild & (F.col("gumbel_key") >= F.lit(least))
+    return scores.select("doc_id", "log_weight", "gumbel_key", kept.alias("kept")), model, least

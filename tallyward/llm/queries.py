@@ -57,7 +57,7 @@ def op7_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))[0]
+    return select_by_importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), reject_toxic=True)[0]
 
 
 def op9_positional_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,15 +25,14 @@ SENT_FINDINGS = 100_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling draws. The key is worked out once more, which spares a join of texts."""
-    _, model, least = select_by_importance(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that importance resampling draws and that are not toxic. Both are worked out once more, which spares a join of texts."""
+    _, model, least = select_by_importance(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), reject_toxic=True)
 
-    @F.arrow_udf("double")
-    def key(ids: pa.Array, texts: pa.Array) -> pa.Array:
-        return pa.array(model.key(ids, texts)[1])
+    @F.arrow_udf("boolean")
+    def drawn(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.array(model.drawn(ids, texts, least))
 
-    drawn = key(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
-    return docs.filter(drawn >= F.lit(least))
+    return docs.filter(drawn(docs["doc_id"].cast("bigint"), docs["text"].cast("string")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
