@@ -1,10 +1,11 @@
 """Licence scans over a positional index of rare words.
 
 Licence notices are templates: phrases whose words stand at known places. The index lists
-for every telling word of the templates where it stands in which. A file's rarest licence
-words (by document frequency over all files) are looked up, and each occurrence says
+for every telling word of the templates where it stands in which. A file's licence words
+are looked up, all of them, so that no notice pushes another out, and each occurrence says
 where in the file a template would begin; occurrences that agree on the beginning are a
-match, which holds if the template's mandatory phrase is in the file.
+match, which holds if the template's mandatory phrase is in the file. Words weigh by their
+rarity (by document frequency over all files).
 
 All of a file's work is done within its row; only the frequencies are gathered, one
 number per word of the index.
@@ -13,7 +14,7 @@ number per word of the index.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,10 +54,12 @@ TEMPLATES = (
 )
 #: Words too common in any text to be in the index.
 STOPWORDS = frozenset("a all and any are by for in into is of or the this to under use v with without work 0 1 2 3 4".split())
-#: A file's rarest licence words that are looked up.
+#: Of a longer template no more words than this are asked for.
 LOOKED_UP = 8
-#: Part of a template's indexed words that must agree on its beginning.
+#: Part of these words that must agree on its beginning.
 AGREEING = 0.6
+#: A template that is cut off at the file's first word begins before it, by fewer words than this.
+_AHEAD = 1 << 16
 
 
 def _padded(text: Column) -> Column:
@@ -94,10 +97,6 @@ def indexed(templates: Sequence[Template]) -> dict[str, list[tuple[int, int]]]:
     return postings
 
 
-def _tellers(postings: Mapping[str, object]) -> str:
-    return f"(?<= )(?:{'|'.join(sorted(postings))})(?= )"
-
-
 def rarity(docs: DataFrame, text_col: str, words: Sequence[str]) -> dict[str, float]:
     """Inverse document frequency of the given words over all documents; the driver gets one number per word."""
     padded = docs.select(_padded(F.col(text_col)).alias("t"))
@@ -120,7 +119,7 @@ def scan_licences(
 
     ``places`` are the word positions of the base phrases. ``matches`` are structs of
     ``label``, ``start`` (the word at which the template would begin) and ``score`` (the
-    part of the looked-up words' weight that agrees on it).
+    part of the weight of the file's different licence words that agrees on it).
 
     Defined cases: a null text is empty, has no words and no labels. Rows without id and
     repeated rows are rows like any other. An empty table gives an empty result. Other
@@ -141,54 +140,59 @@ def scan_licences(
 def _matched(rows: DataFrame, postings, weights, templates, looked_up: int, agreeing: float) -> DataFrame:
     """The rows with ``matches``, worked out from their padded text column step by step."""
     entry = "array<struct<template:int,place:int>>"
+    order = sorted(postings)
 
     def looked(held: list[tuple[int, int]]) -> Column:
         return F.array(*[F.struct(F.lit(t).alias("template"), F.lit(p).alias("place")) for t, p in held]).cast(entry)
 
-    index = F.create_map(*[x for word, held in sorted(postings.items()) for x in (F.lit(word), looked(held))])
-    rare = F.create_map(*[F.lit(x) for w in sorted(postings) for x in (w, float(weights[w]))])
-    sizes = F.array(*[F.lit(sum(t == k for held in postings.values() for t, _ in held)) for k in range(len(templates))])
+    index = F.create_map(*[x for w in order for x in (F.lit(w), looked(postings[w]))])
+    number = F.create_map(*[F.lit(x) for k, w in enumerate(order) for x in (w, k)])
+    rare = F.array(*[F.lit(float(weights[w])) for w in order])
+    sizes = [sum(t == k for held in postings.values() for t, _ in held) for k in range(len(templates))]
+    asked = F.array(*[F.lit(math.ceil(min(looked_up, size) * agreeing)) for size in sizes])
     labels = F.array(*[F.lit(t.label) for t in templates])
-    needs = F.array(*[F.lit(f" {t.mandatory} ") for t in templates])
 
+    # only templates whose mandatory phrase is there can match
+    able = F.array(*[F.when(F.contains("_t", F.lit(f" {t.mandatory} ")), F.lit(k)) for k, t in enumerate(templates)])
+    rows = rows.withColumn("_able", F.filter(able, lambda k: k.isNotNull()))
     words = F.transform(F.split(F.trim("_t"), " ", -1), lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     placed = F.filter(words, lambda x: F.map_contains_key(index, x["w"]))
     none = F.array().cast("array<struct<w:string,i:int>>")
-    rows = rows.withColumn("_placed", F.when(F.col("_t").rlike(_tellers(postings)), placed).otherwise(none))
-    # the rarest of the file's licence words, by weight, then by word
-    distinct = F.array_distinct(F.transform("_placed", lambda x: F.struct((-rare[x["w"]]).alias("r"), x["w"].alias("w"))))
-    rows = rows.withColumn("_chosen", F.transform(F.slice(F.sort_array(distinct), 1, looked_up), lambda x: x["w"]))
-    every = F.aggregate("_chosen", F.lit(0.0), lambda a, w: a + rare[w])
+    rows = rows.withColumn("_placed", F.when(F.size("_able") > 0, placed).otherwise(none))
+    every = F.aggregate(F.array_distinct("_placed.w"), F.lit(0.0), lambda a, w: a + F.get(rare, number[w]))
     rows = rows.withColumn("_every", every)
-    # every occurrence of a chosen word votes for the beginnings that its postings imply
-    voters = F.filter("_placed", lambda x: F.array_contains("_chosen", x["w"]))
-    votes = F.transform(
-        voters,
-        lambda x: F.transform(
-            index[x["w"]],
-            lambda p: F.struct(p["template"].alias("template"), (x["i"] - p["place"]).alias("start"), x["w"].alias("w")),
-        ),
-    )
-    rows = rows.withColumn("_votes", F.flatten(votes))
-    begins = F.transform("_votes", lambda v: F.struct(v["template"].alias("template"), v["start"].alias("start")))
 
-    def agreed(b: Column) -> Column:
-        same = F.filter("_votes", lambda v: (v["template"] == b["template"]) & (v["start"] == b["start"]))
-        return F.struct(
-            b["template"].alias("template"), b["start"].alias("start"), F.array_distinct(F.transform(same, lambda v: v["w"])).alias("ws")
-        )
+    # every occurrence votes for the beginnings that its postings imply: template, beginning and word in one number
+    def vote(x: Column, p: Column) -> Column:
+        begin = p["template"].cast("bigint") * (1 << 32) + (x["i"] - p["place"] + _AHEAD)
+        return begin * (1 << 16) + number[x["w"]]
+
+    def votes(x: Column) -> Column:
+        held = F.filter(index[x["w"]], lambda p: F.array_contains("_able", p["template"]))
+        return F.transform(held, lambda p: vote(x, p))
+
+    rows = rows.withColumn("_votes", F.sort_array(F.array_distinct(F.flatten(F.transform("_placed", votes)))))
+
+    def begin_of(v: Column) -> Column:
+        return F.shiftright(v, 16)
+
+    def template_of(v: Column) -> Column:
+        return F.shiftright(v, 48).cast("int")
 
-    rows = rows.withColumn("_begins", F.transform(F.array_distinct(begins), agreed))
+    # in order, votes for one beginning are neighbours: the first of enough of them is a match
+    numbered = F.transform("_votes", lambda v, i: F.struct(v.alias("v"), i.alias("i")))
     held = F.filter(
-        "_begins",
-        lambda b: (F.size(b["ws"]) >= F.least(F.lit(looked_up), F.get(sizes, b["template"])) * F.lit(agreeing))
-        & F.contains("_t", F.get(needs, b["template"])),
+        numbered,
+        lambda x: ~begin_of(x["v"]).eqNullSafe(begin_of(F.get("_votes", x["i"] - 1)))
+        & (begin_of(F.get("_votes", x["i"] + F.greatest(F.get(asked, template_of(x["v"])), F.lit(1)) - 1)) == begin_of(x["v"])),
     )
 
-    def told(b: Column) -> Column:
-        weight = F.aggregate(b["ws"], F.lit(0.0), lambda a, w: a + rare[w])
+    def told(x: Column) -> Column:
+        same = F.filter(F.slice("_votes", x["i"] + 1, max(sizes)), lambda v: begin_of(v) == begin_of(x["v"]))
+        weight = F.aggregate(same, F.lit(0.0), lambda a, v: a + F.get(rare, v.bitwiseAND(F.lit(0xFFFF)).cast("int")))
         score = F.when(F.col("_every") > 0, weight / F.col("_every")).otherwise(F.lit(1.0))
-        return F.struct(F.get(labels, b["template"]).alias("label"), b["start"].alias("start"), score.alias("score"))
+        start = (begin_of(x["v"]).bitwiseAND(F.lit((1 << 32) - 1)) - _AHEAD).cast("int")
+        return F.struct(F.get(labels, template_of(x["v"])).alias("label"), start.alias("start"), score.alias("score"))
 
     return rows.withColumn("matches", F.transform(held, told))
 

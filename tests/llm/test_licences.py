@@ -47,3 +47,30 @@ def test_labels(spark):
     assert got[3] == "gpl,gpl-3.0"
     assert got[4] == "apache-2.0,cc-by,cc-by-nc-4.0"
     assert got[5] == got[6] == got[7] == got[8] == got[60] == ""
+
+
+def test_notices_do_not_push_each_other_out(spark):
+    """More different licence words than one template has: every notice is still found, at its own place."""
+    mit, bsd, apache = licences.TEMPLATES[1], licences.TEMPLATES[7], licences.TEMPLATES[2]
+    stray = "mozilla here affero there unencumbered cc0 universal creative commons attribution lesser gnu redistribution fee purpose"
+    filler = " ".join(f"word{k}" for k in range(3000))
+    rows = [
+        (1, f"{mit.text}. x {bsd.text}"),
+        (2, f"{mit.text}. {filler} {bsd.text}; {apache.text}"),
+        (3, f"{stray} {filler} Released under the MIT license. {filler} {stray}"),
+        (4, f"{stray} {filler} mit license"),
+        (5, "under the mit license"),
+        (6, "all rights reserved " * 3000 + "all " * 3000),
+    ]
+    rows += [(100 + k, f"some other text number {k}") for k in range(50)]
+    scanned = licences.scan_licences(documents(spark, rows))
+    found = {r.doc_id: {(m.label, m.start) for m in r.matches} for r in scanned.collect()}
+    n = len(mit.text.split())
+    assert found[1] == {("mit", 0), ("bsd", n + 1)}
+    assert found[2] == {("mit", 0), ("bsd", n + 3000), ("apache-2.0", n + 3000 + len(bsd.text.split()))}
+    assert found[3] == {("mit", len(stray.split()) + 3000)}
+    assert found[4] == {("mit", len(stray.split()) + 2997)} and found[5] == {("mit", -1)}
+    assert {("reserved", 3 * k) for k in range(3000)} <= found[6]
+    got = {r.doc_id: r for r in licences.digest(scanned).collect()}
+    assert (got[1].labels, got[2].labels, got[3].labels) == ("bsd,mit", "apache-2.0,bsd,mit", "mit")
+    assert all(0 <= r.score <= 1 for r in got.values())
