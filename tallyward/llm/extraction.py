@@ -3,9 +3,9 @@
 Tokens of a page are its tags, named by their path, and its blocks of text. Tokens of a
 host that occur equally often on each of its pages form an equivalence class; classes
 that are large, frequent, ordered alike on all pages and nested in one another make the
-host's template. What the template leaves open are slots. Text of the template is not
-content; of the slots those are content that lie in the page's article, or, where no page
-says which part that is, those that hold the host's running text. Menus, notices, adverts
+host's template. What the template leaves open are slots. Content is what lies in the page's
+article, whether other pages have it too or not; where no page says which part that is,
+the slots that hold the host's running text, without the text of the template. Menus, notices, adverts
 and other parts that their markup names are left out wherever they are.
 
 A host whose pages are too few to tell a template from their content has none.
@@ -33,6 +33,8 @@ PAGES = 8
 SIZE = 3
 #: Part of the host's running text that makes a slot content where nothing marks the article.
 CONTENT = 0.25
+#: Words of a page's longest block from which on it tells copies of the page.
+TELLING = 10
 #: Template rows (some 300 bytes each) that are sent to all tasks; beyond that the pages are shuffled by host.
 BROADCAST_HOSTS = 200_000
 
@@ -177,6 +179,15 @@ def parse(html: str) -> Page:
     return page
 
 
+def same_page(html: str, page: Page) -> int:
+    """Equal for copies of a page: a hash of its longest block, of the article's where there is one, or of a short page's html."""
+    blocks = [b for b in page.blocks if not b.left_out]
+    blocks = [b for b in blocks if b.article] or blocks
+    longest = max(blocks, key=lambda b: (b.words - b.linked, b.text), default=None)
+    told = longest is not None and longest.words - longest.linked >= TELLING
+    return _signed(xxhash.xxh64_intdigest(longest.text if told else html))
+
+
 _TOKENS = "host string, digest bigint, token bigint, n int"
 
 
@@ -190,9 +201,10 @@ def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for first in range(0, len(batch), 256):
             hosts, digests, tokens, counts = [], [], [], []
             for host, html in zip(*(batch.column(k).slice(first, 256).to_pylist() for k in (0, 1)), strict=True):
-                digest = _signed(xxhash.xxh64_intdigest(html))
+                page = parse(html)
+                digest = same_page(html, page)
                 seen: dict[int, int] = {0: 1}
-                for token in parse(html).tokens:
+                for token in page.tokens:
                     seen[token] = seen.get(token, 0) + 1
                 hosts += [host] * len(seen)
                 digests += [digest] * len(seen)
@@ -211,8 +223,8 @@ def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _classes(pages: DataFrame, support: float, least: int, size: int) -> DataFrame:
     """``host, class, tokens``: tokens of equal occurrence vectors on a host's different pages.
 
-    A vector is known by the sum, over the pages, of a hash of page and count; equal pages
-    count once. Frequent tokens are no more than a page has, so a class is never large.
+    A vector is known by the sum, over the pages, of a hash of page and count; equal pages,
+    and pages of the same longest block, count once. Frequent tokens are no more than a page has, so a class is never large.
     """
     rows = pages.select("host", "html").mapInArrow(token_batches, _TOKENS)
     once = rows.groupBy("host", "token", "digest").agg(F.max("n").alias("n"))
@@ -331,7 +343,7 @@ def main_text(html: str, template: dict | None) -> str:
     fixed = {t for entry in classes for t in entry["tokens"]}
     blocks = [b for b in page.blocks if not b.left_out]
     if any(b.article for b in blocks):
-        chosen = [b for b in blocks if b.article]
+        return "\n".join(b.text for b in blocks if b.article)
     else:
         slots = (template or {}).get("slots")
         if slots:
@@ -353,8 +365,8 @@ def extract_pages(
     """Per page ``page_id, url, text, n_chars``: the main text, its blocks one a line.
 
     Defined cases: a null or empty html has an empty text. Pages without a host are pages
-    of one host, the empty one. Repeated rows are rows like any other; pages with equal html
-    count once in their host's template. An empty table gives an empty result. Other columns
+    of one host, the empty one. Repeated rows are rows like any other; copies of a page,
+    known by its longest block, count once in their host's template. An empty table gives an empty result. Other columns
     are not read.
     """
     store = Scratch(pages.sparkSession, "extraction")

@@ -52,3 +52,21 @@ def test_hosts(spark):
     urls = ["https://User@WWW.A.org:80/x", "http://b.org?x#y", "c.org/x", None, "ftp://d"]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in frame.select(host_of(F.col("u"))).collect()] == ["www.a.org", "b.org", "", "", "d"]
+
+
+def test_near_copies_keep_their_text(spark):
+    """Copies that differ outside the article only, among a few other pages; with the article marked and without."""
+    long = "One text in many copies that is long enough to tell the page by it."
+    rows = []
+    for k in range(40):
+        own = f"<h1>Title</h1><p>{long}</p><p>Its second paragraph.</p><h2>End</h2>"
+        if k >= 30:
+            own = f"<h1>Own {k}</h1><p>Page {k} has words of its own, which no other page of this host has.</p>"
+        html = _page(own).replace("Home", f"Home {k}").replace("Buy now", f"Buy {k}")
+        rows.append((k, f"http://a.b/?{k}", html))
+        rows.append((100 + k, f"http://c.d/?{k}", f"<html><body><div>{own}</div><pre>seen {k} times</pre></body></html>"))
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for k in range(30):
+        assert got[k] == f"Title\n{long}\nIts second paragraph.\nEnd"
+        assert got[100 + k].startswith(f"Title\n{long}\nIts second paragraph.\nEnd")
+    assert got[30] == "Own 30\nPage 30 has words of its own, which no other page of this host has."
