@@ -54,6 +54,11 @@ _NAMES = frozenset(
     "reply replies respond share sharing social related recommended newsletter subscribe signup login popup modal overlay "
     "widget pagination pager toolbar skip masthead topbar".split()
 )
+#: Words after which such a word says what is there besides, and those that name any part if compounded.
+_BESIDES = frozenset("has with no without is show hide hides".split())
+_GENERIC = frozenset(("widget",))
+#: Words of parts that may be longer than the article and hold articles of their own.
+_TALK = frozenset("comment comments disqus reply replies respond related recommended".split())
 _OUTER = frozenset(("html", "body", "main", "article"))
 
 _MARKUP = re.compile(
@@ -79,6 +84,7 @@ class Block:
     words: int
     linked: int
     after: int
+    marks: tuple[int, ...] = ()
 
 
 @dataclass
@@ -89,33 +95,79 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
 
 
-def _marked(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element's markup names a part that is not the article."""
+def _named(value: str) -> str:
+    """What a class or id says: ``talk`` or ``part`` for a part which is not the article, or nothing."""
+    said = ""
+    for name in value.split():
+        parts = [p for p in _PARTS.split(name) if p]
+        if len(parts) > 1:
+            parts = [p for k, p in enumerate(parts) if p not in _GENERIC and _BESIDES.isdisjoint(parts[:k])]
+        if not _NAMES.isdisjoint(parts):
+            if not _TALK.isdisjoint(parts):
+                return "talk"
+            said = "part"
+    return said
+
+
+def _marked(tag: str, attributes: str, in_article: bool) -> str:
+    """How an element's markup names a part that is not the article: ``fixed`` by its meaning, or as ``_named`` has it."""
     if tag in _LEFT_OUT or (tag == "header" and not in_article):
-        return True
+        return "fixed"
     if not attributes.strip() or tag in _OUTER:
-        return False
+        return ""
+    said = ""
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and not _NAMES.isdisjoint(_PARTS.split(value)):
-            return True
+        if name in ("class", "id") and said != "talk":
+            said = _named(value) or said
         if name == "role" and value in _ROLES:
-            return True
+            return "fixed"
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "fixed"
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return "fixed"
+    return said
+
+
+def _leave_out(page: Page, marks: list[str], articles: list[tuple[int, ...]], heads: list[tuple[int, bool]]) -> None:
+    """Leave out the blocks of marked parts, but not of those that hold the article or, without one, a heading or most of the text."""
+    if not marks:
+        return
+    running = [0 if b.left_out else b.words - b.linked for b in page.blocks]
+    own, inside, plain = [0] * len(marks), [0] * len(articles), 0
+    headed = set()
+    for block, words, (article, heading) in zip(page.blocks, running, heads, strict=True):
+        for mark in block.marks:
+            own[mark] += words
+        if article >= 0:
+            inside[article] += words
+        elif not block.marks:
+            plain += words
+        if heading and words:
+            headed.update(block.marks)
+    whole = sum(running)
+    free = {k for k, a in enumerate(articles) if not any(marks[m] == "talk" for m in a)}
+    held: set[int] = set()
+    # a card in a sidebar is not the article of a page that has more text outside of such parts
+    if free and max(inside[k] for k in free) > plain:
+        held.update(articles[max(free, key=lambda k: (inside[k], -k))])
+    elif not articles or not free:
+        held = {m for m, said in enumerate(marks) if said == "part" and (m in headed or 2 * own[m] > whole)}
+    for block in page.blocks:
+        block.left_out = block.left_out or any(m not in held for m in block.marks)
 
 
 def parse(html: str) -> Page:
     """The page's tokens and blocks. Unclosed and stray tags are taken as browsers take them, roughly."""
-    page, stack = Page(), []  # (tag, path, article, left out, link)
+    page, stack = Page(), []  # (tag, path, article, left out, link, marks, number of the outermost article)
+    marks: list[str] = []
+    articles: list[tuple[int, ...]] = []
+    heads: list[tuple[int, bool]] = []
     held: list[str] = []
     linked = 0
 
     def top():
-        return stack[-1] if stack else ("", 0, False, False, False)
+        return stack[-1] if stack else ("", 0, False, False, False, (), -1)
 
     def end_block() -> None:
         nonlocal linked
@@ -123,9 +175,10 @@ def parse(html: str) -> Page:
             words = "".join(held).split()
             if words:
                 text = " ".join(words)
-                _, path, article, left_out, _ = next((s for s in reversed(stack) if s[0] in _BLOCKS), top())
+                tag, path, article, left_out, _, named, number = next((s for s in reversed(stack) if s[0] in _BLOCKS), top())
                 token = xxhash.xxh64_intdigest(text, seed=path & 0xFFFFFFFF)
-                page.blocks.append(Block(text, token, article, left_out, len(words), linked, len(page.tokens)))
+                page.blocks.append(Block(text, token, article, left_out, len(words), linked, len(page.tokens), named))
+                heads.append((number, tag == "h1"))
                 page.tokens.append(token)
             held.clear()
         linked = 0
@@ -165,7 +218,7 @@ def parse(html: str) -> Page:
                 k -= 1
             if k and stack[k - 1][0] in ("p", "li" if tag == "li" else "p", "title"):
                 del stack[k - 1 :]
-        _, path, article, left_out, link = top()
+        _, path, article, left_out, link, named, number = top()
         name = found[4].strip() if block else ""
         here = xxhash.xxh64_intdigest(f"{tag} {name if 'class' in name else ''}", seed=path & 0xFFFFFFFF)
         if block:
@@ -173,9 +226,17 @@ def parse(html: str) -> Page:
         if tag in _EMPTY or found[4].endswith("/"):
             continue
         inside = article or tag in ("article", "main") or (block and 'role="main"' in found[4])
-        stack.append((tag, here if block else path, inside, left_out or _marked(tag, found[4], article), link or tag == "a"))
+        said = _marked(tag, found[4], article)
+        if said in ("part", "talk"):
+            named = (*named, len(marks))
+            marks.append(said)
+        if inside and number < 0:
+            number = len(articles)
+            articles.append(() if left_out else named)
+        stack.append((tag, here if block else path, inside, left_out or said == "fixed", link or tag == "a", named, number))
     take(html[at:])
     end_block()
+    _leave_out(page, marks, articles, heads)
     return page
 
 

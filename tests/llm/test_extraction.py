@@ -70,3 +70,20 @@ def test_near_copies_keep_their_text(spark):
         assert got[k] == f"Title\n{long}\nIts second paragraph.\nEnd"
         assert got[100 + k].startswith(f"Title\n{long}\nIts second paragraph.\nEnd")
     assert got[30] == "Own 30\nPage 30 has words of its own, which no other page of this host has."
+
+
+def test_marks_around_the_article():
+    """A class or id that only tells what is there besides, or that stands around the article, leaves nothing out."""
+    text = "<h1>Title</h1><p>Words of the article, a good many of them.</p>"
+    kept = "Title\nWords of the article, a good many of them."
+    side = "<div class='sidebar'><p>side</p></div><section class='related'><article>Another one, and it is longer than the first. Yes, longer it is by far.</article></section>"
+    assert main_text(f"<div class='content has-sidebar'><article>{text}</article></div>{side}", None) == kept
+    assert main_text(f"<div id='page-with-nav'><div>{text}</div></div><div id='nav'>menu</div>", None) == kept
+    assert main_text(f"<div class='overlay'><div class='widget'><main>{text}</main></div>{side}</div>", None) == kept
+    assert main_text(f"<div class='modal'>{text}</div>{side.replace('article', 'div')}", None) == kept
+    widget = "<div class='elementor-widget elementor-widget-text-editor'>"
+    assert main_text(f"{widget}<h1>Title</h1></div>{widget}<p>One.</p></div>{widget}<p>Two.</p></div>", None) == "Title\nOne.\nTwo."
+    card = "<div class='sidebar'><article>a card</article></div>"
+    assert main_text(f"<div class='content'>{text}</div>{card}", None) == kept
+    inner = f"<article>{text}<div class='share-buttons'>Share this</div><div class='newsletter'><p>Sign up now</p></div></article>"
+    assert main_text(f"<div class='no-sidebar'>{inner}<div id='comments'><article>{'first! ' * 50}</article></div></div>", None) == kept
