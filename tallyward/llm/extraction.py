@@ -5,7 +5,8 @@ host that occur equally often on each of its pages form an equivalence class; cl
 that are large, frequent, ordered alike on all pages and nested in one another make the
 host's template. What the template leaves open are slots. Content is what lies in the page's
 article, whether other pages have it too or not; where no page says which part that is,
-the slots that hold the host's running text, without the text of the template. Menus, notices, adverts
+the slots from the first heading or running text to the last running text, without the
+text of the template. Menus, notices, adverts
 and other parts that their markup names are left out wherever they are.
 
 A host whose pages are too few to tell a template from their content has none.
@@ -31,8 +32,8 @@ SUPPORT = 0.6
 PAGES = 8
 #: Tokens of a class, at least.
 SIZE = 3
-#: Part of the host's running text that makes a slot content where nothing marks the article.
-CONTENT = 0.25
+#: Unlinked words, on average over the pages that fill it, that make a slot or block one of running text.
+RUNNING = 5
 #: Words of a page's longest block from which on it tells copies of the page.
 TELLING = 10
 #: Template rows (some 300 bytes each) that are sent to all tasks; beyond that the pages are shuffled by host.
@@ -85,6 +86,7 @@ class Block:
     linked: int
     after: int
     marks: tuple[int, ...] = ()
+    heading: bool = False
 
 
 @dataclass
@@ -177,7 +179,7 @@ def parse(html: str) -> Page:
                 text = " ".join(words)
                 tag, path, article, left_out, _, named, number = next((s for s in reversed(stack) if s[0] in _BLOCKS), top())
                 token = xxhash.xxh64_intdigest(text, seed=path & 0xFFFFFFFF)
-                page.blocks.append(Block(text, token, article, left_out, len(words), linked, len(page.tokens), named))
+                page.blocks.append(Block(text, token, article, left_out, len(words), linked, len(page.tokens), named, tag in ("h1", "h2", "h3")))
                 heads.append((number, tag == "h1"))
                 page.tokens.append(token)
             held.clear()
@@ -306,11 +308,11 @@ def _classes(pages: DataFrame, support: float, least: int, size: int) -> DataFra
     return grouped.select("host", F.xxhash64("pages", "low", "high").alias("class"), "pages", "tokens")
 
 
-_CHECKS = "host string, class bigint, slot int, digest_low bigint, digest_high bigint, crossed int, words bigint, linked bigint"
+_CHECKS = "host string, class bigint, slot int, digest_low bigint, digest_high bigint, crossed int, words bigint, linked bigint, headed int"
 
 
-def _templates(pages: DataFrame, store: Scratch, support: float, least: int, size: int, content: float) -> DataFrame:
-    """``host, template``: the tokens of the valid classes, those of the frame in order, and the content slots."""
+def _templates(pages: DataFrame, store: Scratch, support: float, least: int, size: int, running: float) -> DataFrame:
+    """``host, template``: the tokens of the valid classes, those of the frame in order, and the first and last content slot."""
     classes = store.keep(_classes(pages, support, least, size), "classes")
     one = F.struct(F.col("pages"), F.col("class"), F.col("tokens"))
     # per host no more classes than frequent tokens
@@ -326,17 +328,20 @@ def _templates(pages: DataFrame, store: Scratch, support: float, least: int, siz
         F.max("crossed").alias("crossed"),
         F.sum("words").alias("words"),
         F.sum("linked").alias("linked"),
+        F.count(F.lit(1)).alias("pages"),
+        F.max("headed").alias("headed"),
     )
     told = store.keep(told, "checks")
     valid = told.filter("slot = -1 AND a = b AND c = d AND crossed = 0").select("host", "class")
     tokens = classes.join(valid, ["host", "class"]).groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("pages", "class", "tokens")), asc=False).alias("classes")
     )
-    running = F.greatest(F.col("words") - 2 * F.col("linked"), F.lit(0))
-    slots = told.filter("slot >= 0").select("host", "class", "slot", running.alias("running"))
-    sums = slots.groupBy("host", "class").agg(F.sum("running").alias("total"))
-    best = slots.join(sums, ["host", "class"]).filter((F.col("running") > 0) & (F.col("running") >= F.col("total") * F.lit(content)))
-    best = best.groupBy("host", "class").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    runs = (F.col("words") - F.col("linked")) >= F.lit(running) * F.col("pages")
+    slots = told.filter("slot >= 0").select("host", "class", "slot", runs.alias("runs"), (F.col("headed") > 0).alias("headed"))
+    best = slots.groupBy("host", "class").agg(
+        F.min(F.when(F.col("runs") | F.col("headed"), F.col("slot"))).alias("first"), F.max(F.when(F.col("runs"), F.col("slot"))).alias("last")
+    )
+    best = best.filter("last IS NOT NULL").select("host", "class", F.array("first", "last").alias("slots"))
     frame = tokens.select("host", "classes", F.col("classes")[0]["class"].alias("class"))
     joined = frame.join(best, ["host", "class"], "left")
     return joined.select("host", F.struct("classes", "slots").alias("template"))
@@ -382,17 +387,19 @@ def check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     len({np.searchsorted(above, p) for p in own}) > 1 and not own[0] < above[0] <= above[-1] < own[-1] for above in spans
                 )
                 spans.append(own)
-                out.append((host, entry["class"], -1, digest & 0xFFFFFFFF, digest >> 32, int(crossed), 0, 0))
+                out.append((host, entry["class"], -1, digest & 0xFFFFFFFF, digest >> 32, int(crossed), 0, 0, 0))
             frame = _frame(classes)
             sums: dict[int, list[int]] = {}
+            # the frame's own text fills no slot
             for block, slot in zip(page.blocks, _slots(page, frame), strict=True):
-                if not block.left_out:
-                    held_words = sums.setdefault(slot, [0, 0])
+                if not block.left_out and _signed(block.token) not in frame:
+                    held_words = sums.setdefault(slot, [0, 0, 0])
                     held_words[0] += block.words
                     held_words[1] += block.linked
-            out += [(host, classes[0]["class"], slot, 0, 0, 0, w, k) for slot, (w, k) in sums.items()]
+                    held_words[2] |= block.heading and 2 * block.linked <= block.words
+            out += [(host, classes[0]["class"], slot, 0, 0, 0, w, k, int(h)) for slot, (w, k, h) in sums.items()]
         names = [c.split()[0] for c in _CHECKS.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
         columns = list(zip(*out, strict=True)) or [()] * len(names)
         yield pa.record_batch({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
@@ -405,14 +412,15 @@ def main_text(html: str, template: dict | None) -> str:
     blocks = [b for b in page.blocks if not b.left_out]
     if any(b.article for b in blocks):
         return "\n".join(b.text for b in blocks if b.article)
-    else:
-        slots = (template or {}).get("slots")
-        if slots:
-            where = dict(zip((id(b) for b in page.blocks), _slots(page, _frame(classes)), strict=True))
-            chosen = [b for b in blocks if where[id(b)] in slots and 2 * b.linked <= b.words]
-        else:
-            chosen = [b for b in blocks if 2 * b.linked <= b.words]
-    return "\n".join(b.text for b in chosen if _signed(b.token) not in fixed)
+    slots = (template or {}).get("slots")
+    if slots:
+        where = dict(zip((id(b) for b in page.blocks), _slots(page, _frame(classes)), strict=True))
+        blocks = [b for b in blocks if slots[0] <= where[id(b)] <= slots[1]]
+    blocks = [b for b in blocks if _signed(b.token) not in fixed]
+    # blocks of links are lists of sources between running text, menus elsewhere
+    runs = [k for k, b in enumerate(blocks) if b.words - b.linked >= RUNNING and 2 * b.linked <= b.words]
+    inside = range(runs[0], runs[-1] + 1) if runs else range(0)
+    return "\n".join(b.text for k, b in enumerate(blocks) if k in inside or 2 * b.linked <= b.words)
 
 
 def host_of(url: Column) -> Column:
@@ -421,7 +429,7 @@ def host_of(url: Column) -> Column:
 
 
 def extract_pages(
-    pages: DataFrame, support: float = SUPPORT, least: int = PAGES, size: int = SIZE, content: float = CONTENT
+    pages: DataFrame, support: float = SUPPORT, least: int = PAGES, size: int = SIZE, running: float = RUNNING
 ) -> DataFrame:
     """Per page ``page_id, url, text, n_chars``: the main text, its blocks one a line.
 
@@ -433,7 +441,7 @@ def extract_pages(
     store = Scratch(pages.sparkSession, "extraction")
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), host_of(F.col("url")).alias("host"))
-    templates = store.keep(_templates(rows, store, support, least, size, content), "templates")
+    templates = store.keep(_templates(rows, store, support, least, size, running), "templates")
     store.keep_only("templates")
     met = _with_host(rows, templates, "template").select("page_id", "url", "html", "template")
     kinds = dict(pages.dtypes)

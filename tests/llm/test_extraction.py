@@ -87,3 +87,23 @@ def test_marks_around_the_article():
     assert main_text(f"<div class='content'>{text}</div>{card}", None) == kept
     inner = f"<article>{text}<div class='share-buttons'>Share this</div><div class='newsletter'><p>Sign up now</p></div></article>"
     assert main_text(f"<div class='no-sidebar'>{inner}<div id='comments'><article>{'first! ' * 50}</article></div></div>", None) == kept
+
+
+def test_short_sections_of_a_host(spark):
+    """Nothing marks the article: titles, a lead before a fixed byline, short sections, and sources in links all stay."""
+    words = [f"word{k}" for k in range(500)]
+    rows, texts = [], []
+    for k in range(30):
+        parts = [" ".join(words[(7 * k + 31 * s + j) % 500] for j in range(12)) for s in range(6)]
+        sections = "".join(f"<h3>Section {s}</h3><p>{parts[s]}</p>" for s in range(1, 6))
+        links = "".join(f"<a href='/{k}/{j}'>source {k} {j}</a> " for j in range(3))
+        html = (
+            f"<html><body><div><p>Welcome to our site</p></div><ul><li><a href='/{k}'>go to {k}</a></li></ul><h1>Title {k}</h1>"
+            f"<p>{parts[0]}</p><table><tr><td>By the staff of this site</td></tr></table>{sections}<ol><li>{links}</li></ol>"
+            f"<blockquote>Page {k} ends with these last words.</blockquote><center>All about us</center><pre>page {k}</pre></body></html>"
+        )
+        rows.append((k, "https://e.org/x", html))
+        sources = " ".join(f"source {k} {j}" for j in range(3))
+        texts.append("\n".join([f"Title {k}", *parts, sources, f"Page {k} ends with these last words."]))
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[k] for k in range(30)] == texts
