@@ -4,7 +4,8 @@ Texts become templates: numbers, names and units turn into typed placeholders, c
 punctuation go. Windows of a document's template are hash-joined with those of the
 benchmark items. Windows that match at one distance between document and item form a
 candidate, whose slots are then compared: an item's value must stand for one and the
-same value of the document wherever it recurs. So a question is found verbatim as well
+same value of the document wherever it recurs, or the windows that hold it do not count.
+Windows of little but placeholders are compared with the values in their places. So a question is found verbatim as well
 as with other numbers and names, while a chance likeness of shape is not.
 """
 
@@ -18,7 +19,7 @@ from tallyward.llm.store import Scratch
 WINDOW = 8
 #: Part of an item's windows that must be found in a document.
 COVERAGE = 0.3
-#: Literal words that a window must hold; one of placeholders mostly says nothing.
+#: Literal words that a window must hold; one of placeholders mostly says nothing but by its values.
 LITERAL = 4
 #: Rows up to which the benchmark's windows are sent to all tasks (32 bytes each).
 BROADCAST_ROWS = 1_000_000
@@ -59,12 +60,16 @@ def literal_words(text: Column) -> Column:
     return _words(_stripped(F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", "")))
 
 
-def _windows(words: str, width: int, literal: int) -> Column:
-    """The hash of each window in turn; null for one with too few literal words."""
+def _windows(words: str, width: int, literal: int, said: str | None = None, poor_only: bool = False) -> Column:
+    """The hash of each window in turn; for one with too few literal words that of what is ``said`` there, or null."""
     held = [f"element_at({words}, i + {k})" for k in range(width)]
     fixed = " + ".join(f"CASE WHEN {w} IN ('{NUMBER}', '{NAME}', '{UNIT}') THEN 0 ELSE 1 END" for w in held)
     plain = f"(NOT has_slots OR {fixed} >= {min(literal, (width + 1) // 2)})"
-    each = f"CASE WHEN {plain} THEN xxhash64({', '.join(held)}) END"
+    rich = "CAST(NULL AS BIGINT)" if poor_only else f"xxhash64({', '.join(held)})"
+    values = ", ".join(f"get({said}, i + {k - 1})" for k in range(width))
+    # fewer values than that are found anywhere
+    poor = f"xxhash64('{NUMBER}{NAME}', {values})" if said and width >= literal else "CAST(NULL AS BIGINT)"
+    each = f"CASE WHEN {plain} THEN {rich} ELSE {poor} END"
     last = f"size({words}) - {width - 1}"
     return F.expr(f"CASE WHEN {last} >= 1 THEN transform(sequence(1, {last}), i -> {each}) ELSE array() END")
 
@@ -82,7 +87,8 @@ def contaminated(
     """Pairs ``doc_id, item_id, found, windows, coverage, reworded`` of documents and the items they hold.
 
     ``found`` of an item's ``windows`` stand in the document with consistent slots; a pair
-    is reported from ``coverage`` on. ``reworded`` tells that a slot's value differs. An
+    is reported from ``coverage`` on. These are the windows of enough literal words, or all
+    of them where that covers more. ``reworded`` tells that a slot's value differs. An
     item shorter than the window is one window, as long as itself.
 
     Defined cases: null and empty texts hold nothing, items without words are in nothing.
@@ -107,17 +113,26 @@ def contaminated(
     own = []
     for width in widths:
         of_width = forms.filter(F.size("words") >= width if width == window else F.size("words") == width)
-        own.append(of_width.select("item_id", F.posexplode(_windows("words", width, literal)).alias("q", "h")))
+        for rich in (True, False):
+            hashes = _windows("words", width, literal, None if rich else "said", not rich)
+            own.append(of_width.select("item_id", F.posexplode(hashes).alias("q", "h")).withColumn("rich", F.lit(rich)))
     posted = own[0]
     for more in own[1:]:
         posted = posted.union(more)
     posted = store.keep(posted.filter("h IS NOT NULL").distinct(), "windows")
-    totals = posted.groupBy("item_id").agg(F.count_distinct("q").alias("windows"))
+    # a window that one form of the item makes rich counts as such
+    rich = F.collect_set(F.when(F.col("rich"), F.col("q"))).alias("rich")
+    totals = store.keep(posted.groupBy("item_id").agg(F.count_distinct("q").alias("every"), rich), "totals")
+    by_value = "said" if posted.filter(~F.col("rich")).limit(1).count() else None
+    posted = posted.select("item_id", "q", "h").distinct()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("doc_id IS NOT NULL")
     read = rows.select("doc_id", template_words(F.col("text")).alias("words")).withColumn("has_slots", _slotted("words"))
-    hashes = [read.select("doc_id", F.posexplode(_windows("words", w, literal)).alias("p", "h")) for w in widths]
+    if by_value:
+        read = rows.select("doc_id", "text", template_words(F.col("text")).alias("words")).withColumn("has_slots", _slotted("words"))
+        read = read.withColumn("said", F.when(F.col("has_slots"), literal_words(F.col("text")))).drop("text")
+    hashes = [read.select("doc_id", F.posexplode(_windows("words", w, literal, by_value)).alias("p", "h")) for w in widths]
     seen = hashes[0]
     for more in hashes[1:]:
         seen = seen.union(more)
@@ -130,7 +145,8 @@ def contaminated(
     runs = store.keep(runs, "runs")
     # only what could reach the coverage, over all distances, needs its slots compared
     could = runs.groupBy("doc_id", "item_id").agg(F.sum(F.size("places")).alias("most")).join(totals, "item_id")
-    could = could.filter(F.col("most") >= F.lit(coverage) * F.col("windows")).select("doc_id", "item_id", "windows")
+    asked = F.when(F.size("rich") > 0, F.size("rich")).otherwise(F.col("every"))
+    could = could.filter(F.col("most") >= F.lit(coverage) * asked).select("doc_id", "item_id")
     runs = runs.join(could, ["doc_id", "item_id"])
 
     plain = items.select("item_id", "has_slots")
@@ -140,14 +156,20 @@ def contaminated(
     listed = F.broadcast(holders) if holders.count() <= BROADCAST_ROWS else holders
     said = rows.join(listed, "doc_id", "left_semi").select("doc_id", literal_words(F.col("text")).alias("doc_said"))
     checked = _checked(slotted.drop("has_slots"), said, items.select("item_id", "words", "said"), widths[-1])
-    columns = ["doc_id", "item_id", "windows", "places", "reworded"]
+    columns = ["doc_id", "item_id", "places", "reworded"]
     good = runs.filter("NOT has_slots").withColumn("reworded", F.lit(False)).select(columns).union(checked.select(columns))
-    found = good.select("doc_id", "item_id", "windows", "reworded", F.explode("places").alias("q"))
-    found = found.groupBy("doc_id", "item_id").agg(
-        F.count_distinct("q").alias("found"), F.max("windows").alias("windows"), F.max("reworded").alias("reworded")
-    )
-    share = F.col("found") / F.col("windows")
-    return found.filter(share >= coverage).select("doc_id", "item_id", "found", "windows", share.alias("coverage"), "reworded")
+    found = good.select("doc_id", "item_id", "reworded", F.explode("places").alias("q"))
+    found = found.groupBy("doc_id", "item_id").agg(F.collect_set("q").alias("places"), F.max("reworded").alias("reworded"))
+    found = found.join(totals, "item_id")
+
+    def counted(some: Column, windows: Column) -> Column:
+        amount, whole = F.size(some).cast("bigint"), windows.cast("bigint")
+        return F.struct((amount / whole).alias("share"), amount.alias("found"), whole.alias("windows"))
+
+    of_rich = F.when(F.size("rich") > 0, counted(F.array_intersect("places", "rich"), F.size("rich")))
+    best = F.greatest(of_rich, counted(F.col("places"), F.col("every")))
+    found = found.withColumn("best", best).filter(F.col("best.share") >= coverage)
+    return found.select("doc_id", "item_id", "best.found", "best.windows", F.col("best.share").alias("coverage"), "reworded")
 
 
 def _slotted(words: str) -> Column:
@@ -155,7 +177,7 @@ def _slotted(words: str) -> Column:
 
 
 def _checked(runs: DataFrame, said: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """Runs whose slots are consistent: no value of the item stands for two of the document."""
+    """Runs without the windows of inconsistent slots, where a value of the item stands for two of the document."""
     met = runs.join(said, "doc_id").join(items, "item_id")
     covered = f"exists(places, q -> s >= q AND s < q + {window})"
     slots = F.expr(
@@ -166,6 +188,10 @@ def _checked(runs: DataFrame, said: DataFrame, items: DataFrame, window: int) ->
         "array_distinct(transform(slots, s -> struct(get(said, s) AS ours, get(doc_said, cast(s + distance AS int)) AS theirs)))"
     )
     met = met.withColumn("pairs", pairs)
-    same = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.ours")))
     changed = F.exists("pairs", lambda x: ~x["ours"].eqNullSafe(x["theirs"]))
-    return met.filter(same).withColumn("reworded", changed)
+    met = met.withColumn("reworded", changed)
+    same = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.ours")))
+    torn = F.expr("filter(slots, s -> size(filter(pairs, x -> x.ours <=> get(said, s))) > 1)")
+    met = met.withColumn("torn", F.when(same, F.array().cast("array<int>")).otherwise(torn))
+    whole = F.expr(f"filter(places, q -> NOT exists(torn, s -> s >= q AND s < q + {window}))")
+    return met.withColumn("places", whole).filter(F.size("places") > 0)

@@ -36,3 +36,16 @@ def test_given_benchmark(spark):
     plain = {(d.doc_id, i.item_id) for i in items.collect() for d in docs.collect() if i.text in d.text}
     got = {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()}
     assert plain <= got
+
+
+def test_items_of_numbers(spark):
+    """Little but values: a copy is found by them, other values are another item."""
+    for item in ("Calculate 12 + 7 * 3 - 4 / 2 + 9", "12 + 7 * 3 = 33", "What is 3 km, 5 km, 8 km, 9 km, 12 km and 40 km?"):
+        other = item.replace("12", "15").replace("3", "6")
+        assert _found(spark, [item, f"Before it. {item} And after.", f"Before it. {other} And after.", "12 words"], item) == {0: False, 1: False}
+
+
+def test_one_value_that_becomes_two(spark):
+    item = "There are 2 apples on the table in the kitchen and there are also 2 pears on the shelf that is near to the door of the old house by the lake"
+    other = item.replace("2 apples", "3 apples").replace("2 pears", "5 pears")
+    assert _found(spark, [item, f"Some words. {other}"], item) == {0: False, 1: True}
