@@ -166,5 +166,98 @@ FROM split LEFT JOIN based USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JO
 """
 
 
+def _tree(name: str, start: str, levels: int) -> str:
+    """Levels of a forest of rows ``tree, i, h, n``, and each node's siblings on its left and right."""
+    run = "PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN"
+    parts = [f"{name}0 AS MATERIALIZED ({start})"]
+    for k in range(levels):
+        parts.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT tree, i // 3 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) "
+            f"ELSE any_value(h) END AS h, (any_value(n) + 2) // 3 AS n FROM {name}{k} GROUP BY tree, i // 3)"
+        )
+        parts.append(
+            f"{name}_beside{k} AS (SELECT tree, i, n, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})"
+        )
+    return ", ".join(parts)
+
+
+def _fold(name: str, start: str, tree: str, levels: int) -> str:
+    """Rows of ``start`` with the hash folded and the siblings gathered up a tree's levels."""
+    parts = [f"{name}0 AS ({start})"]
+    for k in range(levels):
+        parts.append(
+            f"{name}{k + 1} AS (SELECT a.* REPLACE (CASE WHEN b.n > 1 THEN sha256(l || own || r) ELSE own END AS own, "
+            f"CASE WHEN b.n > 1 THEN beside || l || r ELSE beside END AS beside) "
+            f"FROM {name}{k} a JOIN {tree}_beside{k} b ON a.tree = b.tree AND a.i // {3**k} = b.i)"
+        )
+    return ", ".join(parts)
+
+
+def _told(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+#: Levels enough for 3^13 documents a source and 3^4 sources.
+_LOW, _HIGH = 13, 4
+_FIELDS = " || ".join(_told(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_CHECKSUM = (
+    "list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c))), "
+    "lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))"
+)
+
+# the checksum's last step, which inverts all bits, is left out: odd here is even there
+OP11 = f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, sha256({_FIELDS} || {_told("text")}) AS leaf,
+        sha256({_FIELDS} || {_told("CASE WHEN " + _CHECKSUM + " % 2 = 1 THEN replace(text, chr(10), '') ELSE text END")}) AS again
+    FROM documents
+), numbered AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+), {_tree("low", "SELECT tree, i, leaf AS h, n FROM numbered", _LOW)},
+{_tree("high", f"SELECT 0 AS tree, tree AS i, h, count(*) OVER () AS n FROM low{_LOW}", _HIGH)},
+{_fold("inside", "SELECT doc_id, tree, i, leaf, again AS own, '' AS beside FROM numbered", "low", _LOW)},
+{_fold("above", f"SELECT doc_id, tree AS source, 0 AS tree, tree AS i, leaf, own, beside FROM inside{_LOW}", "high", _HIGH)}
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(beside) AS proof_sha256, own AS folded_root, own = t.h AS verified
+FROM above{_HIGH} a JOIN low{_LOW} s ON s.tree = a.source JOIN high{_HIGH} t ON true
+"""
+
+OP13 = r"""
+WITH sized AS MATERIALIZED (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5(coalesce(text, '')) AS m
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source
+), weighed AS (
+    SELECT source, source_size, CAST([3, 1, 2][place % 3 + 1] AS DOUBLE) AS weight, source_size * 2.0::DOUBLE / weight AS full_at FROM sources
+), levels AS (
+    SELECT full_at, source, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * (sum(source_size) OVER w - source_size))
+        / (sum(weight) OVER () - (sum(weight) OVER w - weight)) AS level
+    FROM weighed WINDOW w AS (ORDER BY full_at, source NULLS FIRST ROWS UNBOUNDED PRECEDING)
+), risen AS (
+    SELECT arg_min(level, (full_at, source IS NOT NULL, source)) AS level FROM levels WHERE level <= full_at
+), goals AS (
+    SELECT source, source_size, least(source_size * 2.0::DOUBLE, weight * level) AS target,
+        CASE WHEN source_size > 0 THEN CAST(round(target / source_size * 16777216) AS BIGINT) ELSE 0 END AS expected,
+        CAST('0x' || substr(md5('mix:' || coalesce('=' || source, '-')), 1, 6) AS BIGINT) AS shift
+    FROM weighed, risen
+), placed AS (
+    SELECT doc_id, size, source_size, target, expected,
+        (row_number() OVER (PARTITION BY sized.source ORDER BY size, doc_id NULLS FIRST, m) - 1) * expected + shift AS start
+    FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies
+FROM (SELECT *, CAST((start + expected) // 16777216 - start // 16777216 AS BIGINT) AS copies FROM placed)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op3_blob_ledger_secrets": OP3, "op7_merkle_fixity_audit": OP7, "op9_positional_licence_index": OP9, "op10_minhash_inverted_join": OP10}
+    return {
+        "op3_blob_ledger_secrets": OP3,
+        "op7_merkle_fixity_audit": OP7,
+        "op9_positional_licence_index": OP9,
+        "op10_minhash_inverted_join": OP10,
+        "op11_merkle_slot_pivot": OP11,
+        "op13_systematic_mixing": OP13,
+    }

@@ -12,9 +12,12 @@ from tallyward.llm.extraction import extract_pages
 from tallyward.llm.imatch import edited_fingerprints
 from tallyward.llm.neardup import near_duplicates
 from tallyward.llm import fixity, licences, packing
+from tallyward.llm.manifest import dataset_manifest
+from tallyward.llm.mixing import systematic_copies
 from tallyward.llm.quality import select_by_importance
 from tallyward.llm.secrets import digest, find_secrets
 from tallyward.llm.sharding import balanced_shards
+from tallyward.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +71,18 @@ def op10_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_block_matrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return systematic_copies(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
             op1_deficit_round_robin_packing,
@@ -80,5 +95,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_importance_resampling,
             op9_positional_licence_index,
             op10_minhash_inverted_join,
+            op11_merkle_slot_pivot,
+            op12_block_matrix_whitening,
+            op13_systematic_mixing,
         )}
 
