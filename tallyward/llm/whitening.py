@@ -3,18 +3,19 @@
 Centred vectors become the rows of a block matrix. Its transpose times itself is the
 scatter, of the vectors' own dimensions and small, whose eigenvectors are found on the
 driver; the block matrix times the whitening matrix is the result. All products run
-inside the JVM, blocks of some 4 MB at a time.
+inside the JVM, blocks of some 2 MB at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.store import Scratch
@@ -23,10 +24,12 @@ from tallyward.llm.store import Scratch
 STEPS = 64
 SHIFT = 1_000_000
 COMPONENTS = 32
-#: Numbers in a block: 4 MB.
-BLOCK = 1 << 19
+#: Numbers in a block: 2 MB.
+BLOCK = 1 << 18
 #: Row blocks multiplied by one task.
-BLOCKS_PER_TASK = 4
+BLOCKS_PER_TASK = 8
+#: Tasks that a matrix of enough blocks is dealt to at least.
+GROUPS = 64
 #: Entries beyond this many steps are no embeddings; whole numbers below are exact as floating point.
 LARGEST = float(1 << 52)
 #: Eigenvalues below this part of the largest are rounding errors of zero.
@@ -55,11 +58,22 @@ def numbered(rows: DataFrame, store: Scratch, name: str) -> DataFrame:
     return met.withColumn("index", F.col("_own") - F.col("_least") + F.col("_base")).select("index", *rows.columns)
 
 
+def _groups(count: int, width: int) -> int:
+    return min(GROUPS, -(-count * width // BLOCK))
+
+
 def blocked(rows: DataFrame, count: int, width: int) -> BlockMatrix:
-    """A block matrix from rows ``index, vector``."""
-    vectors = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector("vector").alias("vector")), "vector")
-    high = max(1, BLOCK // width)
-    return IndexedRowMatrix(vectors, count, width).toBlockMatrix(high, width)
+    """A block matrix, kept until ``_forget``, from rows ``index, vector``.
+
+    MLlib deals a matrix of one column of blocks to the square root of the rows' partitions,
+    so partitions without rows are added where these are few.
+    """
+    vectors = rows.select("index", array_to_vector("vector").alias("vector"))
+    padding = _groups(count, width) ** 2
+    none = rows.sparkSession.range(0, padding, 1, padding).filter("id < 0")
+    vectors = vectors.union(none.select("id", array_to_vector(F.array().cast("array<double>"))))
+    indexed = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "vector"), count, width)
+    return indexed.toBlockMatrix(max(1, BLOCK // width), width).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def product(left: BlockMatrix, right: BlockMatrix, splits: int = 1) -> BlockMatrix:
@@ -68,15 +82,22 @@ def product(left: BlockMatrix, right: BlockMatrix, splits: int = 1) -> BlockMatr
     return BlockMatrix(java, left.rowsPerBlock, right.colsPerBlock)
 
 
+def _forget(matrix: BlockMatrix) -> None:
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
+
+
 def scatter(rows: BlockMatrix) -> np.ndarray:
     """The rows' transpose times the rows, a matrix of their width."""
     splits = max(1, -(-rows.numRows() // (rows.rowsPerBlock * BLOCKS_PER_TASK)))
     return product(rows.transpose(), rows, splits).toLocalMatrix().toArray()
 
 
-def _local_block(spark, matrix: np.ndarray) -> BlockMatrix:
-    dense = DenseMatrix(*matrix.shape, matrix.ravel(order="F"))
-    return BlockMatrix(spark.sparkContext.parallelize([((0, 0), dense)], 1), *matrix.shape)
+def _local_block(spark: SparkSession, matrix: np.ndarray, groups: int) -> BlockMatrix:
+    """A matrix of one block, in so many partitions that a product is dealt to ``groups`` tasks."""
+    block = ((0, 0), DenseMatrix(*matrix.shape, matrix.ravel(order="F")))
+    frame = spark.createDataFrame([block], ["place", "block"]).repartition(groups**2)
+    high, width = matrix.shape
+    return BlockMatrix(callMLlibFunc("createBlockMatrix", frame, high, width, high, width), high, width)
 
 
 def _column_sums(rows: DataFrame, column: str, width: int) -> list:
@@ -95,7 +116,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     deviation of the results' covariance from the identity. A component's sign is such that its
     entry largest in size is positive.
 
-    The driver holds matrices of the vectors' width, and one entry per block of some 4 MB.
+    The driver holds matrices of the vectors' width, and one entry per block of some 2 MB.
 
     Defined cases: rows whose vector is null, or has null, non-finite or absurdly large entries
     (2^52 steps), are dropped. So are rows of another length than most have (of equally common
@@ -130,13 +151,16 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     if not len(values):
         return _shown(rows.select("index", "vec_id", F.lit(None).cast("bigint").alias("deviation")), rows.select("index", F.array().cast("array<double>").alias("z")), 0, [], 0.0)
     signs = np.sign(directions[np.abs(directions).argmax(axis=0), np.arange(len(values))])
-    projected = product(blocks, _local_block(spark, directions * signs / np.sqrt(values)))
+    projected = product(blocks, _local_block(spark, directions * signs / np.sqrt(values), _groups(count, width)))
     found = callMLlibFunc("getIndexedRows", projected.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
     found = store.keep(found.select("index", vector_to_array("vector").alias("z")), "projected")
+    _forget(blocks)
 
     means = np.array(_column_sums(found, "z", len(values))) / count
     again = F.zip_with("z", F.lit(means.tolist()).cast("array<double>"), lambda z, m: z - m)
-    held = scatter(blocked(found.select("index", again.alias("vector")), count, len(values))) / count
+    result = blocked(found.select("index", again.alias("vector")), count, len(values))
+    held = scatter(result) / count
+    _forget(result)
     error = float(np.abs(held - np.eye(len(values))).max())
 
     def squares(total: Column, d: Column) -> Column:
