@@ -14,8 +14,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.money import HALF_UP, ONE, TEN_THOUSANDTH, Measure, currency, measures, whole
+from tallyward.functions.money import HALF_UP, ONE, TEN_THOUSANDTH, Measure, currency, measures
 from tallyward.functions.sql import all_equal, literal, name
+from tallyward.operators.partials import Partials
 
 Order = Sequence[str | Column]
 
@@ -37,10 +38,7 @@ def scaled_sums(
     order: Order = (),
 ) -> DataFrame:
     """Sum each column per group, then bring it to currency and round it."""
-    wanted = measures(df, columns)
-    sums = df.groupBy(*keys).agg(*[part for m in wanted for part in m.sums()])
-    values = [f"{currency(m.value(unit), rounding)} AS {name(m.column)}" for m in wanted]
-    return _sorted(sums, order).selectExpr(*_names(keys), *values)
+    return Partials.of(df, keys, columns).finished(keys, unit, rounding, order)
 
 
 def spread(
@@ -91,24 +89,7 @@ def spread_rounded(
     The totals are then sums of rounded sums, which can differ by cents from the rounded
     sum. The rounded sums travel as whole cents.
     """
-    wanted = measures(df, totals)
-    per_code = (
-        df.groupBy(*keys, code)
-        .agg(*[part for m in wanted for part in m.sums()])
-        .selectExpr(
-            *_names(keys), name(code), *[f"{whole(m.value(unit * 100))} AS {name(m.column)}" for m in wanted]
-        )
-    )
-    wide = per_code.groupBy(*keys).agg(
-        *[F.expr(f"sum({name(m.column)}) AS {name(m.column)}") for m in wanted],
-        *[
-            F.expr(f"sum(CASE WHEN {name(code)} = {literal(value)} THEN {name(paid)} ELSE 0 END) AS {name(label)}")
-            for value, label in columns.items()
-        ],
-    )
-    shown = [*totals, *columns.values()]
-    values = [f"CAST(CAST({name(c)} AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(28,2)) AS {name(c)}" for c in shown]
-    return _sorted(wide, order).selectExpr(*_names(keys), *values)
+    return Partials.of(df, [*keys, code], totals).spread_rounded(keys, code, columns, paid, unit, order)
 
 
 def disjoint(rules: Iterable[Mapping[str, object]]) -> bool:

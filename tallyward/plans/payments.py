@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.labels import PAY_METHOD_COLUMNS
 from tallyward.functions.money import TEN_THOUSANDTH
-from tallyward.operators.aggregates import scaled_sums, spread, spread_rounded
+from tallyward.operators.aggregates import spread, spread_rounded
+from tallyward.operators.partials import SET, Partials
 from tallyward.period import GRAINS, Period
 from tallyward.sources.schemas import CHARGE_MEASURES
 
@@ -108,17 +109,86 @@ def charge_categories(
 ) -> DataFrame:
     """Twenty fee measures per group; by day, each clinic's latest days come first.
 
-    Payments meet their visits first, while the rows are narrow, so that the wide
-    classified rows are shuffled once, by payment.
+    Payments meet their visits first, while the rows are narrow. The wide classified rows
+    are summed per payment before the join, by the key of the join: one shuffle carries one
+    row per payment and task.
     """
     names = _level_keys(level)
     by_day = _by_day(grain)
     keys = [*names, "pay_day"] if by_day else names
     paid = paid_visits(pay, visits, period, names, states, buy_type, ["pay_order_id"])
-    fees = classify.select("pay_order_id", *measures)
-    rows = fees.join(paid.select("pay_order_id", *keys), "pay_order_id")
+    sums = _fees(classify, measures).joined(paid.select("pay_order_id", *keys), "pay_order_id").by(keys)
     order = [names[0], F.desc("pay_day"), *names[1:]] if by_day else names
-    return period.stamp(scaled_sums(rows, keys, measures, unit, order=order if ordered else ()))
+    return period.stamp(sums.finished(keys, unit, order=order if ordered else ()))
+
+
+def _fees(classify: DataFrame, measures: Sequence[str]) -> Partials:
+    """Per payment the sums of its classified rows."""
+    return Partials.of(classify.filter(F.col("pay_order_id").isNotNull()), ["pay_order_id"], measures)
+
+
+def _sets(levels: Sequence[str], grains: Sequence[str]) -> tuple[list[str], dict[str, list[str]]]:
+    """All key columns, and per level and grain the keys of its groups under the name ``level/grain``."""
+    sets = {}
+    for level in dict.fromkeys(LEVEL_ALIASES.get(x, x) for x in levels):
+        for grain in grains:
+            by_day = _by_day(grain)
+            sets[f"{level}/{'day' if by_day else 'period'}"] = _level_keys(level) + (["pay_day"] if by_day else [])
+    return list(dict.fromkeys(k for keys in sets.values() for k in keys)), sets
+
+
+def _labelled(report: DataFrame, keys: Sequence[str], period: Period, ordered: bool) -> DataFrame:
+    label = F.split(SET, "/")
+    named = report.select(label[0].alias("level"), label[1].alias("grain"), "*").drop(SET)
+    return period.stamp(named.orderBy("level", "grain", *keys) if ordered else named)
+
+
+def payment_methods_at(
+    pay: DataFrame,
+    visits: DataFrame,
+    period: Period,
+    levels: Sequence[str] = tuple(LEVELS),
+    grains: Sequence[str] = ("day", "period"),
+    *,
+    states: Collection = (1, 5),
+    buy_type: int = 1,
+    methods: Mapping = PAY_METHOD_COLUMNS,
+    unit: Decimal = TEN_THOUSANDTH,
+    ordered: bool = True,
+) -> DataFrame:
+    """``payment_methods`` at several levels and grains from one scan, told apart by ``level`` and ``grain``.
+
+    The payments are summed to the finest groups once; all the levels are grouping sets over
+    those sums, each rounded from its own exact sum. Keys that a level lacks are null.
+    """
+    keys, sets = _sets(levels, grains)
+    names = [k for k in keys if k != "pay_day"]
+    rows = paid_visits(pay, visits, period, names, states, buy_type, ["pay_type", *PAY_MEASURES])
+    sums = Partials.of(rows, [*keys, "pay_type"], PAY_MEASURES).over(sets, ["pay_type"])
+    report = sums.spread_rounded([SET, *keys], "pay_type", methods, "pay_amount", unit)
+    return _labelled(report, keys, period, ordered)
+
+
+def charge_categories_at(
+    classify: DataFrame,
+    pay: DataFrame,
+    visits: DataFrame,
+    period: Period,
+    levels: Sequence[str] = tuple(LEVELS),
+    grains: Sequence[str] = ("day", "period"),
+    *,
+    states: Collection = (1, 5),
+    buy_type: int = 1,
+    measures: Sequence[str] = CHARGE_MEASURES,
+    unit: Decimal = TEN_THOUSANDTH,
+    ordered: bool = True,
+) -> DataFrame:
+    """``charge_categories`` at several levels and grains from one scan of each table; see ``payment_methods_at``."""
+    keys, sets = _sets(levels, grains)
+    names = [k for k in keys if k != "pay_day"]
+    paid = paid_visits(pay, visits, period, names, states, buy_type, ["pay_order_id"])
+    sums = _fees(classify, measures).joined(paid.select("pay_order_id", *keys), "pay_order_id").by(keys).over(sets)
+    return _labelled(sums.finished([SET, *keys], unit), keys, period, ordered)
 
 
 def sheet_by_method(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from workload import tables as t
 from workload.queries import PROFILE_CATEGORIES, PROFILE_ORDER, PROFILE_RULES
 
@@ -81,6 +83,21 @@ def _charge_category(short: str, grain: str) -> str:
         GROUP BY {grouped}"""
 
 
+KEYS = ("hospital_name", "depart_name", "doctor_name", "pay_day")
+LEVEL_NAMES = {"clinic": "clinic", "dept": "department", "doctor": "doctor"}
+
+
+def _levels(one: Callable[[str, str], str]) -> str:
+    """The single reports of all levels and grains, one below the other."""
+    parts = []
+    for short, level in LEVEL_NAMES.items():
+        for grain in ("day", "period"):
+            names = _keys(short, grain)[0]
+            missing = ", ".join(f"NULL AS {k}" for k in KEYS if k not in names)
+            parts.append(f"SELECT '{level}' AS level, '{grain}' AS grain, {missing}{', ' if missing else ''}* FROM ({one(short, grain)})")
+    return " UNION ALL BY NAME ".join(parts)
+
+
 def _half_up(part: str, whole: str, scale: int) -> str:
     """part / whole in units of 1/scale, in whole-number arithmetic."""
     return f"((2 * {scale} * {part} + {whole}) // (2 * {whole}))"
@@ -319,6 +336,8 @@ def oracles() -> dict[str, str]:
         for grain in ("day", "period"):
             found[f"pay_method_{short}_{grain}"] = _pay_method(short, grain)
             found[f"charge_category_{short}_{grain}"] = _charge_category(short, grain)
+    found["pay_method_levels"] = _levels(_pay_method)
+    found["charge_category_levels"] = _levels(_charge_category)
     found["pay_method_clinic_period_exact"] = _pay_method("clinic", "period", exact=True)
     for role in ROLE_COLUMNS:
         suffix = "" if role == "doctor" else f"_{role}"

@@ -74,6 +74,18 @@ def charge_category(level: str, grain: str, src: t.Sources) -> DataFrame:
     )
 
 
+def pay_method_levels(src: t.Sources) -> DataFrame:
+    return payments.payment_methods_at(
+        t.payments(src), t.clinic_visits(src), ORDER_DAYS, states=t.PAID_STATES, methods=t.METHODS
+    )
+
+
+def charge_category_levels(src: t.Sources) -> DataFrame:
+    return payments.charge_categories_at(
+        t.classified(src), t.payments(src), t.clinic_visits(src), ORDER_DAYS, states=t.PAID_STATES
+    )
+
+
 def pivot_from_file(src: t.Sources) -> DataFrame:
     visit, placed = t.clinic_visits(src), src.table("orders")
     sheet = placed.join(visit, placed["o_custkey"] == visit["registered_ord_id"]).select(
@@ -397,6 +409,8 @@ def registry() -> dict[str, Query]:
     found["doctor_activity"] = doctor_activity
     found["doctor_activity_parity"] = partial(doctor_activity, parity=True)
     for query in (
+        pay_method_levels,
+        charge_category_levels,
         inquiry_orders,
         inquiry_orders_sum,
         online_orders,
