@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions.labels import PAY_METHOD_COLUMNS
@@ -13,6 +13,7 @@ from tallyward.functions.money import TEN_THOUSANDTH
 from tallyward.operators.aggregates import spread, spread_rounded
 from tallyward.operators.partials import SET, Partials
 from tallyward.period import GRAINS, Period
+from tallyward.sources.kept import KeptSums
 from tallyward.sources.schemas import CHARGE_MEASURES
 
 LEVELS = {
@@ -143,6 +144,38 @@ def _labelled(report: DataFrame, keys: Sequence[str], period: Period, ordered: b
     return period.stamp(named.orderBy("level", "grain", *keys) if ordered else named)
 
 
+def payment_rows(pay: DataFrame, visits: DataFrame, *, states: Collection = (1, 5), buy_type: int = 1) -> DataFrame:
+    """All paid visits with the keys of every level, for ``kept_payments``."""
+    names = list(dict.fromkeys(k for keys in LEVELS.values() for k in keys))
+    chosen = pay.filter((F.col("buy_type") == buy_type) & F.col("state").isin(*states))
+    left = chosen.select("order_id", F.to_date("create_date").alias("pay_day"), "pay_type", *PAY_MEASURES)
+    right = visits.select("registered_ord_id", *names)
+    return left.join(right, left["order_id"] == right["registered_ord_id"]).drop("order_id", "registered_ord_id")
+
+
+def kept_payments(spark: SparkSession, base: str) -> KeptSums:
+    """A store of daily payment sums: fill it with ``replace_days(payment_rows(...), days)``."""
+    names = list(dict.fromkeys(k for keys in LEVELS.values() for k in keys))
+    return KeptSums(spark, base, [*names, "pay_type"], PAY_MEASURES)
+
+
+def payment_methods_kept(
+    kept: KeptSums,
+    period: Period,
+    level: str = "clinic",
+    grain: str = "day",
+    *,
+    methods: Mapping = PAY_METHOD_COLUMNS,
+    unit: Decimal = TEN_THOUSANDTH,
+    ordered: bool = True,
+) -> DataFrame:
+    """``payment_methods`` out of kept days, to the cent; the period must consist of whole days."""
+    names = _level_keys(level)
+    keys = [*names, "pay_day"] if _by_day(grain) else names
+    sums = kept.read(period).by([*keys, "pay_type"])
+    return period.stamp(sums.spread_rounded(keys, "pay_type", methods, "pay_amount", unit, keys if ordered else ()))
+
+
 def payment_methods_at(
     pay: DataFrame,
     visits: DataFrame,

@@ -336,6 +336,9 @@ def oracles() -> dict[str, str]:
         for grain in ("day", "period"):
             found[f"pay_method_{short}_{grain}"] = _pay_method(short, grain)
             found[f"charge_category_{short}_{grain}"] = _charge_category(short, grain)
+    for short, grain in (("clinic", "period"), ("dept", "day")):
+        whole = _pay_method(short, grain).replace(STAMP, STAMP.replace("'2001-08-01'", "'2001-08-01 23:59:59'"))
+        found[f"pay_method_kept_{short}_{grain}"] = whole.replace(ORDER_SPAN, "TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-08-01 23:59:59'")
     found["pay_method_levels"] = _levels(_pay_method)
     found["charge_category_levels"] = _levels(_charge_category)
     found["pay_method_clinic_period_exact"] = _pay_method("clinic", "period", exact=True)

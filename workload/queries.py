@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -18,6 +19,8 @@ from tallyward.functions.text import commonest_char
 from tallyward.operators import frames, joins, windows
 from tallyward.operators.aggregates import rule_sums
 from tallyward.plans import activity, indicators, orders, payments, sheets, threshold
+from tallyward.sources.kept import days_of
+from tallyward.sources.versions import shared_folder
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +89,21 @@ def charge_category_levels(src: t.Sources) -> DataFrame:
     )
 
 
+#: The same days as ``ORDER_DAYS``, whole.
+WHOLE_DAYS = Period.of("1995-01-01", "2001-08-01 23:59:59")
+
+
+def pay_method_kept(level: str, grain: str, src: t.Sources) -> DataFrame:
+    """A first batch without a fifth of the last months' payments, which come late; a second one replaces their days."""
+    kept = payments.kept_payments(src.spark, f"{shared_folder(src.spark)}/kept-{uuid.uuid4().hex}")
+    rows = partial(payments.payment_rows, visits=t.clinic_visits(src), states=t.PAID_STATES)
+    pay = t.payments(src)
+    late = (F.col("pay_order_id") % 5 == 0) & (F.col("create_date") >= "2001-05-10")
+    kept.replace_days(rows(pay.filter(~late)))
+    kept.replace_days(rows(pay), days_of(pay.filter(late).withColumn("day", F.to_date("create_date")), "day"))
+    return payments.payment_methods_kept(kept, WHOLE_DAYS, level, grain, methods=t.METHODS)
+
+
 def pivot_from_file(src: t.Sources) -> DataFrame:
     visit, placed = t.clinic_visits(src), src.table("orders")
     sheet = placed.join(visit, placed["o_custkey"] == visit["registered_ord_id"]).select(
@@ -397,6 +415,8 @@ def registry() -> dict[str, Query]:
         for grain in ("day", "period"):
             found[f"pay_method_{short}_{grain}"] = partial(pay_method, level, grain)
             found[f"charge_category_{short}_{grain}"] = partial(charge_category, level, grain)
+    found["pay_method_kept_clinic_period"] = partial(pay_method_kept, "clinic", "period")
+    found["pay_method_kept_dept_day"] = partial(pay_method_kept, "department", "day")
     found["pay_method_clinic_period_exact"] = partial(pay_method, "clinic", "period", exact=True)
     for role in ("doctor", "consultant"):
         found[f"visit_indicators_{role}"] = partial(visit_indicators, role)
