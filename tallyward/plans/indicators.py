@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -11,10 +11,17 @@ from pyspark.sql import functions as F
 from tallyward.functions.calendar import month_start, month_text
 from tallyward.functions.money import HALF_EVEN, HUNDRED_THOUSANDTH, percent_text, ratio, ratio_even, ratio_float
 from tallyward.operators.aggregates import rule_sums
+from tallyward.operators.distinct import distinct_over, id_sets
 from tallyward.operators.frames import union_all
 from tallyward.operators.joins import merge
+from tallyward.operators.partials import SET
 from tallyward.period import Period
 
+_SOURCE = "_source"
+_SUMMARY_TABLES = ("ord_registered", "ord_fee_detail", "ord_pay", "sec_hospital")
+#: Of these the tables that a source's list of clinics restricts.
+_OF_CLINICS = ("ord_registered", "ord_pay")
+
 ROLES = {"doctor": "doctor_name", "consultant": "consultants_name"}
 
 # The codes a fee line carries per category.
@@ -76,8 +83,9 @@ def visit_indicators(
     types: Collection[int] = (1, 2),
     return_type: int = 2,
     ordered: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Visits, return visits and their rate, distinct patients, visits per patient.
+    """Visits, return visits and their rate, distinct patients, visits per patient. ``by`` names further keys.
 
     The distinct count is grouped by patient as well before it is grouped by
     clinic, so that a clinic holding much of the table is spread over all tasks.
@@ -87,7 +95,7 @@ def visit_indicators(
         (F.col("state") == state) & F.col("registered_type").isin(*types) & _in_clinics(clinics)
     )
     kept = kept.withColumn("_month", month_start(F.col("create_date")))
-    counted = kept.groupBy("hospital_name", "_month", person).agg(
+    counted = kept.groupBy(*by, "hospital_name", "_month", person).agg(
         F.count("registered_ord_id").alias("visits"),
         F.count_if((F.col("registered_type") == return_type) & F.col("registered_ord_id").isNotNull()).alias(
             "return_visits"
@@ -98,6 +106,7 @@ def visit_indicators(
     if ordered:
         counted = counted.orderBy("hospital_name", F.desc("_month"), F.desc(rate))
     return counted.select(
+        *by,
         "hospital_name",
         month_text(F.col("_month")).alias("month"),
         person,
@@ -125,8 +134,9 @@ def income_cost(
     unit: Decimal = HUNDRED_THOUSANDTH,
     parity: bool = False,
     ordered: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Price and cost per fee category, totals and gross profit.
+    """Price and cost per fee category, totals and gross profit. ``by`` names further keys, which all three tables have.
 
     The clinic's name follows the fee line, the clinic filter the payment. With
     ``parity`` the cost of category ``other`` repeats its price.
@@ -136,14 +146,15 @@ def income_cost(
     paid = (
         period.restrict(pay, "registered_create_date", "()")
         .filter((F.col("state") == state) & (F.col("buy_type") == buy_type) & _in_clinics(clinics))
-        .select("pay_order_id", person, month_start(F.col("registered_create_date")).alias("_month"))
+        .select(*by, "pay_order_id", person, month_start(F.col("registered_create_date")).alias("_month"))
     )
     codes = sorted({c for rule in rules.values() for c in rule})
     lines = fees.filter(F.col("pay_state") == pay_state).select(
-        "pay_order_id", "hospital_id", *codes, "total_price", "total_cost_price"
+        *by, "pay_order_id", "hospital_id", *codes, "total_price", "total_cost_price"
     )
-    rows = lines.join(hospitals.select("hospital_id", "hospital_name"), "hospital_id").join(paid, "pay_order_id")
-    keys = ["hospital_name", person, "_month"]
+    named = lines.join(hospitals.select(*by, "hospital_id", "hospital_name"), [*by, "hospital_id"])
+    rows = named.join(paid, [*by, "pay_order_id"])
+    keys = [*by, "hospital_name", person, "_month"]
     sums = rule_sums(
         rows,
         keys,
@@ -157,6 +168,7 @@ def income_cost(
         sums = sums.withColumn("other_cost", F.col("other_fee"))
     values = [f"{name}_{suffix}" for name in shown for suffix in ("fee", "cost")]
     return sums.select(
+        *by,
         "hospital_name",
         person,
         month_text(F.col("_month")).alias("month"),
@@ -168,14 +180,14 @@ def income_cost(
 
 
 def merge_indicators(
-    indicators: DataFrame, money: DataFrame, role: str = "doctor", *, parity: bool = False
+    indicators: DataFrame, money: DataFrame, role: str = "doctor", *, parity: bool = False, by: Sequence[str] = ()
 ) -> DataFrame:
     """Both reports side by side where both have the group, with the average ticket.
 
     The ticket is rounded exactly, half cents to even. With ``parity`` it is the rounded
     quotient of floats, which sends some half cents the other way (5.35 / 2 to 2.67).
     """
-    joined = merge(indicators, money, ["hospital_name", _role(role), "month"])
+    joined = merge(indicators, money, [*by, "hospital_name", _role(role), "month"])
     ticket = (ratio_float if parity else ratio_even)("total_price", "visits")
     return joined.withColumn("average_ticket", ticket).drop("total_cost_price")
 
@@ -189,10 +201,11 @@ def merged_summary(
     money_options: Mapping | None = None,
     *,
     parity: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """``merge_indicators`` built from the tables of one source."""
+    """``merge_indicators`` built from the tables of one source, or of several told apart by the columns ``by``."""
     visits = visit_indicators(
-        tables["ord_registered"], period, role, clinics, ordered=False, **(visit_options or {})
+        tables["ord_registered"], period, role, clinics, ordered=False, by=by, **(visit_options or {})
     )
     money = income_cost(
         tables["ord_fee_detail"],
@@ -202,9 +215,10 @@ def merged_summary(
         role,
         clinics,
         ordered=False,
+        by=by,
         **(money_options or {}),
     )
-    return merge_indicators(visits, money, role, parity=parity)
+    return merge_indicators(visits, money, role, parity=parity, by=by)
 
 
 def merged_sources(
@@ -214,11 +228,46 @@ def merged_sources(
     clinics: Mapping[str, Collection] | None = None,
     **options,
 ) -> DataFrame:
-    """The merged summaries of several sources, each with its own clinics, stacked."""
+    """The merged summaries of several sources, each with its own clinics, in one frame.
+
+    The sources' rows are tagged and put into one table each before anything is joined or
+    summed: every step shuffles once, however many sources there are.
+    """
     chosen = clinics or {}
-    return union_all(
-        [merged_summary(tables, period, role, chosen.get(name), **options) for name, tables in sources.items()]
+
+    def tagged(table: str) -> DataFrame:
+        parts = []
+        for source, tables in sources.items():
+            rows = tables[table].filter(_in_clinics(chosen.get(source))) if table in _OF_CLINICS else tables[table]
+            parts.append(rows.withColumn(_SOURCE, F.lit(source)))
+        return union_all(parts, missing=True)
+
+    together = {table: tagged(table) for table in _SUMMARY_TABLES}
+    return merged_summary(together, period, role, by=[_SOURCE], **options).drop(_SOURCE)
+
+
+def patients_at(
+    visits: DataFrame,
+    period: Period,
+    clinics: Collection | None = None,
+    *,
+    state: int = 5,
+    types: Collection[int] = (1, 2),
+    ordered: bool = True,
+) -> DataFrame:
+    """Distinct patients per clinic and month, per clinic, per month and overall, from one pass.
+
+    A patient of several months or clinics counts once in each coarser group, which sums of
+    finer counts cannot tell. Patients are numbered densely, see ``operators.distinct``.
+    """
+    kept = period.restrict(visits, "create_date").filter(
+        (F.col("state") == state) & F.col("registered_type").isin(*types) & _in_clinics(clinics)
     )
+    sets = id_sets(kept.withColumn("_month", month_start(F.col("create_date"))), ["hospital_name", "_month"], "user_id")
+    levels = {"clinic month": ["hospital_name", "_month"], "clinic": ["hospital_name"], "month": ["_month"], "all": []}
+    counted = distinct_over(sets, levels, "patients")
+    shown = counted.select(F.col(SET).alias("level"), "hospital_name", month_text(F.col("_month")).alias("month"), "patients")
+    return period.stamp(shown.orderBy("level", "hospital_name", "month") if ordered else shown)
 
 
 def summary_sheets(

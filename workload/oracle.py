@@ -339,6 +339,30 @@ def oracles() -> dict[str, str]:
     for short, grain in (("clinic", "period"), ("dept", "day")):
         whole = _pay_method(short, grain).replace(STAMP, STAMP.replace("'2001-08-01'", "'2001-08-01 23:59:59'"))
         found[f"pay_method_kept_{short}_{grain}"] = whole.replace(ORDER_SPAN, "TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-08-01 23:59:59'")
+    found["charge_category_bucketed"] = _charge_category("clinic", "day")
+    found["income_cost_bucketed"] = _income("doctor")
+    patients = """SELECT n_name AS hospital_name, strftime(o_orderdate, '%Y-%m') AS month, o_custkey AS id
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        WHERE o_orderstatus IN ('F', 'O') AND o_orderdate BETWEEN """ + ORDER_SPAN
+    found["distinct_patients"] = " UNION ALL ".join(
+        f"SELECT '{level}' AS level, {clinic} AS hospital_name, {month} AS month, count(DISTINCT id) AS patients, {STAMP} FROM ({patients}) {group}"
+        for level, clinic, month, group in (
+            ("clinic month", "hospital_name", "month", "GROUP BY hospital_name, month"),
+            ("clinic", "hospital_name", "NULL", "GROUP BY hospital_name"),
+            ("month", "NULL", "month", "GROUP BY month"),
+            ("all", "NULL", "NULL", ""),
+        )
+    )
+    kinds = {
+        "o_orderkey": "long", "o_custkey": "long", "o_orderstatus": "string", "o_totalprice": "decimal", "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string", "part_of_hundred": "long", "day": "date", "code": "string", "even": "boolean",
+    }
+    found["inferred_orders"] = f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {TIME_FORMAT}) AS o_orderdate, o_orderpriority,
+            CASE WHEN o_orderstatus <> 'P' THEN o_orderkey % 100 END AS part_of_hundred, strftime(o_orderdate, {DAY_FORMAT}) AS day,
+            lpad(CAST(o_custkey % 1000 AS VARCHAR), 4, '0') AS code, o_orderkey % 2 = 0 AS even,
+            '{", ".join(f"{c} {k}" for c, k in kinds.items())}' AS kinds
+        FROM orders"""
     found["pay_method_levels"] = _levels(_pay_method)
     found["charge_category_levels"] = _levels(_charge_category)
     found["pay_method_clinic_period_exact"] = _pay_method("clinic", "period", exact=True)

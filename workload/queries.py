@@ -19,6 +19,8 @@ from tallyward.functions.text import commonest_char
 from tallyward.operators import frames, joins, windows
 from tallyward.operators.aggregates import rule_sums
 from tallyward.plans import activity, indicators, orders, payments, sheets, threshold
+from tallyward.sources.buckets import Buckets, write_buckets
+from tallyward.sources.inference import typed
 from tallyward.sources.kept import days_of
 from tallyward.sources.versions import shared_folder
 from workload import tables as t
@@ -104,6 +106,50 @@ def pay_method_kept(level: str, grain: str, src: t.Sources) -> DataFrame:
     return payments.payment_methods_kept(kept, WHOLE_DAYS, level, grain, methods=t.METHODS)
 
 
+BUCKETS = 8
+
+
+def _bucketed(src: t.Sources, **tables: DataFrame) -> t.Sources:
+    """The tables laid out by payment, read back as a source."""
+    root = f"{shared_folder(src.spark)}/buckets-{uuid.uuid4().hex}"
+    for table, df in tables.items():
+        write_buckets(df, root, table, ["pay_order_id"], BUCKETS)
+    return t.Sources(src.spark, {"main": Buckets(root)})
+
+
+def charge_category_bucketed(src: t.Sources) -> DataFrame:
+    laid = _bucketed(src, ord_pay_classify=t.classified(src), ord_pay=t.payments(src))
+    return payments.charge_categories(
+        laid.table("ord_pay_classify"), laid.table("ord_pay"), t.clinic_visits(src), ORDER_DAYS, "clinic", "day", states=t.PAID_STATES
+    )
+
+
+def income_cost_bucketed(src: t.Sources) -> DataFrame:
+    laid = _bucketed(src, ord_fee_detail=t.fee_lines(src), ord_pay=t.fee_payments(src))
+    return indicators.income_cost(
+        laid.table("ord_fee_detail"), laid.table("ord_pay"), t.hospitals(src), ORDER_DAYS, "doctor", rules=t.RULES
+    )
+
+
+def distinct_patients(src: t.Sources) -> DataFrame:
+    return indicators.patients_at(t.visits(src), ORDER_DAYS)
+
+
+def inferred_orders(src: t.Sources) -> DataFrame:
+    """Orders as a sheet of texts, some cells blank, under the types that the texts show."""
+    placed = src.table("orders")
+    sheet = placed.select(
+        *[F.col(c).cast("string").alias(c) for c in placed.columns],
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey") % 100).cast("string").alias("part_of_hundred"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.lpad((F.col("o_custkey") % 1000).cast("string"), 4, "0").alias("code"),
+        (F.col("o_orderkey") % 2 == 0).cast("string").alias("even"),
+    )
+    rows = typed(sheet)
+    kinds = ", ".join(f"{f.name} {f.dataType.typeName()}" for f in rows.schema.fields)
+    return rows.withColumn("kinds", F.lit(kinds))
+
+
 def pivot_from_file(src: t.Sources) -> DataFrame:
     visit, placed = t.clinic_visits(src), src.table("orders")
     sheet = placed.join(visit, placed["o_custkey"] == visit["registered_ord_id"]).select(
@@ -430,6 +476,10 @@ def registry() -> dict[str, Query]:
     found["doctor_activity_parity"] = partial(doctor_activity, parity=True)
     for query in (
         pay_method_levels,
+        charge_category_bucketed,
+        income_cost_bucketed,
+        distinct_patients,
+        inferred_orders,
         charge_category_levels,
         inquiry_orders,
         inquiry_orders_sum,
