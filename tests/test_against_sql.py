@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 from decimal import Decimal
 from pathlib import Path
 
@@ -61,3 +63,13 @@ def test_query(spark, second_engine, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_reports_stand_without_the_packages_of_others():
+    """A package that only the corpus operators need is missing: their queries are left out, the reports register."""
+    code = (
+        "import sys; sys.modules['xxhash'] = sys.modules['tokenizers'] = sys.modules['public_tokenizers'] = None; "
+        "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    )
+    found = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, check=True)
+    assert found.stdout.split() == [str(len(QUERIES)), str(len(SQL))]
