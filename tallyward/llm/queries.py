@@ -15,7 +15,7 @@ from tallyward.llm import fixity, licences, packing
 from tallyward.llm.manifest import dataset_manifest
 from tallyward.llm.mixing import systematic_copies
 from tallyward.llm.quality import select_by_importance
-from tallyward.llm.secrets import digest, find_secrets
+from tallyward.llm.secrets import digest, earlier_version, find_secrets
 from tallyward.llm.sharding import balanced_shards
 from tallyward.llm.whitening import whiten
 
@@ -39,7 +39,10 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(find_secrets(_table(spark, sf_dir, "documents"))[0])
+    """The documents' earlier version is scanned, then the present one against its ledger."""
+    docs = _table(spark, sf_dir, "documents")
+    _, ledger = find_secrets(earlier_version(docs))
+    return digest(find_secrets(docs, ledger=ledger)[0])
 
 
 def op4_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
