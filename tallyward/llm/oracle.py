@@ -139,7 +139,6 @@ rarity AS (
     SELECT w, ln((SELECT count(*) + 1 FROM documents) / (count(DISTINCT doc_id) + 1)) AS r FROM placed GROUP BY w
 ), chosen AS (
     SELECT doc_id, w, r FROM (SELECT DISTINCT doc_id, w FROM placed) JOIN rarity USING (w)
-    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY r DESC, w) <= {LOOKED_UP}
 ), every AS (SELECT doc_id, sum(r) AS total FROM chosen GROUP BY doc_id),
 votes AS (
     SELECT DISTINCT doc_id, template, i - place AS start, w, r

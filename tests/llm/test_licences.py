@@ -1,6 +1,9 @@
 import re
 
+import duckdb
+
 from tallyward.llm import licences
+from tallyward.llm.oracle import OP9
 from tests.llm.conftest import documents
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +77,21 @@ def test_notices_do_not_push_each_other_out(spark):
     got = {r.doc_id: r for r in licences.digest(scanned).collect()}
     assert (got[1].labels, got[2].labels, got[3].labels) == ("bsd,mit", "apache-2.0,bsd,mit", "mit")
     assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_sql_follows_on_several_notices(spark):
+    """Files with one, two and all notices, and stray index words between them: the second engine finds the same."""
+    texts = [t.text for t in licences.TEMPLATES]
+    rows = [(k, f"header {k}\n{text}\nmozilla affero cc0 unencumbered") for k, text in enumerate(texts)]
+    rows += [(100 + k, "\n\nsome words between\n".join(texts[k : k + 3])) for k in range(len(texts) - 2)]
+    rows += [(200, "\n".join(texts)), (201, "a file without any"), (202, ""), (203, None)]
+    frame = documents(spark, rows)
+    got = licences.digest(licences.scan_licences(frame))
+    connection = duckdb.connect()
+    held = frame.select("doc_id", "text").toPandas()  # noqa: F841  (the engine reads it by its name)
+    connection.execute("CREATE TABLE documents AS SELECT * FROM held")
+    expected = connection.execute(OP9)
+    names = [d[0] for d in expected.description]
+    assert sorted(got.columns) == sorted(names)
+    ours = sorted(repr(tuple(r[n] for n in names)) for r in got.collect())
+    assert ours == sorted(map(repr, expected.fetchall()))
