@@ -24,7 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {_SETTING} to a folder that the driver and all executors share")
     return "file://" + tempfile.mkdtemp(prefix="shared-")
 
