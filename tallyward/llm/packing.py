@@ -1,16 +1,17 @@
 """Packing into training windows, to target proportions of their sources.
 
-Every source is a queue of documents, laid end to end. Deficit round-robin deals tokens
-from the queues: at each turn a queue's credit grows by its weight, it sends whole tokens
-as far as the credit goes, and what is left over carries into the next window. Queues
-that run dry leave their share to the others.
-
-Dealing turn by turn would be one sequential loop over the corpus. Because credits only
-add up, the state after any number of windows has a closed form: with ``v`` turns gone,
-queue ``j`` has sent ``min(total_j, round(weight_j * v))`` tokens, and window ``w`` ends
-at the ``v`` for which these sum up to ``w`` windows. So each task works out for itself
-where its documents fall, and needs only the totals of the queues and where its part of
-each queue begins.
+Every source is a queue of documents, a document longer than a window several parts of at
+most a window. Deficit round-robin deals the parts: a queue's credit grows by its weight
+at each turn, its next part goes out as soon as the credit covers it, and what is left
+over stays the queue's deficit, across windows and partitions alike. Queues that run dry
+leave their share to the others. Windows are cut from what is dealt, end to end, so a
+part is in two pieces only where a window ends in it, and a source is never further from
+its target than by a window's tokens.
+
+Dealing turn by turn would be one sequential loop over the corpus. With turns as short as
+one likes, a part goes out at the turn ``end / weight``, where ``end`` counts its queue's
+tokens up to its own last one. So the parts are sorted by that turn, range by range, and
+their places are running sums: of the queue's tokens first, of all tokens then.
 """
 
 from __future__ import annotations
@@ -24,161 +25,85 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.hashing import blocks, give_back
-from tallyward.llm.store import Scratch
+from tallyward.llm.store import Scratch, sent_if_small
 from tallyward.llm.tokens import encoder
 
 LENGTH = 2048
 END = 1
-#: Queues at most; more sources than that share queues by hash.
-QUEUES = 1024
-_BATCH_TOKENS = 1 << 21
 #: Bytes of text encoded at a time; a word that recurs in them is encoded once.
 _TEXT_BYTES = 1 << 22
+#: Sums of a source in a task (some 100 bytes each) up to which they are sent to all tasks.
+SENT_SUMS = 200_000
 
-_TOKENS = "part int, queue int, doc_id bigint, n_tokens bigint, begin bigint, ids binary"
-_PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, queue int, ids binary"
-
-
-class Allotment:
-    """What each queue has sent after any number of windows."""
-
-    def __init__(self, totals: np.ndarray, weights: np.ndarray, length: int):
-        self.totals, self.weights, self.length = totals.astype(np.int64), weights.astype(np.float64), length
-        self.total = int(self.totals.sum())
-        self.windows = -(-self.total // length)
-
-    def _sent(self, turns: np.ndarray) -> np.ndarray:
-        return np.minimum(self.totals, np.floor(turns[:, None] * self.weights + 0.5).astype(np.int64))
-
-    def after(self, windows: np.ndarray) -> np.ndarray:
-        """A row per number of windows, a column per queue.
-
-        The turn at which a window ends is bracketed ever closer. Tokens that are due at
-        the same turn go in the order of the queues.
-        """
-        due = np.minimum(np.asarray(windows, dtype=np.int64) * self.length, self.total)
-        low = np.zeros(len(due))
-        high = np.full(len(due), (self.totals / self.weights).max() + 2.0 if len(self.totals) else 1.0)
-        base, ahead = self._sent(low), self._sent(high)
-        sums = base.sum(axis=1)
-        for _ in range(200):
-            middle = (low + high) / 2
-            open_ = (sums != due) & (middle > low) & (middle < high)
-            if not open_.any():
-                break
-            sent = self._sent(middle)
-            total = sent.sum(axis=1)
-            down = open_ & (total <= due)
-            up = open_ & (total > due)
-            low[down], base[down], sums[down] = middle[down], sent[down], total[down]
-            high[up], ahead[up] = middle[up], sent[up]
-        more = np.maximum(ahead - base, 0)
-        before = np.cumsum(more, axis=1) - more
-        return base + np.clip((due - sums)[:, None] - before, 0, more)
-
-    def window_of(self, queues: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """The window in which a queue sends the token at each place."""
-        low, high = np.zeros(len(queues), dtype=np.int64), np.full(len(queues), self.windows, dtype=np.int64)
-        rows = np.arange(len(queues))
-        while (high - low > 1).any():
-            middle = (low + high) // 2
-            reached = self.after(middle)[rows, queues] <= places
-            low, high = np.where(reached, middle, low), np.where(reached, high, middle)
-        return low
+_TOKENS = "part int, source string, doc_id bigint, start bigint, n bigint, doc_tokens bigint, begin bigint, ids binary"
 
 
 def tokenised_batches(
-    batches: Iterator[pa.RecordBatch], content: str, wordwise: bool, end: int
+    batches: Iterator[pa.RecordBatch], content: str, wordwise: bool, end: int, length: int
 ) -> Iterator[pa.RecordBatch]:
-    """Ids of each text, with where it begins in this task's part of its queue."""
+    """Ids of each text in parts of at most ``length``, with where a part begins among this task's tokens of its source."""
     encode, task = encoder(content, wordwise), TaskContext.get()
-    part = task.partitionId() if task else 0
-    reached: dict[int, int] = {}
+    number = task.partitionId() if task else 0
+    reached: dict[str | None, int] = {}
     for batch in batches:
         for first, last in blocks(batch.column(2), _TEXT_BYTES):
             some = batch.slice(first, last - first)
             ids, counts = encode.encode(some.column(2))
-            edges = np.concatenate([[0], np.cumsum(counts + 1)])
+            sizes = counts.astype(np.int64) + 1
+            edges = np.concatenate([[0], np.cumsum(sizes)])
             full = np.full(edges[-1], end, dtype="<u4")
-            places = np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)
-            full[places] = ids
+            full[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
             raw, begins = full.tobytes(), []
-            queues = some.column(1).to_pylist()
-            for queue, n in zip(queues, (counts + 1).tolist(), strict=True):
-                begins.append(reached.get(queue, 0))
-                reached[queue] = begins[-1] + n
-            cuts = (4 * edges).tolist()
+            sources = some.column(1)
+            for source, n in zip(sources.to_pylist(), sizes.tolist(), strict=True):
+                begins.append(reached.get(source, 0))
+                reached[source] = begins[-1] + n
+            parts = -(-sizes // length)
+            row = np.repeat(np.arange(len(sizes)), parts)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * length
+            n = np.minimum(sizes[row] - start, length)
+            cuts = 4 * (edges[:-1][row] + start)
             yield pa.record_batch(
                 {
-                    "part": pa.array([part] * len(some), pa.int32()),
-                    "queue": some.column(1),
-                    "doc_id": some.column(0),
-                    "n_tokens": pa.array(counts + 1),
-                    "begin": pa.array(begins, pa.int64()),
-                    "ids": pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                    "part": pa.array([number] * len(row), pa.int32()),
+                    "source": sources.take(pa.array(row)),
+                    "doc_id": some.column(0).take(pa.array(row)),
+                    "start": pa.array(start),
+                    "n": pa.array(n),
+                    "doc_tokens": pa.array(sizes[row]),
+                    "begin": pa.array(np.array(begins, dtype=np.int64)[row] + start),
+                    "ids": pa.array([raw[a : a + 4 * k] for a, k in zip(cuts.tolist(), n.tolist(), strict=True)], pa.binary()),
                 }
             )
         give_back()
 
 
-def piece_batches(batches: Iterator[pa.RecordBatch], plan: Allotment) -> Iterator[pa.RecordBatch]:
-    """Cut each document where its queue's share of a window ends."""
+def placed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of a range, in their order, with the tokens of the range before each."""
+    before = 0
     for batch in batches:
-        sizes = batch.column(1).to_numpy(zero_copy_only=False)
-        group = (np.cumsum(sizes) - sizes) // _BATCH_TOKENS
-        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
-        for first, last in zip(edges[:-1], edges[1:], strict=True):
-            yield _pieces(batch.slice(first, last - first), plan)
-        give_back()
-
-
-def _pieces(batch: pa.RecordBatch, plan: Allotment) -> pa.RecordBatch:
-    sizes, queues, begins = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (1, 2, 3))
-    ends = begins + sizes
-    distinct, of = np.unique(queues, return_inverse=True)
-    low = np.full(len(distinct), np.iinfo(np.int64).max)
-    high = np.zeros(len(distinct), dtype=np.int64)
-    np.minimum.at(low, of, begins)
-    np.maximum.at(high, of, ends)
-    span = plan.window_of(np.concatenate([distinct, distinct]), np.concatenate([low, high - 1]))
-    first, last = span[: len(distinct)], span[len(distinct) :]
-    needed = np.unique(np.concatenate([np.arange(a, b + 2) for a, b in zip(first, last, strict=True)]))
-    sent = plan.after(needed)
-    share = np.diff(sent, axis=0)
-    ahead = np.cumsum(share, axis=1) - share
-    rows, windows = [], []
-    for k, queue in enumerate(distinct):
-        own = np.flatnonzero(of == k)
-        at = np.searchsorted(needed, first[k])
-        bounds = sent[at : np.searchsorted(needed, last[k]) + 2, queue]
-        start = np.searchsorted(bounds, begins[own], side="right") - 1
-        stop = np.searchsorted(bounds, ends[own], side="left")
-        amount = stop - start
-        offset = np.cumsum(amount) - amount
-        rows.append(np.repeat(own, amount))
-        windows.append(at + np.arange(amount.sum()) + np.repeat(start - offset, amount))
-    row, at = np.concatenate(rows), np.concatenate(windows)
-    order = np.lexsort((at, row))
-    row, at = row[order], at[order]
-    queue = queues[row]
-    start = np.maximum(begins[row], sent[at, queue])
-    stop = np.minimum(ends[row], sent[at + 1, queue])
-    real = stop > start
-    row, at, queue, start, stop = row[real], at[real], queue[real], start[real], stop[real]
-    edges = np.concatenate([[0], 4 * np.cumsum(stop - start)]).astype(np.int32)
-    raw = b"".join(batch.column(4).to_pylist())
-    return pa.record_batch(
-        {
-            "doc_id": batch.column(0).take(pa.array(row)),
-            "start": pa.array(start - begins[row]),
-            "length": pa.array(stop - start),
-            "doc_tokens": pa.array(sizes[row]),
-            "sequence_id": pa.array(needed[at]),
-            "offset": pa.array(ahead[at, queue] + start - sent[at, queue]),
-            "queue": pa.array(queue.astype(np.int32)),
-            "ids": pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(raw)]),
-        }
+        n = batch.column("n").to_numpy()
+        ends = before + np.cumsum(n)
+        yield batch.append_column("before", pa.array(ends - n))
+        before = int(ends[-1]) if len(ends) else before
+
+
+def _weights(sums: DataFrame, mixture: Mapping[str, float] | None, temperature: float) -> DataFrame:
+    """``_source, _part, base, weight``: the source's tokens in earlier tasks, and its credit per turn."""
+    spark = sums.sparkSession
+    whole = sums.agg(F.sum("tokens")).first()[0] or 1
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("tokens").over(Window.partitionBy("source"))
+    based = sums.select(
+        F.col("source").alias("_source"),
+        F.col("part").alias("_part"),
+        F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"),
+        F.pow(total / F.lit(whole), F.lit(float(temperature))).alias("own"),
     )
+    named = spark.createDataFrame([(k, float(v)) for k, v in (mixture or {}).items()], "_named string, given double")
+    based = based.join(named, F.col("_source").eqNullSafe(F.col("_named")), "left")
+    given = F.when(F.col("given").isNotNull(), F.col("given")).otherwise(F.col("own"))
+    return based.select("_source", "_part", "base", given.alias("weight"))
 
 
 def pack(
@@ -195,7 +120,7 @@ def pack(
 ) -> DataFrame:
     """Pieces of documents placed in sequences of ``length`` tokens.
 
-    ``doc_id, start, length, doc_tokens, sequence_id, offset, queue, ids``: the piece holds
+    ``doc_id, start, length, doc_tokens, sequence_id, offset, source, ids``: the piece holds
     the document's tokens from ``start`` on (``ids``: little-endian 32-bit numbers, the
     document's last one being ``end``) and stands at ``offset`` of its sequence. Sequences
     are full, but for the last.
@@ -205,46 +130,76 @@ def pack(
     ``temperature`` (1: proportions as they are; lower: small sources come earlier).
 
     Defined cases: a null text is empty and yields the end token alone. Null is a source
-    like any other. Rows without id and repeated rows are packed like others. Beyond
-    ``QUEUES`` sources, sources share queues by hash, and the mixture names the queues
-    ``"#0"`` onwards. An empty table gives an empty result. Other columns are not read.
+    like any other. Rows without id and repeated rows are packed like others. Any number
+    of sources may occur, each is a queue. An empty table gives an empty result. Other
+    columns are not read.
     """
     spark = docs.sparkSession
     store = Scratch(spark, "packing")
     with open(tokenizer, encoding="utf-8") as file:
         content = file.read()
-    name = F.col(source_col).cast("string")
-    names = [r[0] for r in docs.select(name.alias("s")).distinct().limit(QUEUES + 1).collect()]
-    if len(names) > QUEUES:
-        names = [f"#{k}" for k in range(QUEUES)]
-        name = F.concat(F.lit("#"), F.pmod(F.xxhash64(name), F.lit(QUEUES)))
-    names.sort(key=lambda n: (n is not None, n))
-    numbered = {n: k for k, n in enumerate(names)}
-    known = F.create_map(*[F.lit(x) for n, k in numbered.items() if n is not None for x in (n, k)] or [F.lit(""), F.lit(-1)])
-    queue = F.when(name.isNull(), F.lit(numbered.get(None, 0))).otherwise(known[name]).cast("int")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), queue.alias("queue"), F.col(text_col).cast("string").alias("text"))
-    tokens = store.keep(rows.mapInArrow(lambda it: tokenised_batches(it, content, wordwise, end), _TOKENS), "tokens")
-
-    sums = tokens.groupBy("queue", "part").agg(F.sum("n_tokens").alias("n"))
-    sums = store.keep(sums, "sums")
-    totals = np.zeros(len(names), dtype=np.int64)
-    for number, n in sums.groupBy("queue").agg(F.sum("n")).collect():  # at most QUEUES rows
-        totals[number] = n
-    share = totals / max(1, totals.sum())
-    weights = np.array([(mixture or {}).get(n, share[k] ** temperature) for n, k in numbered.items()], dtype=np.float64)
-    if len(weights) and (weights[totals > 0] <= 0).any():
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    tokens = store.keep(rows.mapInArrow(lambda it: tokenised_batches(it, content, wordwise, end, length), _TOKENS), "tokens")
+    sums = store.keep(tokens.groupBy("source", "part").agg(F.sum("n").alias("tokens")), "sums")
+    credits = store.keep(_weights(sums, mixture, temperature), "credits")
+    if credits.filter("NOT weight > 0").limit(1).count():
         raise ValueError("every source needs a positive proportion")
-    weights[totals == 0] = 1.0
-    plan = Allotment(totals, weights / weights.sum() * length if len(weights) else weights, length)
-    before = F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    bases = sums.select(F.col("queue").alias("_q"), F.col("part").alias("_p"), F.coalesce(before, F.lit(0)).alias("base"))
-    placed = tokens.join(bases, (F.col("queue") == F.col("_q")) & (F.col("part") == F.col("_p")))
-    placed = placed.select("doc_id", "n_tokens", "queue", (F.col("begin") + F.col("base")).alias("begin"), "ids")
-    return placed.mapInArrow(lambda it: piece_batches(it, plan), _PIECES)
+
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part"))
+    met = tokens.join(sent_if_small(credits, SENT_SUMS), same)
+    begin = F.col("base") + F.col("begin")
+    turned = met.select(
+        ((begin + F.col("n")) / F.col("weight")).alias("turn"),
+        "source",
+        begin.alias("begin"),
+        "doc_id",
+        "start",
+        "n",
+        "doc_tokens",
+        "ids",
+    )
+    # no two parts share a source and a beginning
+    order = ["turn", "source", "begin"]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = turned.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    dealt = dealt.select(F.spark_partition_id().alias("range"), "doc_id", "start", "n", "doc_tokens", "source", "ids")
+    dealt = store.keep(
+        dealt.mapInArrow(
+            placed_batches,
+            "range int, doc_id bigint, start bigint, n bigint, doc_tokens bigint, source string, ids binary, before bigint",
+        ),
+        "dealt",
+    )
+    # as many rows as there are ranges
+    ranges = dealt.groupBy("range").agg(F.sum("n").alias("held"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(F.col("range").alias("_range"), F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("ahead"))
+    placed = dealt.join(F.broadcast(ranges), F.col("range") == F.col("_range")).withColumn("at", F.col("before") + F.col("ahead"))
+    # a part is no longer than a window, so that at most one window ends in it
+    first = F.least(F.col("n"), F.lit(length) - F.col("at") % length)
+    cut = placed.withColumn("first", first)
+    pieces = F.array(F.struct(F.lit(0).cast("bigint").alias("skip"), F.col("first").alias("length")))
+    rest = F.array(F.struct(F.col("first").alias("skip"), (F.col("n") - F.col("first")).alias("length")))
+    pieces = F.when(F.col("first") < F.col("n"), F.concat(pieces, rest)).otherwise(pieces)
+    cut = cut.withColumn("piece", F.explode(pieces))
+    return cut.select(
+        "doc_id",
+        (F.col("start") + F.col("piece.skip")).alias("start"),
+        F.col("piece.length").alias("length"),
+        "doc_tokens",
+        F.expr(f"(at + piece.skip) div {length}").alias("sequence_id"),
+        ((F.col("at") + F.col("piece.skip")) % length).alias("offset"),
+        "source",
+        F.expr("substring(ids, cast(4 * piece.skip + 1 AS int), cast(4 * piece.length AS int))").alias("ids"),
+    )
 
 
 def digest(pieces: DataFrame) -> DataFrame:
     """The pieces with the checksum of their ids in place of the ids."""
     return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "queue"
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
     )

@@ -1,10 +1,13 @@
+import random
+from fractions import Fraction
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tallyward.llm.packing import Allotment, pack
+from tallyward.llm.packing import pack
 from tallyward.llm.tokens import Encoder
 from tests.llm.conftest import EDGE_ROWS, documents
 
@@ -46,22 +49,64 @@ def test_round_trip(spark, length):
     assert all(filled[k] == length for k in range(len(filled) - 1)) and 0 < filled[len(filled) - 1] <= length
 
 
-def test_every_window_has_the_mixture(spark):
+def _dealt(rows, mixture, length):
+    """Plain dealing of ``(doc_id, source, tokens)``: credits grow until one covers its queue's next part."""
+    queues = {}
+    for doc_id, source, n in rows:
+        queues.setdefault(source, []).extend((doc_id, at, min(length, n - at)) for at in range(0, n, length))
+    credit, out = dict.fromkeys(queues, Fraction(0)), []
+    while any(queues.values()):
+        wait, source = min(((q[0][2] - credit[s]) / Fraction(mixture[s]), s) for s, q in queues.items() if q)
+        for other in credit:
+            credit[other] += wait * Fraction(mixture[other])
+        part = queues[source].pop(0)
+        credit[source] -= part[2]
+        out.append(part)
+    return out
+
+
+def test_parts_go_out_as_plain_dealing_sends_them(spark):
+    draw = random.Random(5)
+    rows = [(k, "some words " * draw.choice([0, 1, 9, 30, 200]), f"s{draw.randrange(4)}") for k in range(200)]
+    mixture = {"s0": 3, "s1": 1, "s2": 8, "s3": 5}
+    got = pack(documents(spark, rows).coalesce(1), PATH, mixture=mixture, wordwise=True, length=64).collect()
+    sized = [(k, s, len(_expected(t))) for k, t, s in rows]
+    plain, at = [], 0
+    for doc_id, start, n in _dealt(sized, mixture, 64):
+        first = min(n, 64 - at % 64)
+        plain += [(doc_id, start + skip, m, (at + skip) // 64, (at + skip) % 64) for skip, m in ((0, first), (first, n - first)) if m]
+        at += n
+    assert sorted((r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in got) == sorted(plain)
+
+
+def test_windows_keep_the_mixture(spark):
     rows = [(k, "some words for this text " * 40, "big" if k % 4 else "small") for k in range(80)]
     got = pack(documents(spark, rows), PATH, mixture={"big": 3.0, "small": 1.0}, wordwise=True, length=256).collect()
-    held = {}
+    small, last = {}, max(r.sequence_id for r in got)
     for r in got:
-        held.setdefault(r.sequence_id, {}).setdefault(r.queue, 0)
-        held[r.sequence_id][r.queue] += r.length
-    for number in range(len(held) - 2):
-        assert abs(held[number][1] - 64) <= 1, held[number]
-
-
-def test_allotment_matches_dealing_token_by_token():
-    totals, weights = np.array([50, 9, 200, 1]), np.array([5.0, 1.0, 3.0, 0.5])
-    plan = Allotment(totals, weights, 16)
-    due = sorted(((m + 0.5) / weights[j], j) for j in range(4) for m in range(totals[j]))
-    sent = plan.after(np.arange(plan.windows + 1))
-    for window in range(plan.windows + 1):
-        first = due[: window * 16]
-        assert sent[window].tolist() == [sum(1 for _, j in first if j == k) for k in range(4)]
+        small[r.sequence_id] = small.get(r.sequence_id, 0) + (r.length if r.source == "small" else 0)
+    # what a source lacks or has too much is never more than a part of each
+    for number in range(last - 2):
+        assert abs(sum(small.get(k, 0) for k in range(number + 1)) - 64 * (number + 1)) <= 256
+
+
+def test_many_sources_have_a_queue_each(spark):
+    """More than a thousand sources keep to a mixture by name; a small source's document stays whole."""
+    rows = [(k, "one two three four " * 3, f"s{k % 1100}") for k in range(3300)]
+    got = pack(documents(spark, rows), PATH, mixture={"s7": 1000.0}, wordwise=True).collect()
+    assert all(r.sequence_id == 0 for r in got if r.source == "s7")
+    assert len(got) <= len(rows) + max(r.sequence_id for r in got)
+
+
+def test_few_documents_are_cut(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = pack(docs, PATH, wordwise=True, temperature=0.7).select("doc_id", "length", "doc_tokens", "sequence_id").collect()
+    tokens = sum(r.length for r in got)
+    parts = sum(-(-n // 2048) for n in {r.doc_id: r.doc_tokens for r in got}.values())
+    assert len(got) <= parts + tokens // 2048
+
+
+@pytest.mark.parametrize("mixture", [{"s": 0.0}, {"s": -1.0}])
+def test_a_source_without_proportion_is_refused(spark, mixture):
+    with pytest.raises(ValueError):
+        pack(documents(spark, [(1, "x")]), PATH, mixture=mixture)
