@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallyward.llm.hashing import blocks, give_back
 from tallyward.llm.store import Scratch, sent_if_small
@@ -35,13 +36,14 @@ _TEXT_BYTES = 1 << 22
 #: Sums of a source in a task (some 100 bytes each) up to which they are sent to all tasks.
 SENT_SUMS = 200_000
 
+_PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string, ids binary"
 _TOKENS = "part int, source string, doc_id bigint, start bigint, n bigint, doc_tokens bigint, begin bigint, ids binary"
 
 
 def tokenised_batches(
-    batches: Iterator[pa.RecordBatch], content: str, wordwise: bool, end: int, length: int
+    batches: Iterator[pa.RecordBatch], content: str, wordwise: bool, end: int, length: int, width: int
 ) -> Iterator[pa.RecordBatch]:
-    """Ids of each text in parts of at most ``length``, with where a part begins among this task's tokens of its source."""
+    """Ids (``width`` bytes each) of each text in parts of at most ``length``, with where a part begins among this task's tokens of its source."""
     encode, task = encoder(content, wordwise), TaskContext.get()
     number = task.partitionId() if task else 0
     reached: dict[str | None, int] = {}
@@ -51,7 +53,7 @@ def tokenised_batches(
             ids, counts = encode.encode(some.column(2))
             sizes = counts.astype(np.int64) + 1
             edges = np.concatenate([[0], np.cumsum(sizes)])
-            full = np.full(edges[-1], end, dtype="<u4")
+            full = np.full(edges[-1], end, dtype=f"<u{width}")
             full[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
             raw, begins = full.tobytes(), []
             sources = some.column(1)
@@ -62,7 +64,7 @@ def tokenised_batches(
             row = np.repeat(np.arange(len(sizes)), parts)
             start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * length
             n = np.minimum(sizes[row] - start, length)
-            cuts = 4 * (edges[:-1][row] + start)
+            cuts = width * (edges[:-1][row] + start)
             yield pa.record_batch(
                 {
                     "part": pa.array([number] * len(row), pa.int32()),
@@ -72,7 +74,7 @@ def tokenised_batches(
                     "n": pa.array(n),
                     "doc_tokens": pa.array(sizes[row]),
                     "begin": pa.array(np.array(begins, dtype=np.int64)[row] + start),
-                    "ids": pa.array([raw[a : a + 4 * k] for a, k in zip(cuts.tolist(), n.tolist(), strict=True)], pa.binary()),
+                    "ids": pa.array([raw[a : a + width * k] for a, k in zip(cuts.tolist(), n.tolist(), strict=True)], pa.binary()),
                 }
             )
         give_back()
@@ -88,6 +90,32 @@ def placed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         before = int(ends[-1]) if len(ends) else before
 
 
+def piece_batches(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Parts cut where a window ends, at most one in each, with ids of four bytes."""
+    for batch in batches:
+        n, at = batch.column("n").to_numpy(), batch.column("at").to_numpy()
+        first = np.minimum(n, length - at % length)
+        row = np.repeat(np.arange(len(n)), 1 + (first < n))
+        second = np.concatenate([[False], row[1:] == row[:-1]])[: len(row)]
+        skip = np.where(second, first[row], 0)
+        size = np.where(second, n[row] - skip, first[row])
+        ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype=f"<u{width}").astype("<u4")
+        edges = np.concatenate([[0], 4 * np.cumsum(size)]).astype(np.int32)
+        place = at[row] + skip
+        yield pa.record_batch(
+            {
+                "doc_id": batch.column("doc_id").take(pa.array(row)),
+                "start": pa.array(batch.column("start").to_numpy()[row] + skip),
+                "length": pa.array(size),
+                "doc_tokens": batch.column("doc_tokens").take(pa.array(row)),
+                "sequence_id": pa.array(place // length),
+                "offset": pa.array(place % length),
+                "source": batch.column("source").take(pa.array(row)),
+                "ids": pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)]),
+            }
+        )
+
+
 def _weights(sums: DataFrame, mixture: Mapping[str, float] | None, temperature: float) -> DataFrame:
     """``_source, _part, base, weight``: the source's tokens in earlier tasks, and its credit per turn."""
     spark = sums.sparkSession
@@ -138,12 +166,15 @@ def pack(
     store = Scratch(spark, "packing")
     with open(tokenizer, encoding="utf-8") as file:
         content = file.read()
+    # ids wait for their places in as few bytes as the vocabulary needs
+    width = 2 if max(end, *Tokenizer.from_str(content).get_vocab().values()) < 1 << 16 else 4
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.col(text_col).cast("string").alias("text"),
     )
-    tokens = store.keep(rows.mapInArrow(lambda it: tokenised_batches(it, content, wordwise, end, length), _TOKENS), "tokens")
+    tokens = rows.mapInArrow(lambda it: tokenised_batches(it, content, wordwise, end, length, width), _TOKENS)
+    tokens = store.keep(tokens, "tokens", "zstd")
     sums = store.keep(tokens.groupBy("source", "part").agg(F.sum("n").alias("tokens")), "sums")
     credits = store.keep(_weights(sums, mixture, temperature), "credits")
     if credits.filter("NOT weight > 0").limit(1).count():
@@ -173,29 +204,15 @@ def pack(
             "range int, doc_id bigint, start bigint, n bigint, doc_tokens bigint, source string, ids binary, before bigint",
         ),
         "dealt",
+        "zstd",
     )
     # as many rows as there are ranges
     ranges = dealt.groupBy("range").agg(F.sum("n").alias("held"))
     earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(F.col("range").alias("_range"), F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("ahead"))
     placed = dealt.join(F.broadcast(ranges), F.col("range") == F.col("_range")).withColumn("at", F.col("before") + F.col("ahead"))
-    # a part is no longer than a window, so that at most one window ends in it
-    first = F.least(F.col("n"), F.lit(length) - F.col("at") % length)
-    cut = placed.withColumn("first", first)
-    pieces = F.array(F.struct(F.lit(0).cast("bigint").alias("skip"), F.col("first").alias("length")))
-    rest = F.array(F.struct(F.col("first").alias("skip"), (F.col("n") - F.col("first")).alias("length")))
-    pieces = F.when(F.col("first") < F.col("n"), F.concat(pieces, rest)).otherwise(pieces)
-    cut = cut.withColumn("piece", F.explode(pieces))
-    return cut.select(
-        "doc_id",
-        (F.col("start") + F.col("piece.skip")).alias("start"),
-        F.col("piece.length").alias("length"),
-        "doc_tokens",
-        F.expr(f"(at + piece.skip) div {length}").alias("sequence_id"),
-        ((F.col("at") + F.col("piece.skip")) % length).alias("offset"),
-        "source",
-        F.expr("substring(ids, cast(4 * piece.skip + 1 AS int), cast(4 * piece.length AS int))").alias("ids"),
-    )
+    placed = placed.select("doc_id", "start", "n", "doc_tokens", "source", "ids", "at")
+    return placed.mapInArrow(lambda it: piece_batches(it, length, width), _PIECES)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -34,10 +34,10 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         """The frame, computed once and read back from the shared folder."""
         where = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(where)
+        df.write.mode("overwrite").parquet(where, compression=codec)
         return self.spark.read.schema(df.schema).parquet(where)
 
     def keep_only(self, *names: str) -> None:
