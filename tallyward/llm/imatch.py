@@ -7,8 +7,9 @@ of the lexicon; two texts are alike in so far as these hashes agree. Subsets com
 several sizes: small ones survive heavy edits of long texts, large ones tell short texts
 apart.
 
-The lexicon is kept by hash bucket of the term, so its size is fixed whatever the
-vocabulary.
+Document frequencies are counted exactly, per 64-bit hash of the term. The band's rare end
+is a part of what the recurring terms add up to, as an inverse document frequency is: so
+the band holds no more than ``TERMS`` terms, whatever the vocabulary.
 """
 
 from __future__ import annotations
@@ -22,16 +23,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.hashing import Runs, blank_separated, blocks, mix
+from tallyward.llm.hashing import Runs, blank_separated, blocks, give_back, mix
+from tallyward.llm.store import Scratch
 
-#: Buckets of the lexicon; a bitmap of them (128 KB) goes to every task.
-BUCKETS = 1 << 20
-#: The band: a term counts if at least LEAST documents have it and at most this part of them.
+#: Terms that the band can hold (8 bytes each, sent to every task): of all recurrences of terms it takes one in TERMS to be in it.
+TERMS = 1 << 23
+#: The band: a term counts if at least LEAST documents have it, or more by TERMS, and at most this part of them.
 LEAST = 2
 MOST = 0.1
 #: Random subsets hold one in 2^PARTS of the lexicon; each size is drawn EACH times.
 PARTS = (2, 5, 8, 11)
 EACH = 12
+#: Terms of documents that a task adds up at a time.
+_ADDED_UP = 1 << 22
+#: Rows looked at per range of ids, to cut ranges of about equal numbers.
+_PER_RANGE = 100
 
 _RESULT = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
@@ -49,33 +55,40 @@ def _terms(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def frequency_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Documents per bucket of a task's rows."""
-    counts, rows = np.zeros(buckets, dtype=np.int64), 0
-    for batch in batches:
-        rows += len(batch)
-        for terms in _terms(batch.column(0)):
-            counts[np.unique((terms % np.uint64(buckets)).astype(np.int64))] += 1
-    seen = np.flatnonzero(counts)
-    yield pa.record_batch(
-        {"bucket": pa.array(np.concatenate([seen, [-1]])), "n": pa.array(np.concatenate([counts[seen], [rows]]))}
-    )
+def frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents per term, added up over as many rows as make ``_ADDED_UP`` terms."""
 
+    def added(found: list[np.ndarray]) -> pa.RecordBatch:
+        terms, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.record_batch({"term": pa.array(terms.view(np.int64)), "n": pa.array(n)})
 
-def lexicon(docs: DataFrame, text_col: str = "text", buckets: int = BUCKETS, least: int = LEAST, most: float = MOST) -> np.ndarray:
-    """Which buckets are in the band, by the frequencies of all documents."""
+    found, held = [], 0
+    for batch in batches:
+        for terms in _terms(batch.column(0)):
+            found.append(terms)
+            held += len(terms)
+            if held >= _ADDED_UP:
+                yield added(found)
+                found, held = [], 0
+    if found:
+        yield added(found)
+    give_back()
+
+
+def lexicon(docs: DataFrame, text_col: str = "text", least: int = LEAST, most: float = MOST, terms: int = TERMS) -> np.ndarray:
+    """The hashes of the terms in the band, sorted, by the frequencies of all documents.
+
+    A term is in the band if at least ``least`` documents have it and at least one in
+    ``terms`` of all recurring terms' documents is one of its: so there are at most
+    ``terms`` of them.
+    """
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    counts = rows.mapInArrow(lambda it: frequency_batches(it, buckets), "bucket bigint, n bigint")
-    totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
-    n_docs = totals.filter("bucket = -1").agg(F.sum("n")).first()[0] or 0
-    band = totals.filter((F.col("bucket") >= 0) & (F.col("n") >= least) & (F.col("n") <= max(least, most * n_docs)))
-    words = band.groupBy(F.floor(F.col("bucket") / 32).alias("word")).agg(
-        F.sum(F.expr("shiftleft(1L, cast(bucket % 32 AS int))")).alias("bits")
-    )
-    held = np.zeros(buckets // 32, dtype=np.uint32)
-    for word, bits in words.collect():  # at most buckets / 32 numbers
-        held[word] = bits
-    return np.unpackbits(held.astype("<u4").view(np.uint8), bitorder="little").astype(bool)
+    counts = rows.mapInArrow(frequency_batches, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    recurring = Scratch(docs.sparkSession, "imatch").keep(counts.filter(F.col("n") >= least), "recurring")
+    whole = recurring.agg(F.sum("n")).first()[0] or 0
+    rare, frequent = max(least, -(-whole // terms)), max(least, most * docs.count())
+    band = recurring.filter((F.col("n") >= rare) & (F.col("n") <= frequent)).select("term").toArrow()  # at most `terms` numbers
+    return np.sort(band.column(0).to_numpy().view(np.uint64))
 
 
 class Fingerprints:
@@ -93,7 +106,7 @@ class Fingerprints:
         counts = np.array([len(t) for t in terms], dtype=np.int64)
         every = np.concatenate(terms)
         text = np.repeat(np.arange(len(terms)), counts)
-        inside = self.band[(every % np.uint64(len(self.band))).astype(np.int64)]
+        inside = self._in_band(every)
         # a text with nothing in the band speaks with all its terms
         mute = np.bincount(text[inside], minlength=len(terms)) == 0
         inside |= mute[text]
@@ -117,6 +130,11 @@ class Fingerprints:
             self._whole(out, silent, every, text)
         return out
 
+    def _in_band(self, terms: np.ndarray) -> np.ndarray:
+        if not len(self.band):
+            return np.zeros(len(terms), dtype=bool)
+        return self.band[np.minimum(np.searchsorted(self.band, terms), len(self.band) - 1)] == terms
+
     @staticmethod
     def _whole(out: np.ndarray, silent: np.ndarray, every: np.ndarray, text: np.ndarray) -> None:
         """Texts whose terms all fell outside every subset get the hash of all their terms instead."""
@@ -180,8 +198,10 @@ def edited_fingerprints(
     The next document is the one of the next smaller id, after the smallest the largest;
     the edited form has the text's last half replaced by as many characters of the next.
 
-    Ids are cut into ranges of about equal numbers; each range also gets the next range's
-    first document, so that texts are shuffled once and ranges need not know each other.
+    Rows are cut into ranges of about equal numbers, by id, checksum and a number of their
+    own, so that rows without id and those of one id are spread as well; each range also
+    gets the next range's first row, so that texts are shuffled once and ranges need not
+    know each other. The table must read alike each time, as files do.
 
     Defined cases: a null text is empty; an empty text has no terms, and all texts without
     terms have one and the same fingerprint. Rows without id come last, before the wrap to
@@ -191,36 +211,47 @@ def edited_fingerprints(
     spark = docs.sparkSession
     prints = Fingerprints(lexicon(docs, text_col, least=least, most=most))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = docs.select(F.col(id_col).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL")
-    cuts = known.approxQuantile("doc_id", [k / tasks for k in range(1, tasks)], 0.1 / tasks) if tasks > 1 else []
-    cuts = sorted({int(c) for c in cuts}, reverse=True)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("tie"), _range_of(F.col("doc_id"), cuts).alias("range"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text, F.monotonically_increasing_id().alias("own"))
+    # rows without id are the least
+    key = F.struct(
+        F.col("doc_id").isNotNull().cast("int").alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("tie"), "own"
+    )
+    cuts = _cuts(rows, key, tasks)
+    rows = rows.select("doc_id", "text", key.alias("key"))
+    rows = rows.withColumn("range", _range_of(F.col("key"), cuts))
 
     # one row per range, from here on until the texts
-    top = rows.groupBy("range").agg(F.max(F.struct("doc_id", "tie")).alias("top"))
+    top = rows.groupBy("range").agg(F.max("key").alias("top"))
     turn = Window.orderBy("range")
     last = F.max("range").over(Window.partitionBy())
-    heads = top.select("top", F.coalesce(F.lag("range").over(turn), last).alias("_to"))
-    heads = heads.select(F.col("top.doc_id").alias("_id"), F.col("top.tie").alias("_tie"), "_to")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    closing = rows.join(F.broadcast(heads), same).dropDuplicates(["_to"])
-    closing = closing.select("doc_id", "text", "tie", F.col("_to").alias("range"), F.lit(True).alias("closes"))
+    heads = top.select(F.col("top").alias("_top"), F.coalesce(F.lag("range").over(turn), last).alias("_to"))
+    closing = rows.join(F.broadcast(heads), F.col("key") == F.col("_top"))
+    closing = closing.select("doc_id", "text", "key", F.col("_to").alias("range"), F.lit(True).alias("closes"))
     dealt = rows.withColumn("closes", F.lit(False)).unionByName(closing).repartitionById(len(cuts) + 1, F.col("range"))
-    order = ["range", "closes", F.desc_nulls_last("doc_id"), F.desc("tie")]
-    ordered = dealt.sortWithinPartitions(*order).select("closes", "doc_id", "text")
+    ordered = dealt.sortWithinPartitions("range", "closes", F.desc("key")).select("closes", "doc_id", "text")
     return ordered.mapInArrow(lambda it: neighbour_batches(it, prints), _RESULT)
 
 
-def _range_of(doc_id: Column, cuts: list[int]) -> Column:
-    """How many of the descending cuts are above the id, found in two steps; no id comes last."""
-    step = max(1, math.isqrt(len(cuts)))
-    coarse = F.array(*[F.lit(c) for c in cuts[::step]]).cast("array<bigint>")
-    fine = [F.array(*[F.lit(c) for c in cuts[k : k + step]]) for k in range(0, len(cuts), step)]
+def _cuts(rows: DataFrame, key: Column, ranges: int) -> list[tuple]:
+    """Keys between ranges, descending, from about ``_PER_RANGE`` rows for each; where the cuts lie changes no result."""
+    some = min(1.0, _PER_RANGE * ranges / max(1, rows.count()))
+    seen = sorted((tuple(r.key) for r in rows.sample(some, seed=1).select(key.alias("key")).collect()), reverse=True)
+    return sorted({seen[len(seen) * k // ranges] for k in range(1, ranges)}, reverse=True) if seen else []
+
+
+def _range_of(key: Column, cuts: list[tuple]) -> Column:
+    """How many of the descending cuts are above the key, found in two steps."""
     if not cuts:
         return F.lit(0)
-    block = F.size(F.filter(coarse, lambda c: c > doc_id))
-    within = F.size(F.filter(F.get(F.array(*fine), block - 1), lambda c: c > doc_id))
-    found = F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + within)
-    return F.when(doc_id.isNull(), F.lit(len(cuts))).otherwise(found).cast("int")
+
+    def told(some: list[tuple]) -> Column:
+        types = ("int", "bigint", "bigint", "bigint")
+        names = ("known", "id", "tie", "own")
+        return F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(c, types, names, strict=True)]) for c in some])
+
+    step = max(1, math.isqrt(len(cuts)))
+    fine = [told(cuts[k : k + step]) for k in range(0, len(cuts), step)]
+    block = F.size(F.filter(told(cuts[::step]), lambda c: c > key))
+    within = F.size(F.filter(F.get(F.array(*fine), block - 1), lambda c: c > key))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + within).cast("int")
