@@ -5,7 +5,8 @@ punctuation go. Windows of a document's template are hash-joined with those of t
 benchmark items. Windows that match at one distance between document and item form a
 candidate, whose slots are then compared: an item's value must stand for one and the
 same value of the document wherever it recurs, or the windows that hold it do not count.
-Windows of little but placeholders are compared with the values in their places. So a question is found verbatim as well
+Windows of little but placeholders are compared with the values in their places. A capital at a sentence's start may
+make a name or not, so windows that hold one are posted in both readings. So a question is found verbatim as well
 as with other numbers and names, while a chance likeness of shape is not.
 """
 
@@ -26,6 +27,8 @@ BROADCAST_ROWS = 1_000_000
 
 #: The placeholders, each one token that no canonical word can be.
 NUMBER, NAME, UNIT = "0", "ꙮ", "ꙩ"
+#: Stands before a word that its place, at a sentence's start, gives a capital.
+START = "ꙭ"
 #: Words that are units when they follow a number.
 UNITS = (
     "mm cm m km in inch inches ft feet foot yd yard yards mile miles mg g kg lb lbs oz pound pounds ounce ounces ton tons "
@@ -44,14 +47,30 @@ def _words(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " ", -1))
 
 
-def template_words(text: Column) -> Column:
-    """The template's tokens: words, and placeholders for numbers, names inside sentences, and units."""
+def _template(text: Column) -> Column:
+    """The template with blanks between its tokens; ``START`` stands before words that may be names or not."""
     text = F.coalesce(text, F.lit(""))
     numbers = F.regexp_replace(text, r"\p{N}+(?:[.,:/]\p{N}+)*", NUMBER)
     names = F.regexp_replace(numbers, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+", NAME)
+    starts = F.regexp_replace(names, rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}}\p{{Ll}})", START)
     units = rf"(?<=(?:^| ){NUMBER} )(?:{'|'.join(UNITS)})(?= |$)"
-    flat = _stripped(names)
-    return _words(F.when(F.contains(flat, F.lit(NUMBER)), F.regexp_replace(flat, units, UNIT)).otherwise(flat))
+    flat = _stripped(starts)
+    return F.when(F.contains(flat, F.lit(NUMBER)), F.regexp_replace(flat, units, UNIT)).otherwise(flat)
+
+
+def _as_words(template: Column) -> Column:
+    """Words at sentence starts read as words."""
+    return _words(F.replace(template, F.lit(START), F.lit("")))
+
+
+def _as_names(template: Column) -> Column:
+    """Words at sentence starts read as names."""
+    return _words(F.regexp_replace(template, START + "[^ ]*", NAME))
+
+
+def template_words(text: Column) -> Column:
+    """The template's tokens: words, and placeholders for numbers, names inside sentences, and units."""
+    return _as_words(_template(text))
 
 
 def literal_words(text: Column) -> Column:
@@ -74,6 +93,17 @@ def _windows(words: str, width: int, literal: int, said: str | None = None, poor
     return F.expr(f"CASE WHEN {last} >= 1 THEN transform(sequence(1, {last}), i -> {each}) ELSE array() END")
 
 
+def _other_windows(words: str, named: str, width: int, literal: int) -> Column:
+    """``p, h`` of the windows that the two readings tell apart, read with names, if they hold enough words."""
+    held = [f"element_at({named}, i + {k})" for k in range(width)]
+    fixed = " + ".join(f"CASE WHEN {w} IN ('{NUMBER}', '{NAME}', '{UNIT}') THEN 0 ELSE 1 END" for w in held)
+    last = f"size({words}) - {width - 1}"
+    apart = f"filter(sequence(1, size({words})), i -> element_at({words}, i) <> element_at({named}, i))"
+    begins = f"array_distinct(flatten(transform({apart}, s -> sequence(greatest(1, s - {width - 1}), least(s, {last})))))"
+    each = f"CASE WHEN {fixed} >= {min(literal, (width + 1) // 2)} THEN struct(i - 1 AS p, xxhash64({', '.join(held)}) AS h) END"
+    return F.expr(f"CASE WHEN {last} >= 1 THEN filter(transform({begins}, i -> {each}), x -> x IS NOT NULL) END")
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -92,21 +122,28 @@ def contaminated(
     item shorter than the window is one window, as long as itself.
 
     Defined cases: null and empty texts hold nothing, items without words are in nothing.
-    Rows without id are not reported; rows that share an id are taken together, and so are
-    equal rows. Empty tables give an empty result. Other columns are not read.
+    Items are told apart by id and text: those without id are reported with none, those
+    that share an id each by a row of its own. Documents without id are not reported;
+    documents that share an id are taken together, and so are equal rows. Empty tables give an empty result. Other columns are not read.
     """
     store = Scratch(docs.sparkSession, "decontaminate")
     items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text"))
-    items = items.filter("item_id IS NOT NULL").dropDuplicates(["item_id"])
+    items = items.distinct().withColumn("template", _template(F.col("text")))
     inside = F.slice(template_words(F.concat(F.lit("a "), "text")), F.lit(2), F.lit(1))
     items = items.select(
-        "item_id", template_words(F.col("text")).alias("words"), literal_words(F.col("text")).alias("said"), inside.alias("first")
+        F.monotonically_increasing_id().alias("item"),
+        "item_id",
+        _as_words(F.col("template")).alias("words"),
+        _as_names(F.col("template")).alias("named"),
+        literal_words(F.col("text")).alias("said"),
+        inside.alias("first"),
     )
     items = store.keep(items.filter("size(words) > 0").withColumn("has_slots", _slotted("words")), "items")
+    ids, items = items.select("item", "item_id"), items.drop("item_id").withColumnRenamed("item", "item_id")
     # within a sentence a capital makes an item's first word a name
-    named = items.filter(F.col("first") != F.slice("words", F.lit(1), F.lit(1)))
-    named = named.withColumn("words", F.expr("concat(first, slice(words, 2, size(words)))")).withColumn("has_slots", F.lit(True))
-    forms = items.union(named)
+    inner = items.filter(F.col("first") != F.slice("words", F.lit(1), F.lit(1)))
+    inner = inner.withColumn("words", F.expr("concat(first, slice(words, 2, size(words)))")).withColumn("has_slots", F.lit(True))
+    forms = items.union(inner)
     short = items.filter(F.size("words") < window).select(F.size("words").alias("n")).distinct().collect()
     widths = sorted({row.n for row in short} | {window})
 
@@ -116,6 +153,9 @@ def contaminated(
         for rich in (True, False):
             hashes = _windows("words", width, literal, None if rich else "said", not rich)
             own.append(of_width.select("item_id", F.posexplode(hashes).alias("q", "h")).withColumn("rich", F.lit(rich)))
+        of_width = items.filter(F.size("words") >= width if width == window else F.size("words") == width)
+        other = of_width.select("item_id", F.explode(_other_windows("words", "named", width, literal)).alias("x"))
+        own.append(other.select("item_id", F.col("x.p").alias("q"), "x.h", F.lit(True).alias("rich")))
     posted = own[0]
     for more in own[1:]:
         posted = posted.union(more)
@@ -128,11 +168,16 @@ def contaminated(
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("doc_id IS NOT NULL")
-    read = rows.select("doc_id", template_words(F.col("text")).alias("words")).withColumn("has_slots", _slotted("words"))
+    read = rows.withColumn("template", _template(F.col("text")))
+    read = read.select("doc_id", "text", _as_words(F.col("template")).alias("words"), _as_names(F.col("template")).alias("named"))
+    read = read.withColumn("has_slots", _slotted("words"))
     if by_value:
-        read = rows.select("doc_id", "text", template_words(F.col("text")).alias("words")).withColumn("has_slots", _slotted("words"))
-        read = read.withColumn("said", F.when(F.col("has_slots"), literal_words(F.col("text")))).drop("text")
+        read = read.withColumn("said", F.when(F.col("has_slots"), literal_words(F.col("text"))))
+    read = read.drop("text")
     hashes = [read.select("doc_id", F.posexplode(_windows("words", w, literal, by_value)).alias("p", "h")) for w in widths]
+    for w in widths:
+        other = read.select("doc_id", F.explode(_other_windows("words", "named", w, literal)).alias("x"))
+        hashes.append(other.select("doc_id", "x.p", "x.h"))
     seen = hashes[0]
     for more in hashes[1:]:
         seen = seen.union(more)
@@ -149,13 +194,13 @@ def contaminated(
     could = could.filter(F.col("most") >= F.lit(coverage) * asked).select("doc_id", "item_id")
     runs = runs.join(could, ["doc_id", "item_id"])
 
-    plain = items.select("item_id", "has_slots")
+    plain = items.select("item_id", _slotted("named").alias("has_slots"))
     runs = store.keep(runs.join(plain, "item_id"), "candidates")
     slotted = runs.filter("has_slots")
     holders = store.keep(slotted.select("doc_id").distinct(), "holders")
     listed = F.broadcast(holders) if holders.count() <= BROADCAST_ROWS else holders
     said = rows.join(listed, "doc_id", "left_semi").select("doc_id", literal_words(F.col("text")).alias("doc_said"))
-    checked = _checked(slotted.drop("has_slots"), said, items.select("item_id", "words", "said"), widths[-1])
+    checked = _checked(slotted.drop("has_slots"), said, items.select("item_id", F.col("named").alias("words"), "said"), widths[-1])
     columns = ["doc_id", "item_id", "places", "reworded"]
     good = runs.filter("NOT has_slots").withColumn("reworded", F.lit(False)).select(columns).union(checked.select(columns))
     found = good.select("doc_id", "item_id", "reworded", F.explode("places").alias("q"))
@@ -169,6 +214,7 @@ def contaminated(
     of_rich = F.when(F.size("rich") > 0, counted(F.array_intersect("places", "rich"), F.size("rich")))
     best = F.greatest(of_rich, counted(F.col("places"), F.col("every")))
     found = found.withColumn("best", best).filter(F.col("best.share") >= coverage)
+    found = found.withColumnRenamed("item_id", "item").join(ids, "item")
     return found.select("doc_id", "item_id", "best.found", "best.windows", F.col("best.share").alias("coverage"), "reworded")
 
 

@@ -19,13 +19,16 @@ from tallyward.llm.store import Scratch, sent_if_small
 
 TOKENIZER = "word_bpe_49k.json"
 TEMPERATURE = 0.7
-#: Ids to drop (8 bytes each), and texts with secrets (some 200 bytes of hash and places), that are sent to all tasks.
+#: Numbers of rows to drop (8 bytes each), and texts with secrets (some 200 bytes of hash and places), that are sent to all tasks.
 SENT_IDS = 1_000_000
 SENT_FINDINGS = 100_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling draws and that are not toxic. Both are worked out once more, which spares a join of texts."""
+    """Documents that importance resampling draws and that are not toxic. Both are worked out once more, which spares a join of texts.
+
+    Rows are judged one by one, by id and text; a null text is empty, a null id an id of its own.
+    """
     _, model, least = select_by_importance(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), reject_toxic=True)
 
     @F.arrow_udf("boolean")
@@ -36,20 +39,41 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; rows without id stay too."""
-    return _without(docs, near_duplicates(docs).filter(~F.col("kept")))
+    """Of each group of near duplicates one row stays: of the smallest id, and of these the first one.
+
+    Rows are judged one by one: those without id, and those that share one, are rows like
+    others, those without id coming last.
+    """
+    docs, row = _numbered(docs)
+    store = Scratch(spark, "groups")
+    near = near_duplicates(docs, id_col=row).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    named = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    near = store.keep(near.join(named, "row"), "near")
+    best = near.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = store.keep(best.filter("n > 1").select("group", F.col("best.row").alias("row")), "best")
+    others = near.filter("row <> group").select("row").union(best.select(F.col("group").alias("row")))
+    return _without(docs, row, others.join(best.select("row"), "row", "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; rows without id stay."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found)
+    """Rows whose text holds no benchmark item, whatever their ids; null and empty texts stay."""
+    docs, row = _numbered(docs)
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row)
+    return _without(docs, row, found.select(F.col("doc_id").alias("row")))
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, in a column of a name not taken; a written table gives the same numbers each time it is read."""
+    row, taken = "_row", {c.lower() for c in docs.columns}
+    while row in taken:
+        row = "_" + row
+    return docs.withColumn(row, F.monotonically_increasing_id()), row
 
 
-def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
-    gone = Scratch(docs.sparkSession, "gone").keep(found.select(F.col("doc_id").alias("_gone")).distinct(), "ids")
+def _without(docs: DataFrame, row: str, found: DataFrame) -> DataFrame:
+    gone = Scratch(docs.sparkSession, "gone").keep(found.select(F.col("row").alias("_gone")).distinct(), "rows")
     gone = sent_if_small(gone, SENT_IDS)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone, docs[row] == gone["_gone"], "left_anti").drop(row)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,5 +93,5 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in training windows."""
+    """Pieces of documents in training windows; a null text gives its end token alone, null is a source like others."""
     return pack(docs, public_tokenizers.path(TOKENIZER), temperature=TEMPERATURE, wordwise=True)

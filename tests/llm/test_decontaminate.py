@@ -1,3 +1,5 @@
+import random
+
 from tallyward.llm.decontaminate import contaminated
 from tests.llm.conftest import documents
 
@@ -49,3 +51,45 @@ def test_one_value_that_becomes_two(spark):
     item = "There are 2 apples on the table in the kitchen and there are also 2 pears on the shelf that is near to the door of the old house by the lake"
     other = item.replace("2 apples", "3 apples").replace("2 pears", "5 pears")
     assert _found(spark, [item, f"Some words. {other}"], item) == {0: False, 1: True}
+
+
+NAMES = "Anna Bert Clara Dave Emma Frank Greta Henry Irene Jacob Karin Louis Maria Nils Olga Peter".split()
+FORMS = (
+    "{a} buys {i} pens. {b} buys {j} pens. {c} buys {k} pens. How many pens did they buy?",
+    "{a} has {i} red marbles and {j} blue ones. {b} takes {k} of them away. How many marbles are left with {a} at the end?",
+    "A farmer sells {i} baskets of apples. {a} pays for {j} of them. What does each of the other baskets cost?",
+    "{a} walks {i} km to the old mill. Then {b} drives {j} km further north. How far have both of them come by then?",
+    "There are {i} children in a class. {a} counts {j} of them twice. How many names stand on the list of {b}?",
+)
+
+
+def _drawn(form, draw):
+    a, b, c = draw.sample(NAMES, 3)
+    i, j, k = draw.sample(range(2, 99), 3)
+    return form.format(a=a, b=b, c=c, i=i, j=j, k=k)
+
+
+def test_recall_of_reworded_items(spark):
+    """Items with other names and numbers are found, at sentence starts as well; other texts hold none."""
+    draw = random.Random(11)
+    items = [_drawn(f, draw) for f in FORMS]
+    texts = [f"{'Some words came before this. ' * (n % 3)}{_drawn(FORMS[n % 5], draw)} Nothing more is said here." for n in range(100)]
+    clean = ["The shop sells pens. Many pens are blue, and they buy new ones each year. How many they buy is not known." for _ in range(3)]
+    table = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(documents(spark, list(enumerate(texts + clean))), table).collect()}
+    assert sum((n, n % 5) in got for n in range(100)) >= 95
+    assert all(d < 100 and d % 5 == i for d, i in got)
+
+
+def test_a_name_that_becomes_two(spark):
+    item = "Anna buys 3 pens. Anna sells 4 pens. Anna keeps all of the other pens."
+    torn = "Bert buys 3 pens. Clara sells 4 pens. Dave keeps some of those red pens."
+    assert _found(spark, [item.replace("Anna", "Bert"), torn], item) == {0: True}
+
+
+def test_items_without_id_or_of_one_id(spark):
+    texts = ["What is the capital of the country", "Who wrote the long book about whales", "How tall is the highest hill of all"]
+    items = spark.createDataFrame([(None, texts[0]), (5, texts[1]), (5, texts[2]), (5, texts[2])], "item_id bigint, text string")
+    rows = contaminated(documents(spark, list(enumerate(texts))), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows if r.doc_id) == [(1, 5), (2, 5)]
+    assert [r.item_id for r in rows if r.doc_id == 0] == [None]

@@ -1,4 +1,7 @@
+from collections import Counter
+
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGE_ROWS, documents
 
@@ -32,3 +35,20 @@ def test_stages_over_edges_and_nothing(spark, edge_docs, no_docs):
         assert stage(spark, no_docs, SF).collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, no_docs, SF).collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, documents(spark, EDGE_ROWS), SF).select("doc_id").distinct().count() == 12
+
+
+def test_rows_are_judged_one_by_one(spark, tmp_path):
+    """Without ids, and with ids that rows share, each row stays or goes by its own text."""
+    stages = dict(corpus_pipeline.STAGES)
+    (item,) = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 60").orderBy("item_id").limit(1).collect()
+    plain = [" ".join(f"{w}{k}" for w in "all of these words tell one text from any other text there is".split()) for k in range(4)]
+    rows = [(None, plain[0]), (None, plain[0]), (None, plain[1]), (1, plain[2]), (1, plain[3]), (1, plain[3]), (9, plain[3]), (-4, plain[1])]
+    documents(spark, rows, clashing=True).withColumn("_row", F.lit("x")).write.parquet(str(tmp_path / "near"))
+    out = stages["near_dedup"](spark, spark.read.parquet(str(tmp_path / "near")), SF)
+    assert "_row" in out.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(None, plain[0]), (-4, plain[1]), (1, plain[2]), (1, plain[3])])
+
+    rows = [(None, item.text), (None, plain[0]), (1, f"Before. {item.text}"), (1, plain[1]), (1, plain[1])]
+    documents(spark, rows).write.parquet(str(tmp_path / "leaks"))
+    out = stages["decontamination"](spark, spark.read.parquet(str(tmp_path / "leaks")), SF)
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(r for r in rows if item.text not in r[1])
