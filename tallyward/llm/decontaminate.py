@@ -51,8 +51,8 @@ def _template(text: Column) -> Column:
     """The template with blanks between its tokens; ``START`` stands before words that may be names or not."""
     text = F.coalesce(text, F.lit(""))
     numbers = F.regexp_replace(text, r"\p{N}+(?:[.,:/]\p{N}+)*", NUMBER)
-    names = F.regexp_replace(numbers, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+", NAME)
-    starts = F.regexp_replace(names, rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}}\p{{Ll}})", START)
+    names = F.regexp_replace(numbers, r"\p{Lu}(?<=[\p{Ll}\p{N},;] .)\p{Ll}+", NAME)
+    starts = F.regexp_replace(names, r"\p{Lu}(?<![\p{L}\p{N}].)(?=\p{Ll})", START + "$0")
     units = rf"(?<=(?:^| ){NUMBER} )(?:{'|'.join(UNITS)})(?= |$)"
     flat = _stripped(starts)
     return F.when(F.contains(flat, F.lit(NUMBER)), F.regexp_replace(flat, units, UNIT)).otherwise(flat)
@@ -79,10 +79,15 @@ def literal_words(text: Column) -> Column:
     return _words(_stripped(F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", "")))
 
 
+def _literal(words: str) -> Column:
+    """1 for each word, 0 for each placeholder."""
+    return F.expr(f"transform({words}, w -> CASE WHEN w IN ('{NUMBER}', '{NAME}', '{UNIT}') THEN 0 ELSE 1 END)")
+
+
 def _windows(words: str, width: int, literal: int, said: str | None = None, poor_only: bool = False) -> Column:
-    """The hash of each window in turn; for one with too few literal words that of what is ``said`` there, or null."""
+    """The hash of each window in turn (``solid``: the words' ``_literal``); for one with too few literal words that of what is ``said`` there, or null."""
     held = [f"element_at({words}, i + {k})" for k in range(width)]
-    fixed = " + ".join(f"CASE WHEN {w} IN ('{NUMBER}', '{NAME}', '{UNIT}') THEN 0 ELSE 1 END" for w in held)
+    fixed = " + ".join(f"get(solid, i + {k - 1})" for k in range(width))
     plain = f"(NOT has_slots OR {fixed} >= {min(literal, (width + 1) // 2)})"
     rich = "CAST(NULL AS BIGINT)" if poor_only else f"xxhash64({', '.join(held)})"
     values = ", ".join(f"get({said}, i + {k - 1})" for k in range(width))
@@ -94,9 +99,9 @@ def _windows(words: str, width: int, literal: int, said: str | None = None, poor
 
 
 def _other_windows(words: str, named: str, width: int, literal: int) -> Column:
-    """``p, h`` of the windows that the two readings tell apart, read with names, if they hold enough words."""
+    """``p, h`` of the windows that the two readings tell apart, read with names, if they hold enough words (``solid_named``)."""
     held = [f"element_at({named}, i + {k})" for k in range(width)]
-    fixed = " + ".join(f"CASE WHEN {w} IN ('{NUMBER}', '{NAME}', '{UNIT}') THEN 0 ELSE 1 END" for w in held)
+    fixed = " + ".join(f"get(solid_named, i + {k - 1})" for k in range(width))
     last = f"size({words}) - {width - 1}"
     apart = f"filter(sequence(1, size({words})), i -> element_at({words}, i) <> element_at({named}, i))"
     begins = f"array_distinct(flatten(transform({apart}, s -> sequence(greatest(1, s - {width - 1}), least(s, {last})))))"
@@ -143,7 +148,8 @@ def contaminated(
     # within a sentence a capital makes an item's first word a name
     inner = items.filter(F.col("first") != F.slice("words", F.lit(1), F.lit(1)))
     inner = inner.withColumn("words", F.expr("concat(first, slice(words, 2, size(words)))")).withColumn("has_slots", F.lit(True))
-    forms = items.union(inner)
+    forms = items.union(inner).withColumn("solid", _literal("words"))
+    named = items.withColumn("solid_named", _literal("named"))
     short = items.filter(F.size("words") < window).select(F.size("words").alias("n")).distinct().collect()
     widths = sorted({row.n for row in short} | {window})
 
@@ -153,7 +159,7 @@ def contaminated(
         for rich in (True, False):
             hashes = _windows("words", width, literal, None if rich else "said", not rich)
             own.append(of_width.select("item_id", F.posexplode(hashes).alias("q", "h")).withColumn("rich", F.lit(rich)))
-        of_width = items.filter(F.size("words") >= width if width == window else F.size("words") == width)
+        of_width = named.filter(F.size("words") >= width if width == window else F.size("words") == width)
         other = of_width.select("item_id", F.explode(_other_windows("words", "named", width, literal)).alias("x"))
         own.append(other.select("item_id", F.col("x.p").alias("q"), "x.h", F.lit(True).alias("rich")))
     posted = own[0]
@@ -170,17 +176,17 @@ def contaminated(
     rows = rows.filter("doc_id IS NOT NULL")
     read = rows.withColumn("template", _template(F.col("text")))
     read = read.select("doc_id", "text", _as_words(F.col("template")).alias("words"), _as_names(F.col("template")).alias("named"))
-    read = read.withColumn("has_slots", _slotted("words"))
+    read = read.withColumns({"has_slots": _slotted("words"), "solid": _literal("words"), "solid_named": _literal("named")})
     if by_value:
         read = read.withColumn("said", F.when(F.col("has_slots"), literal_words(F.col("text"))))
     read = read.drop("text")
-    hashes = [read.select("doc_id", F.posexplode(_windows("words", w, literal, by_value)).alias("p", "h")) for w in widths]
+    # one reading of the texts for both readings of their sentence starts
+    seen = None
     for w in widths:
-        other = read.select("doc_id", F.explode(_other_windows("words", "named", w, literal)).alias("x"))
-        hashes.append(other.select("doc_id", "x.p", "x.h"))
-    seen = hashes[0]
-    for more in hashes[1:]:
-        seen = seen.union(more)
+        plain = F.transform(_windows("words", w, literal, by_value), lambda h, p: F.struct(p.alias("p"), h.alias("h")))
+        other = F.coalesce(_other_windows("words", "named", w, literal), F.array().cast("array<struct<p:int,h:bigint>>"))
+        of_width = read.select("doc_id", F.inline(F.concat(plain, other)))
+        seen = of_width if seen is None else seen.union(of_width)
     small = posted.count() <= BROADCAST_ROWS
     hits = seen.join(F.broadcast(posted) if small else posted, "h").select(
         "doc_id", "item_id", "q", (F.col("p") - F.col("q")).alias("distance")
