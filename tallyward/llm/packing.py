@@ -5,8 +5,8 @@ most a window. Deficit round-robin deals the parts: a queue's credit grows by it
 at each turn, its next part goes out as soon as the credit covers it, and what is left
 over stays the queue's deficit, across windows and partitions alike. Queues that run dry
 leave their share to the others. Windows are cut from what is dealt, end to end, so a
-part is in two pieces only where a window ends in it, and a source is never further from
-its target than by a window's tokens.
+part is in two pieces only where a window ends in it, and what a source is owed is always
+less than its next part, so less than a window.
 
 Dealing turn by turn would be one sequential loop over the corpus. With turns as short as
 one likes, a part goes out at the turn ``end / weight``, where ``end`` counts its queue's
