@@ -25,15 +25,23 @@ WITH copies AS (
     FROM pages
 ), records AS (
     SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS n, {_record("html")} AS record,
-        CASE WHEN page_id % 97 = 91 THEN NULL ELSE sha256({_record("copy")}) END AS theirs
+        CASE WHEN page_id % 97 = 91 THEN NULL ELSE {_record("copy")} END AS found
     FROM copies
 ), hashed AS (
-    SELECT page_id, n // 4096 AS file, n, strlen(record) AS length, sha256(record) AS sha256, theirs FROM records
+    SELECT page_id, n // 4096 AS file, n, strlen(record) AS length, sha256(record) AS sha256, sha256(found) AS theirs,
+        strlen(found) AS found_length, CASE WHEN page_id % 97 = 31 THEN 2 ELSE 1 END AS times
+    FROM records
+), placed AS (
+    SELECT *, CAST(sum(length) OVER (PARTITION BY file ORDER BY n) - length AS BIGINT) AS "offset",
+        CAST(sum(coalesce(found_length, 0) * times) OVER (ORDER BY n) - found_length * times AS BIGINT) AS found_offset
+    FROM hashed
 )
-SELECT page_id, file, CAST(sum(length) OVER (PARTITION BY file ORDER BY n) - length AS BIGINT) AS "offset", length, sha256,
-    sha256 IS NOT DISTINCT FROM theirs AS intact,
-    CASE WHEN sha256 IS NOT DISTINCT FROM theirs THEN NULL ELSE theirs END AS found_sha256
-FROM hashed
+SELECT page_id, file, "offset", length, sha256, sha256 IS NOT DISTINCT FROM theirs AS intact,
+    CASE WHEN sha256 IS NOT DISTINCT FROM theirs THEN NULL ELSE theirs END AS found_sha256, found_offset,
+    CASE WHEN theirs IS NULL THEN 'missing' WHEN sha256 = theirs THEN 'intact' ELSE 'altered' END AS finding
+FROM placed
+UNION ALL
+SELECT page_id, NULL, NULL, NULL, NULL, false, theirs, found_offset + found_length, 'surplus' FROM placed WHERE times = 2
 """
 
 
