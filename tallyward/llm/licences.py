@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.arrays import running
+
 #: Phrases and their labels which every scan has.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -51,12 +53,22 @@ TEMPLATES = (
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee is hereby granted"),
     Template("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software released into the public domain"),
     Template("reserved", "all rights reserved", "all rights reserved"),
+    Template("mit", "spdx license identifier mit", "license identifier mit"),
+    Template("apache-2.0", "spdx license identifier apache 2 0", "license identifier apache 2 0"),
+    Template("gpl-2.0", "spdx license identifier gpl 2 0", "license identifier gpl 2 0"),
+    Template("gpl-3.0", "spdx license identifier gpl 3 0", "license identifier gpl 3 0"),
+    Template("lgpl", "spdx license identifier lgpl", "license identifier lgpl"),
+    Template("agpl", "spdx license identifier agpl", "license identifier agpl"),
+    Template("bsd", "spdx license identifier bsd 2 clause", "license identifier bsd 2 clause"),
+    Template("bsd", "spdx license identifier bsd 3 clause", "license identifier bsd 3 clause"),
+    Template("mpl-2.0", "spdx license identifier mpl 2 0", "license identifier mpl 2 0"),
+    Template("isc", "spdx license identifier isc", "license identifier isc"),
+    Template("unlicense", "spdx license identifier unlicense", "license identifier unlicense"),
+    Template("cc0-1.0", "spdx license identifier cc0 1 0", "license identifier cc0 1 0"),
 )
 #: Words too common in any text to be in the index.
 STOPWORDS = frozenset("a all and any are by for in into is of or the this to under use v with without work 0 1 2 3 4".split())
-#: Of a longer template no more words than this are asked for.
-LOOKED_UP = 8
-#: Part of these words that must agree on its beginning.
+#: Part of a template's different indexed words that must agree on its beginning, whatever its length.
 AGREEING = 0.6
 #: A template that is cut off at the file's first word begins before it, by fewer words than this.
 _AHEAD = 1 << 16
@@ -77,13 +89,8 @@ def _places(padded: Column, phrase: str) -> Column:
     size = len(phrase.split())
     gaps = F.split(padded, f"(?<= ){phrase}(?= )", -1)
     words = F.transform(gaps, lambda g: (_blanks(g) - 1).cast("bigint"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(acc: Column, gap: Column) -> Column:
-        place = acc["at"] + gap
-        return F.struct((place + size).alias("at"), F.concat(acc["out"], F.array(place)).alias("out"))
-
-    found = F.aggregate(F.slice(words, F.lit(1), F.size(words) - 1), zero, step)["out"]
+    ends = running(F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda gap: gap + size))
+    found = F.transform(ends, lambda end: end - size)
     return F.when(F.contains(padded, F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -112,7 +119,6 @@ def scan_licences(
     id_col: str = "doc_id",
     text_col: str = "text",
     templates: Sequence[Template] = TEMPLATES,
-    looked_up: int = LOOKED_UP,
     agreeing: float = AGREEING,
 ) -> DataFrame:
     """Per document ``doc_id, n_words, places, base_labels, matches``.
@@ -133,11 +139,11 @@ def scan_licences(
     rows = rows.withColumn("places", F.sort_array(F.concat(*found)))
     labels = [F.when(F.contains("_t", F.lit(f" {p} ")), F.lit(label)) for p, label in BASE_PHRASES.items()]
     rows = rows.withColumn("base_labels", F.filter(F.array(*labels), lambda x: x.isNotNull()))
-    matched = _matched(rows, postings, weights, templates, looked_up, agreeing)
+    matched = _matched(rows, postings, weights, templates, agreeing)
     return matched.select("doc_id", "n_words", "places", "base_labels", "matches")
 
 
-def _matched(rows: DataFrame, postings, weights, templates, looked_up: int, agreeing: float) -> DataFrame:
+def _matched(rows: DataFrame, postings, weights, templates, agreeing: float) -> DataFrame:
     """The rows with ``matches``, worked out from their padded text column step by step."""
     entry = "array<struct<template:int,place:int>>"
     order = sorted(postings)
@@ -148,8 +154,9 @@ def _matched(rows: DataFrame, postings, weights, templates, looked_up: int, agre
     index = F.create_map(*[x for w in order for x in (F.lit(w), looked(postings[w]))])
     number = F.create_map(*[F.lit(x) for k, w in enumerate(order) for x in (w, k)])
     rare = F.array(*[F.lit(float(weights[w])) for w in order])
-    sizes = [sum(t == k for held in postings.values() for t, _ in held) for k in range(len(templates))]
-    asked = F.array(*[F.lit(math.ceil(min(looked_up, size) * agreeing)) for size in sizes])
+    sizes = [sum(any(t == k for t, _ in held) for held in postings.values()) for k in range(len(templates))]
+    # a word that stands twice in a template agrees with a beginning once
+    asked = F.array(*[F.lit(math.ceil(round(size * agreeing, 9))) for size in sizes])
     labels = F.array(*[F.lit(t.label) for t in templates])
 
     # only templates whose mandatory phrase is there can match

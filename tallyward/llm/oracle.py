@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyward.llm.licences import AGREEING, BASE_PHRASES, LOOKED_UP, TEMPLATES, indexed
+from tallyward.llm.licences import AGREEING, BASE_PHRASES, TEMPLATES, indexed
 
 _NEW = "chr(13) || chr(10)"
 
@@ -141,7 +141,7 @@ WITH split AS (
     SELECT doc_id, i - 1 AS i, ws[i] AS w, ws[i + 1] AS w1, ws[i + 2] AS w2 FROM (
         SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM split)
 ), postings(w, template, place) AS (VALUES {_POSTINGS}), templates(template, label, needed) AS (VALUES {_TEMPLATES}),
-sizes AS (SELECT template, count(*) AS size FROM postings GROUP BY template),
+sizes AS (SELECT template, count(DISTINCT w) AS size FROM postings GROUP BY template),
 placed AS (SELECT doc_id, i, w FROM tokens WHERE w IN (SELECT w FROM postings)),
 rarity AS (
     SELECT w, ln((SELECT count(*) + 1 FROM documents) / (count(DISTINCT doc_id) + 1)) AS r FROM placed GROUP BY w
@@ -156,7 +156,7 @@ votes AS (
 ), matched AS (
     SELECT doc_id, label, CASE WHEN total > 0 THEN agreed.r / total ELSE 1 END AS score
     FROM agreed JOIN every USING (doc_id) JOIN sizes USING (template) JOIN templates USING (template) JOIN split USING (doc_id)
-    WHERE n >= least({LOOKED_UP}, size) * {AGREEING} AND contains(' ' || array_to_string(ws, ' ') || ' ', needed)
+    WHERE n >= size * {AGREEING} AND contains(' ' || array_to_string(ws, ' ') || ' ', needed)
 ), base AS ({_PHRASES}),
 based AS (
     SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,

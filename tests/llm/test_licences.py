@@ -79,6 +79,34 @@ def test_notices_do_not_push_each_other_out(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_evidence_grows_with_the_template(spark):
+    """Six words in ten of a template must stand in their places, of a template of 40 words 24, each counted once."""
+    words = [f"lic{k}" for k in range(40)]
+    long = licences.Template("long", " ".join(words + words[:5]), "lic0 lic1")
+    rows = [(n, " ".join(words[:n] + ["other"] * (45 - n))) for n in (5, 8, 23, 24, 40)]
+    scanned = licences.scan_licences(documents(spark, rows), templates=(long,))
+    found = {r.doc_id: [(m.label, m.start) for m in r.matches] for r in scanned.collect()}
+    assert found == {5: [], 8: [], 23: [], 24: [("long", 0)], 40: [("long", 0)]}
+
+
+def test_identifier_lines(spark):
+    lines = {
+        "MIT": "mit", "Apache-2.0": "apache-2.0", "GPL-2.0-only": "gpl-2.0", "GPL-3.0-or-later": "gpl-3.0", "LGPL-2.1": "lgpl",
+        "AGPL-3.0": "agpl", "BSD-3-Clause": "bsd", "MPL-2.0": "mpl-2.0", "ISC": "isc", "Unlicense": "unlicense", "CC0-1.0": "cc0-1.0",
+    }
+    rows = [(k, f"// SPDX-License-Identifier: {name}\nint main() {{}}") for k, name in enumerate(lines)]
+    rows += [(100, "the MIT identifier of a licence"), (101, "SPDX-License-Identifier: none of the known")]
+    got = {r.doc_id: r.labels for r in licences.digest(licences.scan_licences(documents(spark, rows))).collect()}
+    assert [got[k] for k in range(len(lines))] == list(lines.values())
+    assert got[100] == got[101] == ""
+
+
+def test_a_phrase_100000_times(spark):
+    text = "x CC-BY " * 100_000
+    got = licences.digest(licences.scan_licences(documents(spark, [(1, text)]))).first()
+    assert (got.n_words, got.n_base, got.first_word, got.last_word) == (300_000, 100_000, 1, 299_998)
+
+
 def test_sql_follows_on_several_notices(spark):
     """Files with one, two and all notices, and stray index words between them: the second engine finds the same."""
     texts = [t.text for t in licences.TEMPLATES]
