@@ -36,8 +36,8 @@ SIZE = 3
 RUNNING = 5
 #: Words of a page's longest block from which on it tells copies of the page.
 TELLING = 10
-#: Template rows (some 300 bytes each) that are sent to all tasks; beyond that the pages are shuffled by host.
-BROADCAST_HOSTS = 200_000
+#: What is known of all hosts is sent to all tasks up to this size (as text, which is longer than the rows), joined by shuffles beyond.
+BROADCAST_BYTES = 64 << 20
 
 #: Elements by their meaning in HTML.
 _BLOCKS = frozenset(
@@ -348,7 +348,9 @@ def _templates(pages: DataFrame, store: Scratch, support: float, least: int, siz
 
 
 def _with_host(pages: DataFrame, by_host: DataFrame, name: str) -> DataFrame:
-    small = by_host.count() <= BROADCAST_HOSTS
+    # a host's row holds all its frequent tokens, so hosts are no measure
+    told = by_host.agg(F.sum(F.length(F.to_json(name)) + F.length("host"))).first()[0] or 0
+    small = told <= BROADCAST_BYTES
     other = by_host.select(F.col("host").alias("_host"), name)
     return pages.join(F.broadcast(other) if small else other, pages["host"] == F.col("_host"), "left")
 

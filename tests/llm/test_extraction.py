@@ -1,5 +1,9 @@
+from collections import Counter
+
+from tallyward.llm import extraction
 from tallyward.llm.extraction import extract_pages, host_of, main_text
 from pyspark.sql import functions as F
+from tests.llm.conftest import CLASHING
 
 SCHEMA = "page_id bigint, url string, html string"
 
@@ -107,3 +111,28 @@ def test_short_sections_of_a_host(spark):
         texts.append("\n".join([f"Title {k}", *parts, sources, f"Page {k} ends with these last words."]))
     got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert [got[k] for k in range(30)] == texts
+
+
+def test_edge_rows(spark):
+    """Long, empty and missing html, repeated rows and columns named like the operator's own."""
+    long = "<article>" + "<p>a long paragraph of a long page</p>" * 50_000 + "</article>"
+    rows = [(1, "http://a.b/1", long), (2, "http://a.b/2", "<article><p>x</p></article>"), (2, "http://a.b/2", "<article><p>x</p></article>")]
+    rows += [(None, None, "<p>no id</p>"), (3, None, None), (4, "", ""), (5, "http://a.b/5", " \n "), (6, "http://a.b/6", "<" * 1000)]
+    names = [c for c in CLASHING if c not in {"page_id", "url", "html"}] + ["text", "n_chars", "pages", "classes", "slots", "all", "low", "high", "words"]
+    names = sorted(set(names))
+    pages = spark.createDataFrame([r + ("x",) * len(names) for r in rows], SCHEMA + "".join(f", `{c}` string" for c in names))
+    got = extract_pages(pages).collect()
+    assert Counter(r.page_id for r in got) == Counter(r[0] for r in rows)
+    texts = {r.page_id: r.text for r in got}
+    assert texts[1] == "\n".join(["a long paragraph of a long page"] * 50_000)
+    assert texts[2] == "x" and texts[None] == "no id" and texts[3] == texts[4] == texts[5] == ""
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_large_templates_are_joined(spark, monkeypatch):
+    """Beyond the size that is sent to all tasks the same comes from a join."""
+    rows = [(k, f"http://h{k % 2}.org/", _page(f"<p>own words {k} and some more</p>", "div")) for k in range(40)]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    sent = sorted(map(tuple, extract_pages(pages).collect()))
+    monkeypatch.setattr(extraction, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, extract_pages(pages).collect())) == sent
