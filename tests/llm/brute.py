@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+
+import regex
+
+from tallyward.llm.decontaminate import NAME, NUMBER, START, UNIT, UNITS
 
 _UPPER = {c: c + 32 for c in range(65, 91)}
 
@@ -40,3 +45,87 @@ def near_components(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int,
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
     return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def _flat(text: str) -> str:
+    return regex.sub(rf"[^\p{{L}}\p{{N}}{NAME}{UNIT}]+", " ", text.lower()).strip()
+
+
+def _readings(text: str) -> tuple[list[str], list[str], list[str]]:
+    """The template with sentence starts as words, the same with names there, and what stands in the text."""
+    made = regex.sub(r"\p{N}+(?:[.,:/]\p{N}+)*", NUMBER, text)
+    made = regex.sub(r"\p{Lu}(?<=[\p{Ll}\p{N},;] .)\p{Ll}+", NAME, made)
+    made = regex.sub(r"\p{Lu}(?<![\p{L}\p{N}].)(?=\p{Ll})", START + r"\g<0>", made)
+    tokens = _flat(made).split()
+    for k in range(1, len(tokens)):
+        if tokens[k] in UNITS and tokens[k - 1] == NUMBER:
+            tokens[k] = UNIT
+    said = _flat(regex.sub(r"(?<=\p{N})[.,:/](?=\p{N})", "", text)).split()
+    return [t.replace(START, "") for t in tokens], [NAME if t.startswith(START) else t for t in tokens], said
+
+
+def _told(words: list[str], said: list[str], i: int, width: int, literal: int, slotted: bool) -> tuple | None:
+    """A window's key, the values in it if it holds too few words."""
+    held = words[i : i + width]
+    if not slotted or sum(w not in (NUMBER, NAME, UNIT) for w in held) >= min(literal, (width + 1) // 2):
+        return ("words", *held)
+    return ("values", *said[i : i + width]) if width >= literal else None
+
+
+def _keys(forms: list[list[str]], named: list[str], said: list[str], width: int, literal: int) -> set[tuple[int, tuple]]:
+    keys = set()
+    for words in forms:
+        slotted = any(w in (NUMBER, NAME, UNIT) for w in words)
+        keys |= {(i, _told(words, said, i, width, literal, slotted)) for i in range(len(words) - width + 1)}
+    for i in range(len(named) - width + 1):
+        key = _told(named, said, i, width, literal, True)
+        if named[i : i + width] != forms[0][i : i + width] and key and key[0] == "words":
+            keys.add((i, key))
+    return {(i, key) for i, key in keys if key}
+
+
+def contaminated(docs, items, window=8, coverage=0.3, literal=4) -> set[tuple]:
+    """Rows ``doc_id, item_id, found, windows, reworded`` of every document against every item."""
+    read = {d: _readings(t or "") for d, t in docs}
+    at_width: dict[tuple[int, int], set] = {}
+    result = set()
+    for item, text in items:
+        words, named, said = _readings(text or "")
+        if not words:
+            continue
+        forms = [words]
+        first = _readings("a " + text)[0][1:2]
+        if first != words[:1]:
+            forms.append(first + words[1:])
+        width = min(window, len(words))
+        own = _keys(forms, named, said, width, literal)
+        posted = defaultdict(list)
+        for q, key in own:
+            posted[key].append(q)
+        every = {q for q, _ in own}
+        rich = {q for q, key in own if key[0] == "words"}
+        for doc, (doc_words, doc_named, doc_said) in read.items():
+            if (doc, width) not in at_width:
+                at_width[doc, width] = _keys([doc_words], doc_named, doc_said, width, literal)
+            places = defaultdict(set)
+            for p, key in at_width[doc, width]:
+                for q in posted.get(key, ()):
+                    places[p - q].add(q)
+            good, reworded = set(), False
+            for distance, held in places.items():
+                slots = [
+                    s for s, w in enumerate(named) if w in (NUMBER, NAME, UNIT) and any(q <= s < q + window for q in held)
+                ]
+                theirs = defaultdict(set)
+                for s in slots:
+                    other = doc_said[s + distance] if 0 <= s + distance < len(doc_said) else None
+                    theirs[said[s]].add(other)
+                torn = [s for s in slots if len(theirs[said[s]]) > 1]
+                kept = {q for q in held if not any(q <= s < q + window for s in torn)}
+                good |= kept
+                reworded |= bool(kept) and any(values != {value} for value, values in theirs.items())
+            shares = [(len(good) / len(every), len(good), len(every))] if every else []
+            shares += [(len(good & rich) / len(rich), len(good & rich), len(rich))] if rich else []
+            if good and max(shares)[0] >= coverage:
+                result.add((doc, item, *max(shares)[1:], reworded))
+    return result

@@ -1,6 +1,7 @@
 import random
 
 from tallyward.llm.decontaminate import contaminated
+from tests.llm import brute
 from tests.llm.conftest import documents
 
 ITEM = "A train leaves the station with Anna at 40 km per hour and Anna meets Bob after 3 hours of travel on 40 km of track"
@@ -93,3 +94,24 @@ def test_items_without_id_or_of_one_id(spark):
     rows = contaminated(documents(spark, list(enumerate(texts))), items).collect()
     assert sorted((r.doc_id, r.item_id) for r in rows if r.doc_id) == [(1, 5), (2, 5)]
     assert [r.item_id for r in rows if r.doc_id == 0] == [None]
+
+
+def test_every_document_against_every_item(spark):
+    """The same rows as a plain comparison of each document with each item."""
+    draw = random.Random(5)
+    items = [_drawn(f, draw) for f in FORMS] + [
+        "Calculate 12 + 7 * 3 - 4 / 2 + 9", "Which city lies on the Rhine", "one", "3 km", "", None,
+        "There are 2 apples on the table and there are also 2 pears on the shelf near the old door",
+    ]
+    texts = [f"{'Words come first. ' * (n % 3)}{_drawn(FORMS[n % 5], draw)} {'And more. ' * (n % 2)}" for n in range(30)]
+    texts += [f"Before. {t} After." for t in items if t] + ["", None, "Calculate 12 + 7 * 3 - 4 / 2 + 8 now", items[-1].replace("2 a", "3 a")]
+    texts += [" ".join(draw.sample(" ".join(items[:5]).split(), 30)) for _ in range(10)]
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    docs = list(enumerate(texts)) + [(10_000 + r.doc_id, r.text) for r in given]
+    marks = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()
+    marks = list(enumerate(items)) + [(1000 + r.item_id, r.text) for r in marks]
+    table = spark.createDataFrame(marks, "item_id bigint, text string")
+    got = contaminated(documents(spark, docs), table).collect()
+    assert any(r.reworded for r in got) and any(r.doc_id >= 10_000 for r in got)
+    assert {(r.doc_id, r.item_id, r.found, r.windows, r.reworded) for r in got} == brute.contaminated(docs, marks)
+    assert all(r.coverage == r.found / r.windows for r in got)
