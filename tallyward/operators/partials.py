@@ -21,6 +21,21 @@ from tallyward.functions.sql import literal, name
 SET = "_set"
 
 
+#: Sums up to here are kept in one long. A sixteenth of what it holds: rows may be joined to several, and beyond it fails loudly.
+NARROW = 1 << 59
+#: A sum's parts are about twice as long as a packed row, so sums must halve the rows to be worth it.
+SHRINK = 2
+
+
+def shrinks(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether sums per key, taken within each task, leave half of the rows at most; from one pass over the keys."""
+    each = df.groupBy(F.spark_partition_id().alias("_task")).agg(
+        F.count("*").alias("rows"), F.approx_count_distinct(F.struct(*keys)).alias("groups")
+    )
+    found = each.agg(F.sum("rows").alias("rows"), F.sum("groups").alias("groups")).first()
+    return (found["rows"] or 0) >= SHRINK * (found["groups"] or 0)
+
+
 @dataclass(frozen=True)
 class Partials:
     """A frame of keys and of the parts of sums, and the measures that the parts belong to."""
@@ -29,9 +44,15 @@ class Partials:
     wanted: tuple[Measure, ...]
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], columns: Iterable[str]) -> Partials:
-        """Rows summed per group; combined on the map side, so a group costs one row per task at most."""
+    def of(cls, df: DataFrame, keys: Sequence[str], columns: Iterable[str], most: int | None = None) -> Partials:
+        """Rows summed per group; combined on the map side, so a group costs one row per task at most.
+
+        ``most`` is the size that no sum of whole numbers can exceed, where it is known: sums well
+        within 64 bits need no halves.
+        """
         wanted = tuple(measures(df, columns))
+        if most is not None and most < NARROW:
+            wanted = tuple(Measure(m.column, m.scale or 0) for m in wanted)
         return cls(df.groupBy(*keys).agg(*[part for m in wanted for part in m.sums()]), wanted)
 
     @property

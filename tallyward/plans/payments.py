@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tallyward.functions.labels import PAY_METHOD_COLUMNS
 from tallyward.functions.money import TEN_THOUSANDTH
 from tallyward.operators.aggregates import spread, spread_rounded
-from tallyward.operators.partials import SET, Partials
+from tallyward.operators.packed import Packing
+from tallyward.operators.partials import SET, Partials, shrinks
 from tallyward.period import GRAINS, Period
 from tallyward.sources.kept import KeptSums
 from tallyward.sources.schemas import CHARGE_MEASURES
@@ -110,22 +111,33 @@ def charge_categories(
 ) -> DataFrame:
     """Twenty fee measures per group; by day, each clinic's latest days come first.
 
-    Payments meet their visits first, while the rows are narrow. The wide classified rows
-    are summed per payment before the join, by the key of the join: one shuffle carries one
-    row per payment and task.
+    Payments meet their visits first, while the rows are narrow; see ``_fees`` for the wide
+    classified rows.
     """
     names = _level_keys(level)
     by_day = _by_day(grain)
     keys = [*names, "pay_day"] if by_day else names
     paid = paid_visits(pay, visits, period, names, states, buy_type, ["pay_order_id"])
-    sums = _fees(classify, measures).joined(paid.select("pay_order_id", *keys), "pay_order_id").by(keys)
+    sums = _fees(classify, paid.select("pay_order_id", *keys), keys, measures)
     order = [names[0], F.desc("pay_day"), *names[1:]] if by_day else names
     return period.stamp(sums.finished(keys, unit, order=order if ordered else ()))
 
 
-def _fees(classify: DataFrame, measures: Sequence[str]) -> Partials:
-    """Per payment the sums of its classified rows."""
-    return Partials.of(classify.filter(F.col("pay_order_id").isNotNull()), ["pay_order_id"], measures)
+def _fees(classify: DataFrame, paid: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> Partials:
+    """The classified rows of the payments, summed by the keys; one shuffle carries the wide rows, by payment.
+
+    Where a payment's rows stand together, they are summed before that shuffle: it carries one
+    row per payment and task. Where they are scattered, such sums would fill the memory of the
+    tasks and leave the rows as many as they were, so the rows travel themselves, packed, and
+    are summed once they have met their payment. Both ways give the same sums.
+    """
+    rows = classify.filter(F.col("pay_order_id").isNotNull())
+    if shrinks(rows, ["pay_order_id"]):
+        return Partials.of(rows, ["pay_order_id"], measures).joined(paid, "pay_order_id").by(keys)
+    packing = Packing.of(rows, measures)
+    # the payments are the side to hold in memory: narrow, and one row each
+    met = packing.pack(rows, ["pay_order_id"]).join(paid.hint("shuffle_hash"), "pay_order_id")
+    return Partials.of(packing.unpack(met, keys), keys, measures, packing.most)
 
 
 def _sets(levels: Sequence[str], grains: Sequence[str]) -> tuple[list[str], dict[str, list[str]]]:
@@ -220,7 +232,7 @@ def charge_categories_at(
     keys, sets = _sets(levels, grains)
     names = [k for k in keys if k != "pay_day"]
     paid = paid_visits(pay, visits, period, names, states, buy_type, ["pay_order_id"])
-    sums = _fees(classify, measures).joined(paid.select("pay_order_id", *keys), "pay_order_id").by(keys).over(sets)
+    sums = _fees(classify, paid.select("pay_order_id", *keys), keys, measures).over(sets)
     return _labelled(sums.finished([SET, *keys], unit), keys, period, ordered)
 
 

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward import Period
-from tallyward.operators.partials import SET, Partials
+from tallyward.operators.packed import Packing
+from tallyward.operators.partials import SET, Partials, shrinks
 from tallyward.plans import payments
 from tests import clinic
 from tests.test_plans import plan
@@ -103,3 +104,51 @@ def test_fees_are_summed_before_they_are_shuffled(spark):
     above = [line for line in text[:at] if "keys=[pay_order_id" in line or "hashpartitioning(pay_order_id" in line]
     kinds = ["Exchange" if "Exchange" in line else "partial" if "partial_sum" in line else "final" for line in above]
     assert kinds[-3:] == ["final", "Exchange", "partial"]
+
+
+def _scattered(spark, payments_=50, copies=4):
+    """Classified rows of which no two of one payment are read by the same task."""
+    rows = [clinic.charges(k, 50 + 17 * k + i) for i in range(copies) for k in range(payments_)]
+    return clinic.frame(spark, "ord_pay_classify", rows)
+
+
+def test_scattered_payments_travel_packed(spark, tables):
+    """Sums per payment would not shrink the rows of a task: none are held there, and the shuffle carries words."""
+    _, pay, visits = tables
+    classify = _scattered(spark)
+    assert not shrinks(classify, ["pay_order_id"]) and shrinks(classify.coalesce(1), ["pay_order_id"])
+    for scattered, together in (
+        (payments.charge_categories(classify, pay, visits, MARCH), payments.charge_categories(classify.coalesce(1), pay, visits, MARCH)),
+        (payments.charge_categories_at(classify, pay, visits, MARCH), payments.charge_categories_at(classify.coalesce(1), pay, visits, MARCH)),
+    ):
+        text = plan(scattered, "simple")
+        assert "_word0" in text and "keys=[pay_order_id" not in text
+        assert "keys=[pay_order_id" in plan(together, "simple")
+        assert scattered.count() > 0 and scattered.schema == together.schema
+        assert sorted(map(repr, scattered.collect())) == sorted(map(repr, together.collect()))
+
+
+def test_packed_columns_come_back(spark):
+    """Null as 0, values below zero, one value only, decimals, and ranges up to all of 64 bits."""
+    top = 2**63 - 1
+    rows = [
+        (1, -5, None, 7, Decimal("1.25"), top, 3 * 2**40, None),
+        (2, 250, 1, 7, None, -top - 1, -(2**40), None),
+        (None, 0, None, 7, Decimal("-3.00"), None, 12345678901, None),
+    ]
+    kinds = "k INT, a INT, b SMALLINT, c BIGINT, d DECIMAL(9,2), e BIGINT, f BIGINT, g BIGINT"
+    df = spark.createDataFrame(rows, kinds)
+    packing = Packing.of(df, list("abcdefg"))
+    assert packing.plain == ("d",) and len(packing.words) == 2
+    back = packing.unpack(packing.pack(df, ["k"]), ["k"])
+    told = {r.k: r.asDict() for r in back.collect()}
+    assert told == {r[0]: {"k": r[0]} | {c: v if c == "d" else v or 0 for c, v in zip("abcdefg", r[1:])} for r in rows}
+    none = Packing.of(df.limit(0), list("abcdefg"))
+    assert none.words == [] and none.unpack(none.pack(df.limit(0), ["k"]), ["k"]).collect() == []
+
+
+def test_small_sums_need_one_long(spark):
+    df = spark.range(10).selectExpr("id % 2 AS a", "id AS v")
+    narrow, wide = Partials.of(df, ["a"], ["v"], 90), Partials.of(df, ["a"], ["v"], 2**59)
+    assert narrow.parts == ["v__sum"] and wide.parts == ["v__high", "v__low"]
+    assert sorted(narrow.finished(["a"]).collect()) == sorted(wide.finished(["a"]).collect())
