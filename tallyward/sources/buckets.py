@@ -1,15 +1,16 @@
 """Tables laid out by a key, so that joins and sums by that key shuffle nothing.
 
 A row's bucket follows from its key, and each bucket is one file. Two tables with equally
-many buckets of the same key are joined bucket by bucket. A hot key stays in its bucket,
-which is then one task's work: lay such a table out by another key.
+many buckets of the same key are joined bucket by bucket. A bucket is one task's work, so
+their number has to follow the rows (``buckets_for``). A hot key stays in its bucket: lay
+such a table out by another key.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,17 @@ from pyspark.sql import types as T
 from tallyward.functions.sql import literal, name
 from tallyward.sources.versions import Versions
 
+#: Rows that a bucket holds at most, keys dealt evenly: what a task sorts without spilling.
+BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(tables: Iterable[DataFrame], least: int = 8) -> int:
+    """As many buckets as the largest of the tables needs: ``least``, doubled until none holds too many rows."""
+    most, buckets = max((df.count() for df in tables), default=0), least
+    while buckets * BUCKET_ROWS < most:
+        buckets *= 2
+    return buckets
+
 
 def write_buckets(df: DataFrame, root: str, table: str, keys: Sequence[str], buckets: int) -> None:
     """Write a table by its keys; readers see the old one until all of the new one is there."""

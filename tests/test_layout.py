@@ -13,6 +13,7 @@ from tallyward import Period
 from tallyward.operators.distinct import distinct_over, id_sets
 from tallyward.operators.partials import SET
 from tallyward.plans import indicators, payments
+from tallyward.sources import buckets
 from tallyward.sources.buckets import Buckets, write_buckets
 from tallyward.sources.catalog import Cuts, Database, Files, Sources, Split, read_sheet
 from tallyward.sources.inference import Facts, column_facts, schema_of, typed
@@ -77,6 +78,17 @@ def test_reports_over_buckets_shuffle_no_wide_side(spark, tmp_path, no_broadcast
     assert fees.collect() == payments.charge_categories(classify, pay, visits, MARCH).collect()
 
 
+@given
+@pytest.mark.parametrize("name", ["charge_category_bucketed", "income_cost_bucketed"])
+def test_buckets_follow_the_rows(spark, monkeypatch, no_broadcast, name):
+    """A bucket is one task's work: more rows make more buckets, not larger ones."""
+    assert "out of 8" in plan(registry()[name](spark, SF_DIR))
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 300)
+    text = plan(registry()[name](spark, SF_DIR))
+    assert "out of 32" in text and "out of 8" not in text
+    assert buckets.buckets_for([spark.range(9601), spark.range(5)]) == 64 and buckets.buckets_for([]) == 8
+
+
 def test_bucketed_table_is_replaced(spark, tmp_path):
     root = f"file://{tmp_path}/laid"
     for n, buckets in ((5, 2), (9, 3)):

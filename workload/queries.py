@@ -19,7 +19,7 @@ from tallyward.functions.text import commonest_char
 from tallyward.operators import frames, joins, windows
 from tallyward.operators.aggregates import rule_sums
 from tallyward.plans import activity, indicators, orders, payments, sheets, threshold
-from tallyward.sources.buckets import Buckets, write_buckets
+from tallyward.sources.buckets import Buckets, buckets_for, write_buckets
 from tallyward.sources.inference import typed
 from tallyward.sources.kept import days_of
 from tallyward.sources.versions import shared_folder
@@ -106,14 +106,12 @@ def pay_method_kept(level: str, grain: str, src: t.Sources) -> DataFrame:
     return payments.payment_methods_kept(kept, WHOLE_DAYS, level, grain, methods=t.METHODS)
 
 
-BUCKETS = 8
-
-
 def _bucketed(src: t.Sources, **tables: DataFrame) -> t.Sources:
     """The tables laid out by payment, read back as a source."""
     root = f"{shared_folder(src.spark)}/buckets-{uuid.uuid4().hex}"
+    buckets = buckets_for(tables.values())
     for table, df in tables.items():
-        write_buckets(df, root, table, ["pay_order_id"], BUCKETS)
+        write_buckets(df, root, table, ["pay_order_id"], buckets)
     return t.Sources(src.spark, {"main": Buckets(root)})
 
 
