@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from tallyward.llm import decontaminate as d
 from tallyward.llm.decontaminate import contaminated
 from tests.llm import brute
 from tests.llm.conftest import documents
@@ -115,3 +118,23 @@ def test_every_document_against_every_item(spark):
     assert any(r.reworded for r in got) and any(r.doc_id >= 10_000 for r in got)
     assert {(r.doc_id, r.item_id, r.found, r.windows, r.reworded) for r in got} == brute.contaminated(docs, marks)
     assert all(r.coverage == r.found / r.windows for r in got)
+
+
+def test_windows_side_by_side_are_those_of_each_place(spark):
+    """Both readings, values where words are few, texts shorter than the window, and hashes in compiled code."""
+    texts = [
+        "", "One two three.", "So Ada paid 3 km, 4 kg, 5 lb and 6 oz to Bo and Cy. Then he left 12 of 13 for Di.",
+        "plain words only and quite a few of them stand here", "He said no. She said yes. They all went home again, all of them did. Nobody stayed.",
+        "1 2 3 4 5 6 7 8 9 10 11 12", None, "1,000.5 cost Ada. Bo 2:30 Cy 7 8 9 x y z and more, and more",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    template = d._template(F.col("text"))
+    read = df.select("doc_id", d._as_words(template).alias("words"), d._as_names(template).alias("named"), d.literal_words(F.col("text")).alias("said"))
+    read = read.withColumn("has_slots", d._slotted("words"))
+    each = read.withColumns({"solid": d._literal("words"), "solid_named": d._literal("named")})
+    for width, said in ((8, "said"), (8, None), (3, "said")):
+        one = each.select("doc_id", F.posexplode(d._windows("words", width, 4, said)).alias("p", "h")).filter("h IS NOT NULL")
+        other = each.select("doc_id", F.inline(d._other_windows("words", "named", width, 4)))
+        found = d._side_by_side(read, width, 4, bool(said))
+        assert one.count() > 0 and other.count() > 0
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, one.union(other).collect()))
